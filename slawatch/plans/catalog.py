@@ -65,3 +65,357 @@ SELECT issue_date, region, total_issues,
 FROM mart"""))
 def q_mart_region_day(spark, sf_dir):
     return round_doubles(mart(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- helpers
+from ..operators import quality, reports  # noqa: E402
+from ..operators.cleaning import cleaning_report  # noqa: E402
+from ..operators.evaluate import classification_metrics  # noqa: E402
+from ..operators.incremental import merge_stream, new_issues, union_issues  # noqa: E402
+from ..operators.keywords import issue_keyword, text_features  # noqa: E402
+from ..schemas import ENRICHED_COLUMNS, UNIFIED_COLUMNS  # noqa: E402
+from ..sources.files import load_mart  # noqa: E402
+from ..streaming.codec import good_events, parse_issue_events, to_kafka_records  # noqa: E402
+
+ENRICHED_SQL = ", ".join(ENRICHED_COLUMNS)
+UNIFIED_SQL = ", ".join(UNIFIED_COLUMNS)
+STG_SQL = ("issue_id, created_at, issue_date, issue_hour, issue_dow, region, channel, raw_category, "
+           "topic_id, topic_keywords, sla_breached, predicted_label, risk_score, resolution_hours, risk_bucket")
+
+# Report parameters (dates of the test tables' single month).
+RANGE_START, RANGE_END = "2024-01-08", "2024-01-21"
+MONTH_START, MONTH_END = "2024-01-01", "2024-01-31"
+CUR_START, CUR_END = "2024-01-16", "2024-01-30"      # previous: 01-01 .. 01-15
+SCORED_THROUGH = "2024-01-21"                         # fact holds days before this
+
+
+def d(s: str) -> str:
+    return f"DATE '{s}'"
+
+
+# ---------------------------------------------------------------- cleaning
+@register("issues_unified", O.with_issues(f"SELECT {UNIFIED_SQL} FROM unified"))
+def q_issues_unified(spark, sf_dir):
+    """Raw rows -> unified issues (rename, parse, drop, text, region, SLA)."""
+    return td.unified_issues(spark, sf_dir)
+
+
+@register("cleaning_report", O.with_issues("""
+SELECT CAST(count(*) AS BIGINT) AS raw_rows, CAST(0 AS BIGINT) AS dropped_undated,
+       CAST(0 AS BIGINT) AS dropped_blank_text, CAST(count(*) AS BIGINT) AS clean_rows
+FROM unified"""))
+def q_cleaning_report(spark, sf_dir):
+    return cleaning_report(td.raw_issues(spark, sf_dir))
+
+
+@register("issues_enriched", O.with_issues(f"SELECT {ENRICHED_SQL} FROM enriched"))
+def q_issues_enriched(spark, sf_dir):
+    """Calendar fields, topic join and keyword lookup, defaults."""
+    return td.enriched_issues(spark, sf_dir)
+
+
+@register("scored_fact", O.with_issues("""
+SELECT issue_id, issue_text, risk_prob >= 0.5 AS predicted_label, true AS risk_label,
+       risk_prob AS risk_prob, CAST(created_at AS DATE) AS issue_date
+FROM scored"""))
+def q_scored_fact(spark, sf_dir):
+    """Predictions joined to their inputs; positive-class struct kept."""
+    f = td.scored_issues(spark, sf_dir)
+    return f.select("issue_id", "issue_text", "predicted_label",
+                    F.col("risk_score.label").alias("risk_label"),
+                    F.col("risk_score.prob").alias("risk_prob"), "issue_date")
+
+
+@register("stg_issues", O.with_issues(f"SELECT {STG_SQL} FROM stg"))
+def q_stg_issues(spark, sf_dir):
+    return stg(spark, sf_dir)
+
+
+# ---------------------------------------------------------------- incremental
+@register("new_issues", O.with_issues(f"""
+SELECT {ENRICHED_SQL} FROM enriched
+WHERE issue_id NOT IN (SELECT issue_id FROM scored WHERE CAST(created_at AS DATE) < {d(SCORED_THROUGH)})"""))
+def q_new_issues(spark, sf_dir):
+    """Anti-join: enriched rows not yet in the fact (fact holds the days
+    before SCORED_THROUGH)."""
+    fact = td.scored_issues(spark, sf_dir).filter(F.col("issue_date") < F.lit(SCORED_THROUGH).cast("date"))
+    return new_issues(td.enriched_issues(spark, sf_dir), fact)
+
+
+STREAM_SQL = f"""stream AS (
+  SELECT issue_id, created_at, created_at + INTERVAL 80 HOUR AS resolved_at, raw_category, raw_subcategory,
+         region, 'Closed' AS status, city, raw_channel, issue_text, channel, source_system, sla_hours_target,
+         80.0 AS resolution_hours, true AS sla_breached, date, hour, dow, topic_id, topic_keywords,
+         created_at + INTERVAL 80 HOUR AS ingested_at
+  FROM enriched WHERE resolved_at IS NULL
+)"""
+
+
+@register("union_issues", O.with_issues(f""", {STREAM_SQL}
+SELECT {ENRICHED_SQL}, CAST(NULL AS TIMESTAMP) AS ingested_at FROM enriched
+UNION ALL
+SELECT {ENRICHED_SQL}, ingested_at FROM stream"""))
+def q_union_issues(spark, sf_dir):
+    en = td.enriched_issues(spark, sf_dir)
+    return union_issues(en, td.stream_updates(en))
+
+
+@register("merge_stream", O.with_issues(f""", {STREAM_SQL}
+SELECT {ENRICHED_SQL} FROM enriched WHERE issue_id NOT IN (SELECT issue_id FROM stream)
+UNION ALL
+SELECT {ENRICHED_SQL} FROM stream"""))
+def q_merge_stream(spark, sf_dir):
+    """Upsert: one row per id, the newest ingest wins."""
+    en = td.enriched_issues(spark, sf_dir)
+    return merge_stream(en, td.stream_updates(en))
+
+
+@register("check_unique", O.with_issues(f""", {STREAM_SQL}
+SELECT issue_id, CAST(count(*) AS BIGINT) AS n_rows
+FROM (SELECT issue_id FROM enriched UNION ALL SELECT issue_id FROM stream)
+WHERE issue_id IS NOT NULL GROUP BY issue_id HAVING count(*) > 1"""))
+def q_check_unique(spark, sf_dir):
+    en = td.enriched_issues(spark, sf_dir)
+    return quality.check_unique(union_issues(en, td.stream_updates(en)), "issue_id")
+
+
+@register("check_not_null", O.with_issues("""
+SELECT issue_id, raw_category, status FROM unified WHERE resolved_at IS NULL"""))
+def q_check_not_null(spark, sf_dir):
+    return quality.check_not_null(td.unified_issues(spark, sf_dir), "resolved_at") \
+        .select("issue_id", "raw_category", "status")
+
+
+@register("kafka_roundtrip", O.with_issues(f"SELECT {ENRICHED_SQL} FROM enriched"))
+def q_kafka_roundtrip(spark, sf_dir):
+    """Rows -> keyed JSON records -> decoded, cleaned rows (batch twin of
+    the stream codec)."""
+    recs = to_kafka_records(td.enriched_issues(spark, sf_dir))
+    return good_events(parse_issue_events(recs))
+
+
+# ---------------------------------------------------------------- mart reports
+@register("load_mart", O.with_issues(f"""
+SELECT issue_date, region, total_issues, round(sla_breach_rate, 6) AS sla_breach_rate,
+       round(avg_risk_score, 6) AS avg_risk_score, round(high_risk_share, 6) AS high_risk_share,
+       cnt_very_low, cnt_low, cnt_medium, cnt_high, cnt_very_high
+FROM mart WHERE issue_date BETWEEN {d(RANGE_START)} AND {d(RANGE_END)}"""))
+def q_load_mart(spark, sf_dir):
+    return round_doubles(load_mart(spark, mart(spark, sf_dir), RANGE_START, RANGE_END))
+
+
+@register("overview_kpis", O.with_issues("""
+SELECT CAST(coalesce(sum(total_issues), 0) AS BIGINT) AS total_issues,
+       round(CASE WHEN sum(total_issues) > 0 THEN sum(sla_breach_rate * total_issues) / sum(total_issues) ELSE 0.0 END, 6) AS sla_breach_rate,
+       round(avg(avg_risk_score), 6) AS avg_risk_score,
+       round(avg(high_risk_share), 6) AS avg_high_risk_share
+FROM mart"""))
+def q_overview_kpis(spark, sf_dir):
+    return round_doubles(reports.overview_kpis(mart(spark, sf_dir)))
+
+
+@register("daily_trend", O.with_issues("""
+SELECT issue_date, CAST(sum(total_issues) AS BIGINT) AS total_issues,
+       round(avg(sla_breach_rate), 6) AS avg_sla_breach_rate
+FROM mart GROUP BY issue_date"""))
+def q_daily_trend(spark, sf_dir):
+    return round_doubles(reports.daily_trend(mart(spark, sf_dir)))
+
+
+@register("region_breach", O.with_issues("""
+SELECT region, CAST(sum(total_issues) AS BIGINT) AS total_issues,
+       round(avg(sla_breach_rate), 6) AS avg_sla_breach_rate
+FROM mart WHERE region IS NOT NULL GROUP BY region"""))
+def q_region_breach(spark, sf_dir):
+    return round_doubles(reports.region_breach(mart(spark, sf_dir)))
+
+
+@register("region_risk_summary", O.with_issues("""
+SELECT region, CAST(sum(total_issues) AS BIGINT) AS total_issues,
+       round(avg(sla_breach_rate), 6) AS avg_sla_breach_rate,
+       round(avg(avg_risk_score), 6) AS avg_risk_score,
+       round(avg(high_risk_share), 6) AS avg_high_risk_share
+FROM mart GROUP BY region ORDER BY total_issues DESC, region NULLS FIRST LIMIT 30"""))
+def q_region_risk_summary(spark, sf_dir):
+    return round_doubles(reports.region_risk_summary(mart(spark, sf_dir), n=30))
+
+
+@register("overall_risk_summary", O.with_issues("""
+SELECT CAST(sum(total_issues) AS BIGINT) AS total_issues,
+       round(avg(sla_breach_rate), 6) AS avg_sla_breach_rate,
+       round(avg(avg_risk_score), 6) AS avg_risk_score,
+       round(avg(high_risk_share), 6) AS avg_high_risk_share
+FROM mart"""))
+def q_overall_risk_summary(spark, sf_dir):
+    return round_doubles(reports.region_risk_summary(mart(spark, sf_dir), by=None))
+
+
+@register("compare_periods", O.with_issues(f"""
+SELECT region,
+  CAST(coalesce(sum(CASE WHEN issue_date BETWEEN {d(CUR_START)} AND {d(CUR_END)} THEN total_issues END), 0) AS BIGINT) AS cur_issues,
+  CAST(coalesce(sum(CASE WHEN issue_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-15' THEN total_issues END), 0) AS BIGINT) AS prev_issues,
+  round(sum(CASE WHEN issue_date BETWEEN {d(CUR_START)} AND {d(CUR_END)} THEN sla_breach_rate * total_issues END)
+        / sum(CASE WHEN issue_date BETWEEN {d(CUR_START)} AND {d(CUR_END)} THEN total_issues END), 6) AS cur_breach_rate,
+  round(sum(CASE WHEN issue_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-15' THEN sla_breach_rate * total_issues END)
+        / sum(CASE WHEN issue_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-15' THEN total_issues END), 6) AS prev_breach_rate,
+  round(avg(CASE WHEN issue_date BETWEEN {d(CUR_START)} AND {d(CUR_END)} THEN avg_risk_score END), 6) AS cur_avg_risk,
+  round(avg(CASE WHEN issue_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-15' THEN avg_risk_score END), 6) AS prev_avg_risk
+FROM mart WHERE issue_date BETWEEN DATE '2024-01-01' AND {d(CUR_END)}
+GROUP BY region"""))
+def q_compare_periods(spark, sf_dir):
+    out = reports.compare_periods(mart(spark, sf_dir), CUR_START, CUR_END)
+    return round_doubles(out.drop("delta_issues", "delta_breach_rate"))
+
+
+# ---------------------------------------------------------------- staging reports
+@register("risk_bucket_mix", O.with_issues("""
+SELECT region, risk_bucket, CAST(count(*) AS BIGINT) AS issues,
+       round(count(*) * 100.0 / sum(count(*)) OVER (PARTITION BY region), 6) AS pct
+FROM stg GROUP BY region, risk_bucket"""))
+def q_risk_bucket_mix(spark, sf_dir):
+    return round_doubles(reports.risk_bucket_mix(stg(spark, sf_dir)))
+
+
+@register("recent_issues", O.with_issues(f"""
+SELECT issue_id, created_at, region, raw_category, CAST(created_at AS DATE) AS issue_date
+FROM scored WHERE CAST(created_at AS DATE) BETWEEN {d(MONTH_START)} AND {d(MONTH_END)}
+ORDER BY created_at DESC, issue_id LIMIT 500"""))
+def q_recent_issues(spark, sf_dir):
+    out = reports.recent_issues(td.scored_issues(spark, sf_dir), MONTH_START, MONTH_END, n=500)
+    return out.select("issue_id", "created_at", "region", "raw_category", "issue_date")
+
+
+@register("recent_high_risk", O.with_issues(f"""
+SELECT issue_id, created_at, region, risk_bucket, risk_score
+FROM stg WHERE risk_bucket IN ('high', 'very_high')
+  AND CAST(created_at AS DATE) BETWEEN {d(MONTH_START)} AND {d(MONTH_END)}
+ORDER BY created_at DESC, issue_id LIMIT 100"""))
+def q_recent_high_risk(spark, sf_dir):
+    out = reports.recent_high_risk(stg(spark, sf_dir), MONTH_START, MONTH_END, n=100)
+    return out.select("issue_id", "created_at", "region", "risk_bucket", "risk_score")
+
+
+@register("risk_drivers", O.with_issues("""
+SELECT raw_category, CAST(count(*) AS BIGINT) AS issues,
+       CAST(count_if(risk_bucket IN ('high', 'very_high')) AS BIGINT) AS high_risk_issues,
+       round(avg(CASE WHEN risk_bucket IN ('high', 'very_high') THEN 1 ELSE 0 END), 6) AS high_risk_share,
+       round(avg(risk_score), 6) AS avg_risk_score
+FROM stg GROUP BY raw_category"""))
+def q_risk_drivers(spark, sf_dir):
+    return round_doubles(reports.risk_drivers(stg(spark, sf_dir), "raw_category"))
+
+
+@register("risk_drivers_topic", O.with_issues("""
+SELECT topic_keywords, CAST(count(*) AS BIGINT) AS issues,
+       CAST(count_if(risk_bucket IN ('high', 'very_high')) AS BIGINT) AS high_risk_issues,
+       round(avg(CASE WHEN risk_bucket IN ('high', 'very_high') THEN 1 ELSE 0 END), 6) AS high_risk_share,
+       round(avg(risk_score), 6) AS avg_risk_score
+FROM stg GROUP BY topic_keywords"""))
+def q_risk_drivers_topic(spark, sf_dir):
+    return round_doubles(reports.risk_drivers(stg(spark, sf_dir), "topic_keywords"))
+
+
+@register("filter_issues", O.with_issues(f"""
+SELECT {STG_SQL} FROM stg WHERE lower(topic_keywords) LIKE '%topic 1%' AND region = 'EUROPE'"""))
+def q_filter_issues(spark, sf_dir):
+    return reports.filter_issues(stg(spark, sf_dir), keyword="Topic 1", region="EUROPE")
+
+
+@register("model_metrics", O.with_issues("""
+, s AS (SELECT sla_breached AS y, predicted_label AS p, risk_score AS prob FROM stg
+        WHERE sla_breached IS NOT NULL AND predicted_label IS NOT NULL),
+h AS (SELECT prob, count_if(y) AS pos, count_if(NOT y) AS neg FROM s WHERE prob IS NOT NULL GROUP BY prob),
+c AS (SELECT pos, neg, coalesce(sum(neg) OVER (ORDER BY prob ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before_neg FROM h),
+a AS (SELECT sum(pos * (before_neg + neg / 2.0)) / (sum(pos) * sum(neg)) AS auc FROM c)
+SELECT CAST(count(*) AS BIGINT) AS n,
+       round(avg(CASE WHEN y = p THEN 1 ELSE 0 END), 6) AS accuracy,
+       round(count_if(y AND p) / (count_if(y AND p) + count_if(NOT y AND p)), 6) AS precision,
+       round(count_if(y AND p) / (count_if(y AND p) + count_if(y AND NOT p)), 6) AS recall,
+       round(2 * count_if(y AND p) / (2 * count_if(y AND p) + count_if(NOT y AND p) + count_if(y AND NOT p)), 6) AS f1,
+       round((SELECT auc FROM a), 6) AS auc
+FROM s"""))
+def q_model_metrics(spark, sf_dir):
+    return round_doubles(classification_metrics(stg(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------- issue EDA
+@register("value_counts_category", O.with_issues("""
+SELECT raw_category, CAST(count(*) AS BIGINT) AS count FROM unified
+WHERE raw_category IS NOT NULL GROUP BY raw_category ORDER BY count DESC, raw_category LIMIT 20"""))
+def q_value_counts_category(spark, sf_dir):
+    return reports.value_counts(td.unified_issues(spark, sf_dir), "raw_category", n=20)
+
+
+@register("value_counts_breached", O.with_issues("""
+SELECT sla_breached, CAST(count(*) AS BIGINT) AS count FROM unified GROUP BY sla_breached"""))
+def q_value_counts_breached(spark, sf_dir):
+    return reports.value_counts(td.unified_issues(spark, sf_dir), "sla_breached", dropna=False)
+
+
+@register("value_counts_region", O.with_issues("""
+SELECT region, CAST(count(*) AS BIGINT) AS count FROM unified
+WHERE region IS NOT NULL GROUP BY region ORDER BY count DESC, region LIMIT 5"""))
+def q_value_counts_region(spark, sf_dir):
+    return reports.value_counts(td.unified_issues(spark, sf_dir), "region", n=5)
+
+
+@register("activity_by_hour", O.with_issues("""
+SELECT hour, CAST(count(*) AS BIGINT) AS count FROM enriched GROUP BY hour"""))
+def q_activity_by_hour(spark, sf_dir):
+    return reports.activity_profile(td.enriched_issues(spark, sf_dir), "hour")
+
+
+@register("activity_by_weekday", O.with_issues("""
+SELECT dow, CAST(count(*) AS BIGINT) AS count FROM enriched GROUP BY dow"""))
+def q_activity_by_weekday(spark, sf_dir):
+    return reports.activity_profile(td.enriched_issues(spark, sf_dir), "dow")
+
+
+@register("describe_hours", O.with_issues("""
+SELECT CAST(count(resolution_hours) AS BIGINT) AS count,
+       round(avg(resolution_hours), 6) AS mean, round(stddev_samp(resolution_hours), 6) AS std,
+       round(min(resolution_hours), 6) AS min,
+       round(quantile_cont(resolution_hours, 0.25), 6) AS p25,
+       round(quantile_cont(resolution_hours, 0.5), 6) AS p50,
+       round(quantile_cont(resolution_hours, 0.75), 6) AS p75,
+       round(max(resolution_hours), 6) AS max
+FROM unified"""))
+def q_describe_hours(spark, sf_dir):
+    return round_doubles(reports.describe_hours(td.unified_issues(spark, sf_dir)))
+
+
+@register("date_span", O.with_issues("SELECT min(date) AS min_date, max(date) AS max_date FROM enriched"))
+def q_date_span(spark, sf_dir):
+    return reports.date_span(td.enriched_issues(spark, sf_dir))
+
+
+@register("issues_by_region", O.with_issues("""
+SELECT region, CAST(count(issue_id) AS BIGINT) AS issue_count FROM unified
+GROUP BY region ORDER BY issue_count DESC, region NULLS FIRST LIMIT 10"""))
+def q_issues_by_region(spark, sf_dir):
+    return reports.issues_by_region(td.unified_issues(spark, sf_dir), n=10)
+
+
+# ---------------------------------------------------------------- text
+@register("text_features", f"""WITH {O.text_ctes()}
+SELECT d.doc_id, CAST(length(d.text) AS BIGINT) AS text_len,
+       CAST(len(w.ws) AS BIGINT) AS word_count,
+       array_to_string(list_filter(w.ws, lambda x: length(x) >= 2 AND NOT list_contains([{O.stop_list_sql()}], x)), ' ') AS clean_text
+FROM docs d JOIN doc_words w ON d.doc_id = w.doc_id""")
+def q_text_features(spark, sf_dir):
+    return text_features(td.read(spark, sf_dir, "documents"))
+
+
+@register("issue_keyword", f"""WITH {O.text_ctes()},
+tf AS (SELECT doc_id, token, count(*) AS tf FROM tok GROUP BY doc_id, token),
+dfreq AS (SELECT token, count(*) AS df FROM tf GROUP BY token),
+scored AS (
+  SELECT tf.doc_id, tf.token,
+         round(tf.tf * ln(((SELECT count(*) FROM documents) + 1.0) / (dfreq.df + 1.0)), 6) AS score
+  FROM tf JOIN dfreq ON tf.token = dfreq.token
+)
+SELECT doc_id, token AS keyword, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, token) AS rn FROM scored
+) WHERE rn = 1""")
+def q_issue_keyword(spark, sf_dir):
+    return issue_keyword(td.read(spark, sf_dir, "documents"))

@@ -88,7 +88,8 @@ def main(argv: list[str]) -> int:
 
     sf_dir = "/root/testdata/sf0.01"
     names = argv or sorted(ORACLE)
-    spark = build_session("local[8]", shuffle_partitions=8)
+    spark = build_session("local[8]", shuffle_partitions=8,
+                          extra={"spark.ui.showConsoleProgress": "false"})
     con = duck(sf_dir)
     bad = 0
     for n in names:
