@@ -419,3 +419,111 @@ SELECT doc_id, token AS keyword, score FROM (
 ) WHERE rn = 1""")
 def q_issue_keyword(spark, sf_dir):
     return issue_keyword(td.read(spark, sf_dir, "documents"))
+
+
+# ---------------------------------------------------------------- rows-only
+# Models, topics, streams and the hash sample have no SQL twin; the driver
+# checks their rows, the tests check their properties.
+import uuid  # noqa: E402
+
+from ..operators import risk_model as RM  # noqa: E402
+from ..operators import topics as T  # noqa: E402
+from ..operators.enrich import enrich  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from ..sinks.tables import append_scored, create_fact_table  # noqa: E402
+from ..streaming import ingest as SI  # noqa: E402
+from .daily import run_daily  # noqa: E402
+
+TOPIC_ITERATIONS = 10
+
+
+def _fact_through(spark, sf_dir):
+    return td.scored_issues(spark, sf_dir).filter(F.col("issue_date") < F.lit(SCORED_THROUGH).cast("date"))
+
+
+@register("document_topics")
+def q_document_topics(spark, sf_dir):
+    """LDA on the documents (vectoriser + 15 topics); dominant topic per text."""
+    docs = td.read(spark, sf_dir, "documents")
+    m = T.fit_topics(docs, text_col="text", key="doc_id", max_iter=TOPIC_ITERATIONS)
+    return T.assign_topics(m, docs, key="doc_id", text_col="text")
+
+
+@register("topic_terms")
+def q_topic_terms(spark, sf_dir):
+    """Ten heaviest words of each of the 15 document topics."""
+    docs = td.read(spark, sf_dir, "documents")
+    m = T.fit_topics(docs, text_col="text", key="doc_id", max_iter=TOPIC_ITERATIONS)
+    return T.topic_terms(m)
+
+
+@register("issues_topic_enriched")
+def q_issues_topic_enriched(spark, sf_dir):
+    """Unified issues enriched with topics fitted on their own texts."""
+    uni = td.unified_issues(spark, sf_dir)
+    m = T.fit_topics(uni, max_iter=TOPIC_ITERATIONS)
+    return enrich(uni, T.assign_topics(m, uni), T.topic_terms(m))
+
+
+@register("train_evaluate")
+def q_train_evaluate(spark, sf_dir):
+    """Three classifiers on the enriched issues; holdout metrics per model."""
+    return RM.train_models(td.enriched_issues(spark, sf_dir)).metrics
+
+
+@register("score_new_issues")
+def q_score_new_issues(spark, sf_dir):
+    """Model fitted on the fact, applied to the issues not yet scored."""
+    fact = _fact_through(spark, sf_dir)
+    model = RM.train_models(fact, names=["logistic_regression"]).models["logistic_regression"]
+    scored = RM.score_issues(model, new_issues(td.enriched_issues(spark, sf_dir), fact))
+    return scored.select("issue_id", "predicted_label", F.col("risk_score.label").alias("risk_label"),
+                         F.col("risk_score.prob").alias("risk_prob"))
+
+
+@register("daily_run")
+def q_daily_run(spark, sf_dir):
+    """Full incremental run on a fact holding the days before SCORED_THROUGH:
+    new -> score -> stage -> append -> refresh touched mart days."""
+    tag = uuid.uuid4().hex[:10]
+    fact_table, mart_table = f"issues_scored_{tag}", f"mart_region_day_{tag}"
+    create_fact_table(spark, fact_table, scratch_path(spark, "fact"))
+    seed = _fact_through(spark, sf_dir)
+    append_scored(seed, fact_table)
+    model = RM.train_models(seed, names=["logistic_regression"]).models["logistic_regression"]
+    run_daily(spark, td.enriched_issues(spark, sf_dir), fact_table, model, mart_table,
+              scratch_path(spark, "mart"))
+    return spark.table(mart_table)
+
+
+def _landed_stream(spark, sf_dir):
+    """Stream rows of the tables sent as JSON lines and ingested by the
+    Structured Streaming job (file source, availableNow)."""
+    en = td.enriched_issues(spark, sf_dir)
+    src = scratch_path(spark, "stream-src")
+    recs = to_kafka_records(td.stream_updates(en).drop("ingested_at"))
+    SI.write_issue_records(recs.repartition(4), src)
+    land, quarantine = scratch_path(spark, "stream-land"), scratch_path(spark, "stream-bad")
+    stream = SI.read_issue_stream(spark, source="text", path=src, max_per_trigger=1)
+    q = SI.start_ingest(stream, land, scratch_path(spark, "stream-ckpt"), quarantine)
+    q.awaitTermination()
+    return en, SI.read_landed(spark, land)
+
+
+@register("stream_ingest")
+def q_stream_ingest(spark, sf_dir):
+    _, landed = _landed_stream(spark, sf_dir)
+    return landed.drop("ingested_at", "batch_id")
+
+
+@register("stream_merge")
+def q_stream_merge(spark, sf_dir):
+    """Upsert of the ingested stream into the enriched issues."""
+    en, landed = _landed_stream(spark, sf_dir)
+    return merge_stream(en, landed.drop("batch_id"))
+
+
+@register("sample_rows")
+def q_sample_rows(spark, sf_dir):
+    """Seeded, partition-independent sample of 1,000 issues."""
+    return reports.sample_rows(td.unified_issues(spark, sf_dir), 1000)

@@ -32,18 +32,20 @@ def _string_fields():
 
 
 def parse_issue_events(records: DataFrame, value_col: str = "value",
-                       key_col: str | None = "key") -> DataFrame:
+                       key_col: str | None = "key", keep: tuple[str, ...] = ()) -> DataFrame:
     """Decode JSON values into typed enriched-issue columns.
 
     Numbers are parsed as double so bare ``NaN`` / ``Infinity`` survive and
     become null; a ``NaN`` that landed in a text field is nulled too; the id
     is text whatever its JSON type, and falls back to the record key.
-    Undecodable lines keep their text in ``_corrupt_record``.
+    Undecodable lines keep their text in ``_corrupt_record``; columns in
+    ``keep`` (e.g. the ingest time) pass through.
     """
     schema = StructType(ISSUE_EVENT_SCHEMA.fields + [StructField(CORRUPT, StringType(), True)])
     opts = {"allowNonNumericNumbers": "true", "mode": "PERMISSIVE",
             "columnNameOfCorruptRecord": CORRUPT}
-    parsed = records.select(*( [F.col(key_col).cast("string").alias("_key")] if key_col else []),
+    parsed = records.select(*([F.col(key_col).cast("string").alias("_key")] if key_col else []),
+                            *[F.col(c) for c in keep],
                             F.from_json(F.col(value_col).cast("string"), schema, opts).alias("j"))
     j = F.col("j")
     cols = {}
@@ -68,14 +70,16 @@ def parse_issue_events(records: DataFrame, value_col: str = "value",
         num["topic_id"].cast("int").alias("topic_id"),
         cols["topic_keywords"].alias("topic_keywords"),
         j.getField(CORRUPT).alias(CORRUPT),
+        *[F.col(c) for c in keep],
     )
     return out
 
 
-def good_events(parsed: DataFrame) -> DataFrame:
-    """Decoded rows (an id present, the line parsed), enriched columns only."""
+def good_events(parsed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Decoded rows (an id present, the line parsed): enriched columns and
+    the pass-through ones."""
     ok = F.col(CORRUPT).isNull() & F.col("issue_id").isNotNull()
-    return parsed.filter(ok).select(ENRICHED_COLUMNS)
+    return parsed.filter(ok).select(*ENRICHED_COLUMNS, *keep)
 
 
 def bad_events(parsed: DataFrame) -> DataFrame:
