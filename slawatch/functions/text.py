@@ -39,9 +39,7 @@ def _c(c: Column | str) -> Column:
 
 def normalize_text(text: Column | str) -> Column:
     """Lower-case, every run of non-letters to one space, trimmed."""
-    lowered = F.lower(_c(text))
-    spaced = F.regexp_replace(lowered, NON_LETTERS, " ")
-    return F.trim(F.regexp_replace(spaced, " +", " "))
+    return F.trim(F.regexp_replace(F.lower(_c(text)), NON_LETTERS, " "))
 
 
 def words(clean: Column | str) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import content_tokens, normalize_text, text_len, word_count, clean_text
+from ..functions.text import MIN_TOKEN_LETTERS, clean_text, normalize_text, stop_words, text_len, word_count
 
 
 def text_features(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -17,11 +17,15 @@ def text_features(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def term_frequencies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, token, tf). The explode and the partial count run in the scan's
-    map stage, so each text's repeated words are combined before the
-    shuffle."""
-    tokens = df.select(id_col, F.explode(content_tokens(normalize_text(text_col))).alias("token"))
-    return tokens.groupBy(id_col, "token").agg(F.count(F.lit(1)).alias("tf"))
+    """(id, token, tf). Normalised once per text, split and exploded, then
+    filtered by plain predicates (the stop list becomes a hash-set lookup
+    inside whole-stage codegen). The explode and the partial count run in
+    the scan's map stage, so a text's repeated words are combined before
+    the shuffle."""
+    clean = df.select(id_col, normalize_text(text_col).alias("_clean"))
+    tokens = clean.select(id_col, F.explode(F.split("_clean", " ")).alias("token"))
+    keep = (F.length("token") >= MIN_TOKEN_LETTERS) & ~F.col("token").isin(list(stop_words()))
+    return tokens.filter(keep).groupBy(id_col, "token").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def issue_keyword(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -36,7 +40,10 @@ def issue_keyword(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     subquery, not a cross join. Texts without any token get no row.
     """
     tf = term_frequencies(df, id_col, text_col)
-    dfreq = tf.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    # count_if(tf > 0) (not count(1)) keeps the tf column alive, so this
+    # branch's subtree stays identical to the tf branch and the tokenising
+    # scan and its shuffle run once and are reused (ReuseExchange).
+    dfreq = tf.groupBy("token").agg(F.count_if(F.col("tf") > 0).alias("df"))
     n = df.select(F.count(F.lit(1))).scalar()
     idf = F.log((n + F.lit(1.0)) / (F.col("df") + F.lit(1.0)))
     scored = tf.join(dfreq, "token").withColumn("score", F.round(F.col("tf") * idf, digits))
