@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import MIN_TOKEN_LETTERS, clean_text, normalize_text, stop_words, text_len, word_count
+from ..functions.text import MIN_TOKEN_LETTERS, NON_LETTERS, clean_text, stop_words, text_len, word_count
 
 
 def text_features(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -17,13 +17,14 @@ def text_features(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def term_frequencies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, token, tf). Normalised once per text, split and exploded, then
+    """(id, token, tf). Each text is split once and exploded, then
     filtered by plain predicates (the stop list becomes a hash-set lookup
     inside whole-stage codegen). The explode and the partial count run in
     the scan's map stage, so a text's repeated words are combined before
     the shuffle."""
-    clean = df.select(id_col, normalize_text(text_col).alias("_clean"))
-    tokens = clean.select(id_col, F.explode(F.split("_clean", " ")).alias("token"))
+    # One regex pass: split the lower-cased text on runs of non-letters (the
+    # same words as normalising first; empty edge pieces fail the length test).
+    tokens = df.select(id_col, F.explode(F.split(F.lower(F.col(text_col)), NON_LETTERS)).alias("token"))
     keep = (F.length("token") >= MIN_TOKEN_LETTERS) & ~F.col("token").isin(list(stop_words()))
     return tokens.filter(keep).groupBy(id_col, "token").agg(F.count(F.lit(1)).alias("tf"))
 

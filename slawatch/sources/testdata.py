@@ -80,13 +80,15 @@ def unified_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unify_issues(raw_issues(spark, sf_dir), source=SOURCE_NAME)
 
 
-def topic_assignments(unified: DataFrame) -> DataFrame:
-    """A given topic table (issue_id, topic_id): closed tickets only, topic
-    from the descriptor; open tickets stay without a topic."""
-    return (unified.filter(F.col("resolved_at").isNotNull())
-                   .select("issue_id",
-                           (F.col("raw_subcategory").try_cast("int") % TOPIC_MOD).cast("int").alias("topic_id"))
-                   .filter(F.col("topic_id").isNotNull()))
+def topic_assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A given topic table (issue_id, topic_id), as an upstream topic job
+    would deliver it: closed tickets only, topic from the descriptor; open
+    tickets stay without a topic. Read straight from ``events``."""
+    ev = read(spark, sf_dir, "events").select("event_id", "event_type", "props")
+    topic = (F.get_json_object("props", "$.k").try_cast("int") % TOPIC_MOD).cast("int")
+    return (ev.filter(F.col("event_type") != OPEN_EVENT_TYPE)
+              .select(F.col("event_id").cast("string").alias("issue_id"), topic.alias("topic_id"))
+              .filter(F.col("topic_id").isNotNull()))
 
 
 def topic_terms(assignments: DataFrame) -> DataFrame:
@@ -97,9 +99,8 @@ def topic_terms(assignments: DataFrame) -> DataFrame:
 
 
 def enriched_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    uni = unified_issues(spark, sf_dir)
-    a = topic_assignments(uni)
-    return enrich(uni, a, topic_terms(a))
+    a = topic_assignments(spark, sf_dir)
+    return enrich(unified_issues(spark, sf_dir), a, topic_terms(a))
 
 
 def score_prob(event_id: F.Column, user_id: F.Column) -> F.Column:
