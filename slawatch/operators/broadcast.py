@@ -1,0 +1,19 @@
+"""Size-checked broadcast."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Lookup tables up to this many rows are broadcast; larger ones are joined
+# by the planner (AQE still broadcasts them if their measured size is small).
+MAX_BROADCAST_ROWS = 100_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Mark ``df`` for broadcast only after checking it has at most
+    ``max_rows`` rows (a ``limit(max_rows + 1)`` count: it stops reading
+    once the bound is passed). Otherwise return it unmarked, so a big side
+    goes through a shuffle join instead of exhausting executor memory."""
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

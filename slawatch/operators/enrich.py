@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import dow_monday0
 from ..schemas import ENRICHED_COLUMNS, UNKNOWN_TOPIC_ID, UNKNOWN_TOPIC_KEYWORDS
+from .broadcast import broadcast_if_small
 
 
 def add_calendar(df: DataFrame, ts: str = "created_at") -> DataFrame:
@@ -24,14 +25,17 @@ def attach_topics(issues: DataFrame, assignments: DataFrame, terms: DataFrame) -
 
     ``assignments`` (issue_id, topic_id) has at most one row per issue; it is
     as large as the issues, so the planner shuffles or broadcasts it by size.
-    ``terms`` (topic_id, topic_keywords) has one row per topic, i.e. at most k
-    rows, so it is broadcast: the lookup never shuffles the issues.
+    Issues without an id cannot match and skip that join (no single hot
+    null-key task). ``terms`` (topic_id, topic_keywords) has one row per
+    topic (k rows); it is broadcast after a row-count check, so the lookup
+    never shuffles the issues.
     """
     a = assignments.select("issue_id", F.col("topic_id").cast("int").alias("topic_id"))
     t = terms.select(F.col("topic_id").cast("int").alias("topic_id"), "topic_keywords")
     base = issues.drop("topic_id", "topic_keywords")
-    out = (base.join(a, "issue_id", "left")
-               .join(F.broadcast(t), "topic_id", "left"))
+    keyed = base.filter(F.col("issue_id").isNotNull()).join(a, "issue_id", "left")
+    unkeyed = base.filter(F.col("issue_id").isNull()).withColumn("topic_id", F.lit(None).cast("int"))
+    out = keyed.unionByName(unkeyed).join(broadcast_if_small(t), "topic_id", "left")
     return out.withColumns({
         "topic_id": F.coalesce(F.col("topic_id"), F.lit(UNKNOWN_TOPIC_ID)).cast("int"),
         "topic_keywords": F.coalesce(F.col("topic_keywords"), F.lit(UNKNOWN_TOPIC_KEYWORDS)),

@@ -24,6 +24,27 @@ def new_issues(enriched: DataFrame, scored: DataFrame, key: str = "issue_id") ->
     return keyed.join(seen, key, "left_anti").unionByName(unkeyed)
 
 
+def batch_days(batch: DataFrame, day_col: str) -> list:
+    """The distinct days of a batch (bounded by the calendar, not by the
+    data: a daily batch spans a few days)."""
+    return sorted(r[0] for r in batch.select(day_col).distinct().collect() if r[0] is not None)
+
+
+def new_issues_by_day(enriched: DataFrame, scored: DataFrame, key: str = "issue_id",
+                      day_col: str = "date", fact_day_col: str = "issue_date") -> DataFrame:
+    """``new_issues`` reading only the fact partitions of the batch's days.
+
+    An issue's day is derived from its creation time, which never changes,
+    so a scored copy of a batch row can only sit in a partition of one of the
+    batch's days: the anti-join is exact while the fact scan shrinks from
+    all history to a few ``issue_date`` partitions (static partition
+    filter, pruned at planning time).
+    """
+    days = batch_days(enriched, day_col)
+    recent = scored.filter(F.col(fact_day_col).isin(days)) if days else scored.limit(0)
+    return new_issues(enriched, recent, key)
+
+
 def attach_predictions(issues: DataFrame, preds: DataFrame, key: str = "issue_id") -> DataFrame:
     """Inner equi-join of an external prediction table to its inputs.
 

@@ -71,7 +71,7 @@ def q_mart_region_day(spark, sf_dir):
 from ..operators import quality, reports  # noqa: E402
 from ..operators.cleaning import cleaning_report  # noqa: E402
 from ..operators.evaluate import classification_metrics  # noqa: E402
-from ..operators.incremental import merge_stream, new_issues, union_issues  # noqa: E402
+from ..operators.incremental import merge_stream, new_issues, new_issues_by_day, union_issues  # noqa: E402
 from ..operators.keywords import issue_keyword, text_features  # noqa: E402
 from ..schemas import ENRICHED_COLUMNS, UNIFIED_COLUMNS  # noqa: E402
 from ..sources.files import load_mart  # noqa: E402
@@ -142,6 +142,14 @@ def q_new_issues(spark, sf_dir):
     return new_issues(td.enriched_issues(spark, sf_dir), fact)
 
 
+@register("new_issues_by_day", ORACLE["new_issues"])
+def q_new_issues_by_day(spark, sf_dir):
+    """The same anti-join reading only the fact partitions of the batch's
+    days (static partition filter on issue_date)."""
+    fact = td.scored_issues(spark, sf_dir).filter(F.col("issue_date") < F.lit(SCORED_THROUGH).cast("date"))
+    return new_issues_by_day(td.enriched_issues(spark, sf_dir), fact)
+
+
 STREAM_SQL = f"""stream AS (
   SELECT issue_id, created_at, created_at + INTERVAL 80 HOUR AS resolved_at, raw_category, raw_subcategory,
          region, 'Closed' AS status, city, raw_channel, issue_text, channel, source_system, sla_hours_target,

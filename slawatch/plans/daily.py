@@ -1,7 +1,8 @@
 """The daily job: score what is new, append it, refresh the touched days
 of the mart.
 
-1. ``new_issues``: anti-join of the enriched issues against the fact's ids;
+1. ``new_issues_by_day``: anti-join of the enriched issues against the
+   fact's ids, reading only the fact partitions of the batch's days;
 2. ``score_issues``: model transform (map-only);
 3. the scored batch is staged as Parquet in the shared checkpoint folder
    (lineage cut: a lost executor re-reads the stage, it does not re-run the
@@ -22,7 +23,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.incremental import new_issues, to_fact
+from ..operators.incremental import new_issues_by_day, to_fact
 from ..operators.mart import mart_issues_by_region_day, stg_issues
 from ..operators.risk_model import score_issues
 from ..schemas import MART_COLUMNS
@@ -62,7 +63,7 @@ def run_daily(spark: SparkSession, enriched: DataFrame, fact_table: str,
               model: PipelineModel, mart_table: str, mart_path: str | None = None) -> DailyResult:
     """One incremental run; a second run on the same input adds nothing."""
     fact = spark.table(fact_table)
-    batch = to_fact(score_issues(model, new_issues(enriched, fact)))
+    batch = to_fact(score_issues(model, new_issues_by_day(enriched, fact)))
     stage = scratch_path(spark, "daily-stage")
     batch.write.mode("overwrite").parquet(stage)
     staged = spark.read.parquet(stage)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.incremental import new_issues, to_fact
+from ..operators.incremental import new_issues_by_day, to_fact
 
 
 def write_issues(df: DataFrame, path: str, fmt: str = "parquet",
@@ -58,11 +58,12 @@ def append_scored(df: DataFrame, table: str) -> int | None:
     duplicate ids within the batch, so a rerun appends nothing.
 
     The insert is by position, so columns are put in fact order first (the
-    ``issue_date`` partition column last).
+    ``issue_date`` partition column last). Only the fact partitions of the
+    batch's days are read for the check (see ``new_issues_by_day``).
     """
     spark = df.sparkSession
     fact = spark.table(table)
     rows = to_fact(df).filter(F.col("issue_id").isNotNull())
-    rows = new_issues(rows, fact).dropDuplicates(["issue_id"])
+    rows = new_issues_by_day(rows, fact, day_col="issue_date").dropDuplicates(["issue_id"])
     rows.write.insertInto(table)
     return None
