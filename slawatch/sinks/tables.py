@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..operators.incremental import new_issues_by_day, to_fact
 
+CSV_TIMESTAMP = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+
 
 def write_issues(df: DataFrame, path: str, fmt: str = "parquet",
                  partition_by: str | None = None) -> None:
@@ -15,7 +17,9 @@ def write_issues(df: DataFrame, path: str, fmt: str = "parquet",
     if partition_by:
         w = w.partitionBy(partition_by)
     if fmt == "csv":
-        w.option("header", True).option("escape", '"').csv(path)
+        # Microseconds kept (Spark's CSV default writes milliseconds).
+        w.option("header", True).option("escape", '"') \
+         .option("timestampFormat", CSV_TIMESTAMP).csv(path)
     else:
         w.format(fmt).save(path)
 

@@ -15,6 +15,8 @@ from ..schemas import (
     RAW_COLUMN_MAP,
 )
 
+CSV_TIMESTAMP = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+
 
 def read_raw_issues(spark: SparkSession, path: str, limit: int | None = None,
                     multi_line: bool = False) -> DataFrame:
@@ -39,7 +41,8 @@ def read_issues(spark: SparkSession, path: str, fmt: str = "parquet",
     """Unified or enriched issues written by ``write_issues``."""
     schema = schema or (ISSUES_ENRICHED_SCHEMA if enriched else ISSUES_UNIFIED_SCHEMA)
     if fmt == "csv":
-        return spark.read.schema(schema).option("header", True).option("escape", '"').csv(path)
+        return (spark.read.schema(schema).option("header", True).option("escape", '"')
+                .option("timestampFormat", CSV_TIMESTAMP).csv(path))
     return spark.read.schema(schema).format(fmt).load(path)
 
 
