@@ -16,8 +16,11 @@ STG_COLUMNS = [
 
 def stg_issues(scored: DataFrame) -> DataFrame:
     """Scored fact -> staging rows: calendar keys, numeric risk score and its
-    bucket. Narrow (no shuffle); it is inlined into whatever reads it."""
-    base = scored.select(
+    bucket. Narrow (no shuffle); it is inlined into whatever reads it. On
+    the fact, ``issue_date`` is the partition column (equal to the date of
+    ``created_at``), so a day-level reader touches no timestamp column."""
+    day = F.col("issue_date") if "issue_date" in scored.columns else F.to_date("created_at")
+    base = scored.select(day.alias("_day"),
         "issue_id", "created_at", "resolved_at", "region", "channel", "raw_category",
         "topic_id", "topic_keywords", "sla_breached", "predicted_label",
         risk_prob("risk_score").alias("risk_prob"), "resolution_hours",
@@ -25,7 +28,7 @@ def stg_issues(scored: DataFrame) -> DataFrame:
     return base.select(
         "issue_id",
         "created_at",
-        F.to_date("created_at").alias("issue_date"),
+        F.col("_day").alias("issue_date"),
         F.hour("created_at").cast("int").alias("issue_hour"),
         dow_sunday1("created_at").alias("issue_dow"),
         "region", "channel", "raw_category", "topic_id", "topic_keywords",

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -15,7 +16,10 @@ SF_ORACLE = "/root/testdata/sf0.01"
 def spark():
     from slawatch.session import build_session, checkpoint_dir
 
-    s = build_session("local[*]", app_name="slawatch-tests", shuffle_partitions=8)
+    scratch = tempfile.mkdtemp(prefix="slawatch-tests-")
+    s = build_session("local[*]", app_name="slawatch-tests", shuffle_partitions=8,
+                      extra={"spark.sql.warehouse.dir": f"{scratch}/warehouse",
+                             "spark.ui.showConsoleProgress": "false"})
     checkpoint_dir(s)
     yield s
     s.stop()
