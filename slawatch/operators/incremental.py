@@ -72,8 +72,8 @@ def union_issues(batch: DataFrame, stream: DataFrame) -> DataFrame:
 
 def latest_per_key(df: DataFrame, key: str = "issue_id",
                    order_cols: tuple[str, ...] = ("ingested_at",)) -> DataFrame:
-    """Keep one row per key: the greatest by ``order_cols`` (then by the
-    whole row, so ties resolve the same way on every run).
+    """Keep one row per key: the greatest by ``order_cols`` (then by a hash
+    of the whole row, so ties resolve the same way on every run).
 
     Written as an aggregate (``max_by``), not a window: the partial
     aggregate runs map-side, so a key repeated a billion times is reduced in
@@ -82,13 +82,30 @@ def latest_per_key(df: DataFrame, key: str = "issue_id",
     """
     cols = df.columns
     row = F.struct(*[F.col(c) for c in cols])
-    order = F.struct(*[F.col(c) for c in order_cols], F.to_json(row))
+    order = F.struct(*[F.col(c) for c in order_cols], F.xxhash64(*[F.col(c) for c in cols]))
     keyed = df.filter(F.col(key).isNotNull())
     best = (keyed.groupBy(key).agg(F.max_by(row, order).alias("_r"))
                  .select([F.col("_r").getField(c).alias(c) for c in cols]))
     return best.unionByName(df.filter(F.col(key).isNull()))
 
 
+def merge_stream_by_day(enriched: DataFrame, stream: DataFrame, key: str = "issue_id",
+                        ingested_col: str = "ingested_at", day_col: str = "date") -> DataFrame:
+    """``merge_stream`` that only aggregates the days the stream touches.
+
+    A streamed row carries its issue's creation time, which never changes,
+    so it can only replace rows of the same day. Rows of other days pass
+    through untouched (no shuffle, no sort); only the touched days' rows and
+    the stream are reduced to one row per key. Written back with dynamic
+    partition overwrite, this rewrites just those day partitions.
+    """
+    days = batch_days(stream, day_col)
+    touched = F.col(day_col).isin(days) if days else F.lit(False)
+    rest = enriched.filter(~touched | F.col(day_col).isNull())
+    merged = merge_stream(enriched.filter(touched), stream, key, ingested_col)
+    return rest.unionByName(merged)
+
+
 def merge_stream(enriched: DataFrame, stream: DataFrame, key: str = "issue_id",
                  ingested_col: str = "ingested_at") -> DataFrame:
     """Upsert streamed rows into the enriched table: one row per key, the

@@ -71,7 +71,13 @@ def q_mart_region_day(spark, sf_dir):
 from ..operators import quality, reports  # noqa: E402
 from ..operators.cleaning import cleaning_report  # noqa: E402
 from ..operators.evaluate import classification_metrics  # noqa: E402
-from ..operators.incremental import merge_stream, new_issues, new_issues_by_day, union_issues  # noqa: E402
+from ..operators.incremental import (  # noqa: E402
+    merge_stream,
+    merge_stream_by_day,
+    new_issues,
+    new_issues_by_day,
+    union_issues,
+)
 from ..operators.keywords import issue_keyword, text_features  # noqa: E402
 from ..schemas import ENRICHED_COLUMNS, UNIFIED_COLUMNS  # noqa: E402
 from ..sources.files import load_mart  # noqa: E402
@@ -178,6 +184,13 @@ def q_merge_stream(spark, sf_dir):
     return merge_stream(en, td.stream_updates(en))
 
 
+@register("merge_stream_by_day", ORACLE["merge_stream"])
+def q_merge_stream_by_day(spark, sf_dir):
+    """Upsert that aggregates only the days the stream touches."""
+    en = td.enriched_issues(spark, sf_dir)
+    return merge_stream_by_day(en, td.stream_updates(en))
+
+
 @register("check_unique", O.with_issues(f""", {STREAM_SQL}
 SELECT issue_id, CAST(count(*) AS BIGINT) AS n_rows
 FROM (SELECT issue_id FROM enriched UNION ALL SELECT issue_id FROM stream)
@@ -528,7 +541,7 @@ def q_stream_ingest(spark, sf_dir):
 def q_stream_merge(spark, sf_dir):
     """Upsert of the ingested stream into the enriched issues."""
     en, landed = _landed_stream(spark, sf_dir)
-    return merge_stream(en, landed.drop("batch_id"))
+    return merge_stream_by_day(en, landed.drop("batch_id"))
 
 
 @register("sample_rows")
