@@ -69,3 +69,15 @@ def mart_issues_by_region_day(stg: DataFrame) -> DataFrame:
     costs no more than any other. Sort on read, not here.
     """
     return stg.groupBy("issue_date", "region").agg(*mart_aggregates())
+
+
+def create_views(scored: DataFrame, stg_name: str = "stg_issues",
+                 mart_name: str | None = "mart_issues_by_region_day") -> DataFrame:
+    """Materialise the staging rows (and optionally the mart) as temporary
+    views, so SQL readers can query them by name; views are inlined into
+    every query that reads them (no copy)."""
+    stg = stg_issues(scored)
+    stg.createOrReplaceTempView(stg_name)
+    if mart_name:
+        mart_issues_by_region_day(stg).createOrReplaceTempView(mart_name)
+    return stg

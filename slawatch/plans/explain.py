@@ -32,9 +32,10 @@ def final_plan(df: DataFrame) -> str:
     plan, long lines and very long plans clipped."""
     df.collect()
     text = df._jdf.queryExecution().executedPlan().toString()
-    if "== Initial Plan ==" in text:
-        text = text.split("+- == Initial Plan ==")[0]
-    lines = [ln if len(ln) <= MAX_LINE else ln[:MAX_LINE] + " ..." for ln in text.splitlines()]
+    lines = text.splitlines()
+    if "+- == Initial Plan ==" in lines:       # top level only, not a subquery's
+        lines = lines[:lines.index("+- == Initial Plan ==")]
+    lines = [ln if len(ln) <= MAX_LINE else ln[:MAX_LINE] + " ..." for ln in lines]
     if len(lines) > MAX_LINES:
         lines = lines[:MAX_LINES] + [f"... ({len(lines) - MAX_LINES} more lines)"]
     return "\n".join(lines) + "\n"

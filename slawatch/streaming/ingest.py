@@ -20,12 +20,15 @@ DEFAULT_TOPIC = "issues_raw"
 
 
 def read_issue_stream(spark: SparkSession, source: str = "kafka", options: dict | None = None,
-                      path: str | None = None, max_per_trigger: int | None = None) -> DataFrame:
+                      path: str | None = None, max_per_trigger: int | None = None,
+                      min_partitions: int | None = None) -> DataFrame:
     """(key, value) text records of issue events.
 
     ``source="kafka"``: ``options`` must hold ``kafka.bootstrap.servers`` and
     ``subscribe``; reading starts at the earliest offset; ``max_per_trigger``
-    caps offsets per micro-batch. ``source="text"``: every line of the files
+    caps offsets per micro-batch; ``min_partitions`` splits large topic
+    partitions over several tasks (a hot partition is not one task).
+    ``source="text"``: every line of the files
     under ``path`` is one JSON value (no key); ``max_per_trigger`` caps files.
     """
     opts = dict(options or {})
@@ -34,6 +37,8 @@ def read_issue_stream(spark: SparkSession, source: str = "kafka", options: dict
         opts.setdefault("startingOffsets", "earliest")
         if max_per_trigger:
             opts["maxOffsetsPerTrigger"] = str(max_per_trigger)
+        if min_partitions:
+            opts["minPartitions"] = str(min_partitions)
         raw = spark.readStream.format("kafka").options(**opts).load()
         return raw.select(F.col("key").cast("string").alias("key"),
                           F.col("value").cast("string").alias("value"),

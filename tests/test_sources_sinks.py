@@ -4,7 +4,6 @@ import datetime as dt
 import os
 
 from pyspark.sql import Observation
-from pyspark.sql import functions as F
 
 from slawatch.functions import scalar as S
 from slawatch.operators.cleaning import unify_issues
@@ -94,4 +93,11 @@ def test_stream_dedupe_within_watermark(spark):
     q.awaitTermination()
     got = sorted(r.issue_id for r in spark.table("dedupe_out").collect())
     assert got == ["1", "2"]
-    assert F is not None
+
+
+def test_views_for_sql_readers(spark):
+    from slawatch.operators.mart import create_views
+
+    create_views(td.scored_issues(spark, "/root/testdata/sf0.001"), "stg_v", "mart_v")
+    n = spark.sql("SELECT count(*) FROM stg_v").first()[0]
+    assert spark.sql("SELECT sum(total_issues) FROM mart_v").first()[0] == n
