@@ -531,13 +531,15 @@ def _landed_stream(spark, sf_dir):
     return en, SI.read_landed(spark, land)
 
 
-@register("stream_ingest")
+@register("stream_ingest", O.with_issues(f""", {STREAM_SQL}
+SELECT {ENRICHED_SQL} FROM stream"""))
 def q_stream_ingest(spark, sf_dir):
+    """Rows landed by the streaming ingest (file source, foreachBatch)."""
     _, landed = _landed_stream(spark, sf_dir)
     return landed.drop("ingested_at", "batch_id")
 
 
-@register("stream_merge")
+@register("stream_merge", ORACLE["merge_stream"])
 def q_stream_merge(spark, sf_dir):
     """Upsert of the ingested stream into the enriched issues."""
     en, landed = _landed_stream(spark, sf_dir)
