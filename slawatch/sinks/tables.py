@@ -71,3 +71,36 @@ def append_scored(df: DataFrame, table: str) -> int | None:
     rows = new_issues_by_day(rows, fact, day_col="issue_date").dropDuplicates(["issue_id"])
     rows.write.insertInto(table)
     return None
+
+
+def upsert_by_day(stream: DataFrame, table: str, key: str = "issue_id",
+                  day_col: str = "date", ingested_col: str = "ingested_at") -> int:
+    """Merge streamed rows into a day-partitioned table in place.
+
+    The merged rows of the touched days are staged under the shared
+    checkpoint folder first (a table is never overwritten while it is being
+    read), then written back with dynamic partition overwrite: only the
+    touched day partitions are replaced. Returns the number of days
+    rewritten. Single writer per table.
+    """
+    from ..operators.incremental import batch_days, merge_stream
+    from ..session import scratch_path
+
+    spark = stream.sparkSession
+    days = batch_days(stream, day_col)
+    if not days:
+        return 0
+    current = spark.table(table)
+    touched = current.filter(F.col(day_col).isin(days))
+    merged = merge_stream(touched, stream.select(*current.columns, ingested_col), key, ingested_col)
+    stage = scratch_path(spark, "upsert-stage")
+    merged.select(current.columns).write.mode("overwrite").parquet(stage)
+    staged = spark.read.parquet(stage)
+    # dynamic overwrite: replaces exactly the partitions present in `staged`
+    with_conf = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        staged.write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", with_conf)
+    return len(days)
