@@ -17,7 +17,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import HashingTF, OneHotEncoder, RegexTokenizer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalar import dow_sunday1
@@ -118,7 +118,8 @@ def train_models(df: DataFrame, seed: int = SEED, names: list[str] | None = None
     for name, clf in _classifiers(width, seed).items():
         if names and name not in names:
             continue
-        model = PipelineModel(stages=feats.stages + [clf.fit(feats.transform(train))])
+        model = _stored(PipelineModel(stages=feats.stages + [clf.fit(feats.transform(train))]),
+                        name, df.sparkSession)
         out.models[name] = model
         scored = score_issues(model, test).withColumn("_p", F.col("risk_score.prob"))
         m = classification_metrics(scored, LABEL, "predicted_label", "_p").withColumn("model", F.lit(name))
@@ -127,6 +128,18 @@ def train_models(df: DataFrame, seed: int = SEED, names: list[str] | None = None
     return out
 
 
+def _stored(model: PipelineModel, name: str, spark: SparkSession) -> PipelineModel:
+    """Save the fitted pipeline under the shared checkpoint folder and load
+    it back: the model is then what a later daily run would load, and it
+    carries no training summary (a summary holds the session, which
+    scoring closures must not capture)."""
+    from ..session import scratch_path
+
+    path = scratch_path(spark, f"model-{name}")
+    model.write().overwrite().save(path)
+    return PipelineModel.load(path)
+
+
 def evaluate_models(trained: TrainedModels, by: str = "auc") -> TrainedModels:
     """Pick the best model by a metric (a few rows reach the driver)."""
     best = trained.metrics.orderBy(F.desc_nulls_last(by), "model").select("model").first()

@@ -14,7 +14,8 @@ over sorted distinct values, computed here without a single-task step:
 3. the requested ranks / sums are read off a handful of rows.
 
 The range-partitioned histogram is written once to the shared checkpoint
-folder so that both of its uses see the same partition ids.
+folder (``cut_lineage``) so that both of its uses see the same partition
+ids.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ def prefix_sums(hist: DataFrame, value: str, counts: list[str],
     spark = hist.sparkSession
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = cut_lineage(hist.repartitionByRange(n_parts, value)
-                             .withColumn("_pid", F.spark_partition_id()))
+                             .withColumn("_pid", F.spark_partition_id()), "ranged-histogram")
     within = Window.partitionBy("_pid").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     earlier = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     totals = ranged.groupBy("_pid").agg(*[F.sum(c).alias(f"_t_{c}") for c in counts])

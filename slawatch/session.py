@@ -70,10 +70,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint into the shared folder (never a local checkpoint)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Cut the lineage by writing the rows as Parquet under the shared
+    checkpoint folder and reading them back (never a local checkpoint).
+
+    A written table survives lost executors like ``checkpoint()`` does, and
+    later reads prune columns; it also avoids ``DataFrame.checkpoint()``
+    failing in a session that has used an ``Observation``.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def local_path(path: str) -> str:
