@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from ..schemas import (
+    HIGH_RISK_BUCKETS,
     NA_SPELLINGS,
     RISK_BUCKET_NULL,
     RISK_BUCKET_TOP,
@@ -94,7 +95,7 @@ def risk_bucket(p: Column | str) -> Column:
 
 
 def is_high_risk(bucket: Column | str) -> Column:
-    return _c(bucket).isin("high", "very_high")
+    return _c(bucket).isin(HIGH_RISK_BUCKETS)
 
 
 def risk_prob(score: Column | str) -> Column:

@@ -8,15 +8,37 @@ library operators.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
+from ..operators import quality, reports
+from ..operators import risk_model as RM
+from ..operators import topics as T
+from ..operators.cleaning import cleaning_report
+from ..operators.enrich import enrich
+from ..operators.evaluate import classification_metrics
+from ..operators.incremental import (
+    merge_stream,
+    merge_stream_by_day,
+    new_issues,
+    new_issues_by_day,
+    union_issues,
+)
+from ..operators.keywords import issue_keyword, text_features
 from ..operators.mart import mart_issues_by_region_day, stg_issues
+from ..schemas import ENRICHED_COLUMNS, UNIFIED_COLUMNS
+from ..session import scratch_path
+from ..sinks.tables import append_scored, create_fact_table
 from ..sources import testdata as td
+from ..sources.files import load_mart
+from ..streaming import ingest as SI
+from ..streaming.codec import good_events, parse_issue_events, to_kafka_records
 from . import oracle as O
+from .daily import run_daily
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -68,21 +90,6 @@ def q_mart_region_day(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- helpers
-from ..operators import quality, reports  # noqa: E402
-from ..operators.cleaning import cleaning_report  # noqa: E402
-from ..operators.evaluate import classification_metrics  # noqa: E402
-from ..operators.incremental import (  # noqa: E402
-    merge_stream,
-    merge_stream_by_day,
-    new_issues,
-    new_issues_by_day,
-    union_issues,
-)
-from ..operators.keywords import issue_keyword, text_features  # noqa: E402
-from ..schemas import ENRICHED_COLUMNS, UNIFIED_COLUMNS  # noqa: E402
-from ..sources.files import load_mart  # noqa: E402
-from ..streaming.codec import good_events, parse_issue_events, to_kafka_records  # noqa: E402
-
 ENRICHED_SQL = ", ".join(ENRICHED_COLUMNS)
 UNIFIED_SQL = ", ".join(UNIFIED_COLUMNS)
 STG_SQL = ("issue_id, created_at, issue_date, issue_hour, issue_dow, region, channel, raw_category, "
@@ -445,15 +452,7 @@ def q_issue_keyword(spark, sf_dir):
 # ---------------------------------------------------------------- rows-only
 # Models, topics, streams and the hash sample have no SQL twin; the driver
 # checks their rows, the tests check their properties.
-import uuid  # noqa: E402
-
-from ..operators import risk_model as RM  # noqa: E402
-from ..operators import topics as T  # noqa: E402
-from ..operators.enrich import enrich  # noqa: E402
-from ..session import scratch_path  # noqa: E402
-from ..sinks.tables import append_scored, create_fact_table  # noqa: E402
-from ..streaming import ingest as SI  # noqa: E402
-from .daily import run_daily  # noqa: E402
+
 
 TOPIC_ITERATIONS = 10
 

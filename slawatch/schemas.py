@@ -116,7 +116,7 @@ RISK_SCORE_TYPE = StructType([
 
 # Fact table: enriched columns, then the two model outputs, then the
 # partition column last (positional inserts rely on this order).
-FACT_COLUMNS = [c for c in ENRICHED_COLUMNS] + ["predicted_label", "risk_score", "issue_date"]
+FACT_COLUMNS = ENRICHED_COLUMNS + ["predicted_label", "risk_score", "issue_date"]
 
 # A streamed issue event: JSON object of an enriched row. Numbers are read as
 # double so that bare NaN / Infinity survive parsing and can be nulled;
