@@ -63,14 +63,17 @@ def write_issue_records(records: DataFrame, path: str, options: dict | None = No
 def ingest_batch(batch: DataFrame, batch_id: int, table_path: str,
                  quarantine_path: str | None) -> None:
     """One micro-batch: decode, split good / bad, write both idempotently
-    (overwrite of this batch's own folder)."""
+    (overwrite of this batch's own folder). The decoded batch is persisted
+    so the split reads it once; the quarantine folder is written only when
+    the batch has bad rows (no empty folders per micro-batch)."""
     keep = ("ingested_at",) if "ingested_at" in batch.columns else ()
     parsed = parse_issue_events(batch, key_col="key", keep=keep).persist()
     try:
         good_events(parsed, keep).write.mode("overwrite").parquet(f"{table_path}/batch_id={batch_id}")
         if quarantine_path:
-            bad_events(parsed).select("issue_id", "_corrupt_record", *keep).write.mode("overwrite") \
-                .parquet(f"{quarantine_path}/batch_id={batch_id}")
+            bad = bad_events(parsed).select("issue_id", "_corrupt_record", *keep)
+            if not bad.isEmpty():
+                bad.write.mode("overwrite").parquet(f"{quarantine_path}/batch_id={batch_id}")
     finally:
         parsed.unpersist()
 

@@ -91,3 +91,12 @@ def test_compare_periods(spark):
     r = reports.compare_periods(m, "2024-01-03", "2024-01-04").first()
     # current 01-03..01-04, previous 01-01..01-02
     assert (r.cur_issues, r.prev_issues, r.delta_issues) == (129, 10, 119)
+
+
+def test_describe_approx_close_to_exact(spark):
+    uni = td.unified_issues(spark, SF)
+    e = reports.describe_hours(uni).first()
+    a = reports.describe_hours(uni, exact=False).first()
+    assert e["count"] == a["count"]
+    for k in ("p25", "p50", "p75"):
+        assert abs(e[k] - a[k]) <= 0.05 * (e["max"] - e["min"])
