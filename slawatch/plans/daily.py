@@ -3,7 +3,8 @@ of the mart.
 
 1. ``new_issues_by_day``: anti-join of the enriched issues against the
    fact's ids, reading only the fact partitions of the batch's days;
-2. ``score_issues``: model transform (map-only);
+2. one row per id (``latest_per_key``, a map-side-combined aggregate), then
+   ``score_issues``: model transform (map-only);
 3. the scored batch is staged as Parquet in the shared checkpoint folder
    (lineage cut: a lost executor re-reads the stage, it does not re-run the
    anti-join and the model);
@@ -23,7 +24,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.incremental import new_issues_by_day, to_fact
+from ..operators.incremental import latest_per_key, new_issues_by_day, to_fact
 from ..operators.mart import mart_issues_by_region_day, stg_issues
 from ..operators.risk_model import score_issues
 from ..schemas import MART_COLUMNS
@@ -63,7 +64,10 @@ def run_daily(spark: SparkSession, enriched: DataFrame, fact_table: str,
               model: PipelineModel, mart_table: str, mart_path: str | None = None) -> DailyResult:
     """One incremental run; a second run on the same input adds nothing."""
     fact = spark.table(fact_table)
-    batch = to_fact(score_issues(model, new_issues_by_day(enriched, fact)))
+    # One row per id before scoring (duplicates would be scored, then dropped);
+    # the kept row is chosen by a row hash, the same on every run.
+    fresh = latest_per_key(new_issues_by_day(enriched, fact), "issue_id", ())
+    batch = to_fact(score_issues(model, fresh))
     stage = scratch_path(spark, "daily-stage")
     batch.write.mode("overwrite").parquet(stage)
     staged = spark.read.parquet(stage)

@@ -68,3 +68,23 @@ def test_daily_run_rerun_adds_nothing(spark):
     assert r2.new_rows == 0 and spark.table(fact).count() == total
     m = spark.table(mart)
     assert m.agg(F.sum("total_issues")).first()[0] == total
+
+
+def test_mart_null_breach_and_unknown_bucket(spark):
+    from slawatch.operators.mart import mart_issues_by_region_day, stg_issues
+
+    t = dt.datetime(2024, 1, 1, 10)
+    rows = [("1", t, "A", True, 0.9), ("2", t, "A", None, None), ("3", t, "A", False, 0.1)]
+    df = spark.createDataFrame(rows, "issue_id string, created_at timestamp, region string, "
+                                     "sla_breached boolean, p double")
+    scored = (df.withColumn("risk_score", F.struct(F.lit(True).alias("label"), F.col("p").alias("prob")))
+                .withColumns({"resolved_at": F.lit(None).cast("timestamp"), "channel": F.lit("x"),
+                              "raw_category": F.lit("c"), "topic_id": F.lit(-1), "topic_keywords": F.lit("k"),
+                              "predicted_label": F.lit(None).cast("boolean"),
+                              "resolution_hours": F.lit(None).cast("double")}))
+    m = mart_issues_by_region_day(stg_issues(scored)).first()
+    assert m.total_issues == 3
+    assert abs(m.sla_breach_rate - 1 / 3) < 1e-12          # null breach counts as 0
+    assert abs(m.avg_risk_score - 0.5) < 1e-12             # null score skipped by the mean
+    assert abs(m.high_risk_share - 1 / 3) < 1e-12          # unknown is in the denominator
+    assert m.cnt_very_high + m.cnt_very_low == 2           # unknown in no band

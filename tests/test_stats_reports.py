@@ -100,3 +100,18 @@ def test_describe_approx_close_to_exact(spark):
     assert e["count"] == a["count"]
     for k in ("p25", "p50", "p75"):
         assert abs(e[k] - a[k]) <= 0.05 * (e["max"] - e["min"])
+
+
+def test_large_sample_equals_plain_topk(spark):
+    uni = td.unified_issues(spark, SF)
+    plain = sorted(r.issue_id for r in reports.sample_rows(uni, 300).collect())
+    cut = sorted(r.issue_id for r in reports.sample_rows(uni.repartition(5), 300, small=10).collect())
+    assert plain == cut and len(cut) == 300
+
+
+def test_recent_issues_day_bound_is_exact(spark):
+    sc = td.scored_issues(spark, SF)
+    a = [r.issue_id for r in reports.recent_issues(sc, "2024-01-01", "2024-01-31", n=120).collect()]
+    b = [r.issue_id for r in reports.recent_issues(sc, "2024-01-01", "2024-01-31", n=120,
+                                                   bound_days=False).collect()]
+    assert a == b and len(a) == 120
