@@ -83,7 +83,6 @@ def test_csv_rows_and_formats(spark):
 
 def test_stream_dedupe_within_watermark(spark):
     src = scratch_path(spark, "dedupe-src")
-    os.makedirs(src, exist_ok=True)
     rows = spark.createDataFrame([("1", dt.datetime(2024, 1, 1, 0, 0)), ("1", dt.datetime(2024, 1, 1, 0, 5)),
                                   ("2", dt.datetime(2024, 1, 1, 0, 6))], "issue_id string, ingested_at timestamp")
     rows.write.mode("overwrite").parquet(src)
