@@ -42,7 +42,7 @@ from slawatch.operators.mart import mart_issues_by_region_day, stg_issues  # noq
 from slawatch.operators.risk_model import score_issues, train_models  # noqa: E402
 from slawatch.plans.daily import run_daily  # noqa: E402
 from slawatch.plans.catalog import SCORED_THROUGH  # noqa: E402
-from slawatch.session import build_session  # noqa: E402
+from slawatch.session import build_session, checkpoint_dir  # noqa: E402
 from slawatch.sinks.tables import append_scored, create_fact_table  # noqa: E402
 from slawatch.sources import testdata as td  # noqa: E402
 
@@ -55,9 +55,8 @@ def main() -> None:
         f"local[{cpus}]", app_name="slawatch-bench", shuffle_partitions=max(2 * cpus, 8),
         extra={"spark.ui.showConsoleProgress": "false",
                "spark.driver.memory": "16g",
-               "spark.sql.warehouse.dir": f"{scratch}/warehouse",
-               "spark.checkpoint.dir": f"{scratch}/checkpoint"})
-    spark.sparkContext.setCheckpointDir(f"{scratch}/checkpoint")
+               "spark.sql.warehouse.dir": f"{scratch}/warehouse"})
+    checkpoint_dir(spark)   # the session's spark.checkpoint.dir; a scratch one only if unset
     p = lambda name: f"{scratch}/{name}"
 
     # ---------------- setup (untimed)

@@ -17,7 +17,7 @@ from ..operators.incremental import merge_stream_by_day, new_issues_by_day
 from ..operators.keywords import issue_keyword
 from ..operators.mart import mart_issues_by_region_day, stg_issues
 from ..operators.quality import check_unique
-from ..session import build_session
+from ..session import build_session, checkpoint_dir
 from ..sinks.tables import append_scored, create_fact_table
 from ..sources import testdata as td
 from ..sources.files import load_mart
@@ -45,9 +45,8 @@ def main(sf_dir: str) -> None:
     scratch = tempfile.mkdtemp(prefix="slawatch-plans-")
     spark = build_session("local[8]", shuffle_partitions=8,
                           extra={"spark.ui.showConsoleProgress": "false",
-                                 "spark.sql.warehouse.dir": f"{scratch}/wh",
-                                 "spark.checkpoint.dir": f"{scratch}/ck"})
-    spark.sparkContext.setCheckpointDir(f"{scratch}/ck")
+                                 "spark.sql.warehouse.dir": f"{scratch}/wh"})
+    checkpoint_dir(spark)
     td.enriched_issues(spark, sf_dir).write.partitionBy("date").parquet(f"{scratch}/enriched")
     enriched = spark.read.parquet(f"{scratch}/enriched")
     create_fact_table(spark, "issues_scored", f"{scratch}/fact")

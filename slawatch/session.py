@@ -56,10 +56,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
-        conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if not conf_dir:
+        # Unset (local tests only): a scratch folder, registered on the context.
         conf_dir = tempfile.mkdtemp(prefix="slawatch-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
