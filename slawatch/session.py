@@ -47,8 +47,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder.
 
     Read from the session (``spark.checkpoint.dir``, as set by the cluster).
-    Only where it is unset, as in local tests, a scratch folder is created
-    and registered so ``DataFrame.checkpoint()`` works.
+    Only where it is unset, as in bare local sessions, a scratch folder is
+    created and registered on the context.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
