@@ -516,6 +516,15 @@ def q_daily_run(spark, sf_dir):
     return spark.table(mart_table)
 
 
+@register("daily_run_volumes", O.with_issues("""
+SELECT issue_date, region, total_issues, round(sla_breach_rate, 6) AS sla_breach_rate FROM mart"""))
+def q_daily_run_volumes(spark, sf_dir):
+    """The mart after an incremental run, model-independent columns only:
+    every issue appended exactly once, breach rates right."""
+    return round_doubles(q_daily_run(spark, sf_dir).select(
+        "issue_date", "region", "total_issues", "sla_breach_rate"))
+
+
 def _landed_stream(spark, sf_dir):
     """Stream rows of the tables sent as JSON lines and ingested by the
     Structured Streaming job (file source, availableNow)."""
