@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier,
@@ -115,15 +116,18 @@ def train_models(df: DataFrame, seed: int = SEED, names: list[str] | None = None
     width = _feature_width(feats, train)
     out = TrainedModels()
     rows = None
+    # Featurised once, kept (memory and disk) for the iterative fits.
+    train_feats = feats.transform(train).select("_features", "_label").persist(StorageLevel.MEMORY_AND_DISK)
     for name, clf in _classifiers(width, seed).items():
         if names and name not in names:
             continue
-        model = _stored(PipelineModel(stages=feats.stages + [clf.fit(feats.transform(train))]),
+        model = _stored(PipelineModel(stages=feats.stages + [clf.fit(train_feats)]),
                         name, df.sparkSession)
         out.models[name] = model
         scored = score_issues(model, test).withColumn("_p", F.col("risk_score.prob"))
         m = classification_metrics(scored, LABEL, "predicted_label", "_p").withColumn("model", F.lit(name))
         rows = m if rows is None else rows.unionByName(m)
+    train_feats.unpersist()
     out.metrics = rows
     return out
 
