@@ -19,6 +19,22 @@ from .codec import bad_events, good_events, parse_issue_events
 DEFAULT_TOPIC = "issues_raw"
 
 
+def kafka_source_options(options: dict | None = None, max_per_trigger: int | None = None,
+                         min_partitions: int | None = None) -> dict:
+    """Options for Spark's Kafka source: the issues topic from the earliest
+    offset unless given, offsets per micro-batch capped, large topic
+    partitions split over several tasks."""
+    opts = dict(options or {})
+    if "subscribe" not in opts and "subscribePattern" not in opts and "assign" not in opts:
+        opts["subscribe"] = DEFAULT_TOPIC
+    opts.setdefault("startingOffsets", "earliest")
+    if max_per_trigger:
+        opts["maxOffsetsPerTrigger"] = str(max_per_trigger)
+    if min_partitions:
+        opts["minPartitions"] = str(min_partitions)
+    return opts
+
+
 def read_issue_stream(spark: SparkSession, source: str = "kafka", options: dict | None = None,
                       path: str | None = None, max_per_trigger: int | None = None,
                       min_partitions: int | None = None) -> DataFrame:
@@ -33,12 +49,7 @@ def read_issue_stream(spark: SparkSession, source: str = "kafka", options: dict
     """
     opts = dict(options or {})
     if source == "kafka":
-        opts.setdefault("subscribe", DEFAULT_TOPIC)
-        opts.setdefault("startingOffsets", "earliest")
-        if max_per_trigger:
-            opts["maxOffsetsPerTrigger"] = str(max_per_trigger)
-        if min_partitions:
-            opts["minPartitions"] = str(min_partitions)
+        opts = kafka_source_options(opts, max_per_trigger, min_partitions)
         raw = spark.readStream.format("kafka").options(**opts).load()
         return raw.select(F.col("key").cast("string").alias("key"),
                           F.col("value").cast("string").alias("value"),

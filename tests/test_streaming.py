@@ -71,3 +71,11 @@ def test_file_stream_ingest_restart_and_equality(spark):
     assert spark.read.parquet(bad).count() == 1
     cols = [c for c in en.columns]
     assert landed.select(cols).filter(F.col("issue_id") != "extra").exceptAll(en).count() == 0
+
+
+def test_kafka_source_options():
+    o = SI.kafka_source_options({"kafka.bootstrap.servers": "b:9092"}, max_per_trigger=100, min_partitions=64)
+    assert o == {"kafka.bootstrap.servers": "b:9092", "subscribe": "issues_raw", "startingOffsets": "earliest",
+                 "maxOffsetsPerTrigger": "100", "minPartitions": "64"}
+    assert "subscribe" not in SI.kafka_source_options({"subscribePattern": "issues_.*"})
+    assert SI.kafka_source_options({"startingOffsets": "latest"})["startingOffsets"] == "latest"
