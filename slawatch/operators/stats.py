@@ -29,11 +29,14 @@ from ..session import cut_lineage
 def prefix_sums(hist: DataFrame, value: str, counts: list[str],
                 partitions: int | None = None) -> DataFrame:
     """For each distinct ``value`` row of ``hist``, add ``before_<c>``: the
-    sum of ``c`` over all rows with a smaller value (exclusive prefix sum)."""
-    spark = hist.sparkSession
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = cut_lineage(hist.repartitionByRange(n_parts, value)
-                             .withColumn("_pid", F.spark_partition_id()), "ranged-histogram")
+    sum of ``c`` over all rows with a smaller value (exclusive prefix sum).
+
+    Without ``partitions`` the range partition count is left to AQE, which
+    coalesces adjacent ranges to its advisory size (merged ranges stay
+    contiguous and in order, so partition ids remain a range order)."""
+    by_range = (hist.repartitionByRange(partitions, value) if partitions
+                else hist.repartitionByRange(value))
+    ranged = cut_lineage(by_range.withColumn("_pid", F.spark_partition_id()), "ranged-histogram")
     within = Window.partitionBy("_pid").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     earlier = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     totals = ranged.groupBy("_pid").agg(*[F.sum(c).alias(f"_t_{c}") for c in counts])

@@ -115,3 +115,17 @@ def test_recent_issues_day_bound_is_exact(spark):
     b = [r.issue_id for r in reports.recent_issues(sc, "2024-01-01", "2024-01-31", n=120,
                                                    bound_days=False).collect()]
     assert a == b and len(a) == 120
+
+
+def test_prefix_sums_across_explicit_range_partitions(spark):
+    from slawatch.operators.stats import prefix_sums
+
+    rnd = random.Random(11)
+    rows = [(float(v), rnd.randrange(1, 9)) for v in rnd.sample(range(-500, 500), 300)]
+    hist = spark.createDataFrame(rows, ["v", "c"])
+    got = {r.v: r.before_c for r in prefix_sums(hist, "v", ["c"], partitions=5).collect()}
+    acc, want = 0, {}
+    for v, c in sorted(rows):
+        want[v] = acc
+        acc += c
+    assert got == want
