@@ -88,3 +88,14 @@ def test_mart_null_breach_and_unknown_bucket(spark):
     assert abs(m.avg_risk_score - 0.5) < 1e-12             # null score skipped by the mean
     assert abs(m.high_risk_share - 1 / 3) < 1e-12          # unknown is in the denominator
     assert m.cnt_very_high + m.cnt_very_low == 2           # unknown in no band
+
+
+def test_daily_run_first_run_on_empty_fact(spark):
+    fact, mart = "fact_empty_first", "mart_empty_first"
+    create_fact_table(spark, fact, scratch_path(spark, "fact-empty"))
+    en = td.enriched_issues(spark, SF)
+    seedrows = td.scored_issues(spark, SF)
+    model = train_models(seedrows, names=["logistic_regression"]).models["logistic_regression"]
+    r = run_daily(spark, en, fact, model, mart, scratch_path(spark, "mart-empty"))
+    assert r.new_rows == en.count() == spark.table(fact).count()
+    assert spark.table(mart).agg(F.sum("total_issues")).first()[0] == en.count()
