@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import dow_monday0
 from ..schemas import ENRICHED_COLUMNS, UNKNOWN_TOPIC_ID, UNKNOWN_TOPIC_KEYWORDS
-from .broadcast import broadcast_if_small
+from .broadcast import MAX_BROADCAST_ROWS, broadcast_if_small
 
 
 def add_calendar(df: DataFrame, ts: str = "created_at") -> DataFrame:
@@ -19,7 +19,8 @@ def add_calendar(df: DataFrame, ts: str = "created_at") -> DataFrame:
     })
 
 
-def attach_topics(issues: DataFrame, assignments: DataFrame, terms: DataFrame) -> DataFrame:
+def attach_topics(issues: DataFrame, assignments: DataFrame, terms: DataFrame,
+                  terms_bound: int | None = None) -> DataFrame:
     """Left-join each issue's topic id, look up the topic keywords, default
     the missing to ``-1`` / ``UNKNOWN_TOPIC``.
 
@@ -27,15 +28,18 @@ def attach_topics(issues: DataFrame, assignments: DataFrame, terms: DataFrame) -
     as large as the issues, so the planner shuffles or broadcasts it by size.
     Issues without an id cannot match and skip that join (no single hot
     null-key task). ``terms`` (topic_id, topic_keywords) has one row per
-    topic (k rows); it is broadcast after a row-count check, so the lookup
-    never shuffles the issues.
+    topic (k rows); it is broadcast, so the lookup never shuffles the
+    issues: directly when the caller states its bound (``terms_bound``, e.g.
+    k for a topic model), otherwise after a row-count check.
     """
     a = assignments.select("issue_id", F.col("topic_id").cast("int").alias("topic_id"))
     t = terms.select(F.col("topic_id").cast("int").alias("topic_id"), "topic_keywords")
     base = issues.drop("topic_id", "topic_keywords")
     keyed = base.filter(F.col("issue_id").isNotNull()).join(a, "issue_id", "left")
     unkeyed = base.filter(F.col("issue_id").isNull()).withColumn("topic_id", F.lit(None).cast("int"))
-    out = keyed.unionByName(unkeyed).join(broadcast_if_small(t), "topic_id", "left")
+    small = F.broadcast(t) if terms_bound is not None and terms_bound <= MAX_BROADCAST_ROWS \
+        else broadcast_if_small(t)
+    out = keyed.unionByName(unkeyed).join(small, "topic_id", "left")
     return out.withColumns({
         "topic_id": F.coalesce(F.col("topic_id"), F.lit(UNKNOWN_TOPIC_ID)).cast("int"),
         "topic_keywords": F.coalesce(F.col("topic_keywords"), F.lit(UNKNOWN_TOPIC_KEYWORDS)),
@@ -43,12 +47,12 @@ def attach_topics(issues: DataFrame, assignments: DataFrame, terms: DataFrame) -
 
 
 def enrich(unified: DataFrame, assignments: DataFrame | None = None,
-           terms: DataFrame | None = None) -> DataFrame:
+           terms: DataFrame | None = None, terms_bound: int | None = None) -> DataFrame:
     """``issues_unified`` -> ``issues_enriched`` (calendar + topic)."""
     df = add_calendar(unified)
     if assignments is None or terms is None:
         df = df.withColumns({"topic_id": F.lit(UNKNOWN_TOPIC_ID).cast("int"),
                              "topic_keywords": F.lit(UNKNOWN_TOPIC_KEYWORDS)})
     else:
-        df = attach_topics(df, assignments, terms)
+        df = attach_topics(df, assignments, terms, terms_bound)
     return df.select(ENRICHED_COLUMNS)

@@ -482,7 +482,7 @@ def q_issues_topic_enriched(spark, sf_dir):
     """Unified issues enriched with topics fitted on their own texts."""
     uni = td.unified_issues(spark, sf_dir)
     m = T.fit_topics(uni, max_iter=TOPIC_ITERATIONS)
-    return enrich(uni, T.assign_topics(m, uni), T.topic_terms(m))
+    return enrich(uni, T.assign_topics(m, uni), T.topic_terms(m), terms_bound=m.stages[-1].getK())
 
 
 @register("train_evaluate")

@@ -39,7 +39,7 @@ def topic_enrich(unified: DataFrame, k: int = TOPIC_COUNT, seed: int = SEED,
     if score == "sample" and sample_n:
         from ..operators.reports import sample_rows
         scored_rows = sample_rows(unified.filter(unified.issue_text.isNotNull()), sample_n, seed)
-    return enrich(unified, assign_topics(model, scored_rows), topic_terms(model))
+    return enrich(unified, assign_topics(model, scored_rows), topic_terms(model), terms_bound=k)
 
 
 def run_enrich(spark: SparkSession, unified_path: str, out_path: str, fmt: str = "parquet",

@@ -102,7 +102,8 @@ def topic_terms(assignments: DataFrame) -> DataFrame:
 
 def enriched_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = topic_assignments(spark, sf_dir)
-    return enrich(unified_issues(spark, sf_dir), a, topic_terms(a))
+    # topic ids are taken modulo TOPIC_MOD, so the terms table has at most that many rows
+    return enrich(unified_issues(spark, sf_dir), a, topic_terms(a), terms_bound=TOPIC_MOD)
 
 
 def score_prob(event_id: F.Column, user_id: F.Column) -> F.Column:
