@@ -119,8 +119,9 @@ RISK_SCORE_TYPE = StructType([
 FACT_COLUMNS = ENRICHED_COLUMNS + ["predicted_label", "risk_score", "issue_date"]
 
 # A streamed issue event: JSON object of an enriched row. Numbers are read as
-# double so that bare NaN / Infinity survive parsing and can be nulled;
-# timestamps arrive as text.
+# double so that bare NaN / Infinity survive parsing and can be nulled; the
+# flag is read as text (a NaN there would void the whole record); timestamps
+# arrive as text.
 ISSUE_EVENT_SCHEMA = StructType([
     StructField("issue_id", StringType(), True),
     StructField("created_at", StringType(), True),
@@ -136,7 +137,7 @@ ISSUE_EVENT_SCHEMA = StructType([
     StructField("source_system", StringType(), True),
     StructField("sla_hours_target", DoubleType(), True),
     StructField("resolution_hours", DoubleType(), True),
-    StructField("sla_breached", BooleanType(), True),
+    StructField("sla_breached", StringType(), True),
     StructField("date", StringType(), True),
     StructField("hour", DoubleType(), True),
     StructField("dow", DoubleType(), True),

@@ -28,7 +28,15 @@ def to_kafka_records(df: DataFrame, key: str = "issue_id") -> DataFrame:
 
 
 def _string_fields():
-    return [f.name for f in ISSUE_EVENT_SCHEMA.fields if f.dataType.simpleString() == "string"]
+    return [f.name for f in ISSUE_EVENT_SCHEMA.fields
+            if f.dataType.simpleString() == "string" and f.name != "sla_breached"]
+
+
+def text_to_flag(c) -> F.Column:
+    """A JSON flag read as text: true / false, bare or quoted, any case;
+    anything else (NaN, missing) is null."""
+    v = F.lower(F.regexp_replace(c, '"', ""))
+    return F.when(v == "true", F.lit(True)).when(v == "false", F.lit(False)).otherwise(F.lit(None))
 
 
 def parse_issue_events(records: DataFrame, value_col: str = "value",
@@ -63,7 +71,7 @@ def parse_issue_events(records: DataFrame, value_col: str = "value",
                                      "raw_channel", "issue_text", "channel", "source_system"]],
         num["sla_hours_target"].cast("int").alias("sla_hours_target"),
         num["resolution_hours"].alias("resolution_hours"),
-        j.getField("sla_breached").alias("sla_breached"),
+        text_to_flag(j.getField("sla_breached")).alias("sla_breached"),
         F.to_date(cols["date"]).alias("date"),
         num["hour"].cast("int").alias("hour"),
         num["dow"].cast("int").alias("dow"),

@@ -79,3 +79,11 @@ def test_kafka_source_options():
                  "maxOffsetsPerTrigger": "100", "minPartitions": "64"}
     assert "subscribe" not in SI.kafka_source_options({"subscribePattern": "issues_.*"})
     assert SI.kafka_source_options({"startingOffsets": "latest"})["startingOffsets"] == "latest"
+
+
+def test_nan_or_text_in_flag_keeps_the_record(spark):
+    lines = ['{"issue_id": "x", "created_at": "2024-01-01 00:00:00", "sla_breached": NaN}',
+             '{"issue_id": "y", "created_at": "2024-01-01 00:00:00", "sla_breached": "TRUE"}',
+             '{"issue_id": "z", "created_at": "2024-01-01 00:00:00", "sla_breached": false}']
+    got = {r.issue_id: r.sla_breached for r in good_events(parse_issue_events(_lines(spark, lines))).collect()}
+    assert got == {"x": None, "y": True, "z": False}
