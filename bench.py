@@ -126,7 +126,11 @@ def main() -> None:
     timed("stream_ingest", run_stream, runs=1)
 
     total = round(sum(times.values()), 3)
-    sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    sf_name = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    try:
+        sf = float(sf_name)
+    except ValueError:
+        sf = sf_name
     print(json.dumps({"metric": "total_sec", "value": total, "unit": "sec",
                       "queries": times, "sf": sf, "cpus": cpus, "cold": cold,
                       "cold_total": round(sum(cold.values()), 3)}))
