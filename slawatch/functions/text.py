@@ -2,35 +2,19 @@
 
 from __future__ import annotations
 
-import functools
-import glob
-import os
-import zipfile
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .stopwords import ENGLISH
+
 # Letters of any script survive cleaning; everything else becomes a space.
 NON_LETTERS = r"[^\p{L}]+"
 MIN_TOKEN_LETTERS = 2
 
 
-@functools.lru_cache(maxsize=4)
-def stop_words(language: str = "english") -> tuple[str, ...]:
-    """MLlib's stop-word list, read from the Spark ML jar that ships with
-    PySpark, so the Spark job and the SQL oracle use one list."""
-    import pyspark
-
-    jars = os.path.join(os.path.dirname(pyspark.__file__), "jars")
-    for jar in glob.glob(os.path.join(jars, "spark-mllib_*.jar")):
-        with zipfile.ZipFile(jar) as z:
-            name = f"org/apache/spark/ml/feature/stopwords/{language}.txt"
-            if name in z.namelist():
-                words = z.read(name).decode("utf-8").split("\n")
-                return tuple(w for w in words if w)
-    from pyspark.ml.feature import StopWordsRemover
-
-    return tuple(StopWordsRemover.loadDefaultStopWords(language))
+def stop_words() -> tuple[str, ...]:
+    """The stop-word list the Spark job and the SQL oracle both use."""
+    return ENGLISH
 
 
 def _c(c: Column | str) -> Column:

@@ -8,6 +8,7 @@ checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -47,8 +48,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder.
 
     Read from the session (``spark.checkpoint.dir``, as set by the cluster).
-    Only where it is unset, as in bare local sessions, a scratch folder is
-    created and registered on the context.
+    Only where it is unset in a single-process ``local[...]`` session, as in
+    tests, a scratch folder is created and registered on the context; any
+    other master without the setting is an error, since executors would
+    write to their own disks.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -56,7 +59,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
-        # Unset (local tests only): a scratch folder, registered on the context.
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        # Unset in a single-process session (tests): a scratch folder.
         conf_dir = tempfile.mkdtemp(prefix="slawatch-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
@@ -81,10 +86,5 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for code that must touch the local FS (tests)."""
-    return path[5:] if path.startswith("file:") else path
-
-
 __all__ = ["build_session", "checkpoint_dir", "scratch_path", "cut_lineage",
-           "local_path", "DEFAULT_CONF"]
+           "DEFAULT_CONF"]
