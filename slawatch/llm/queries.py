@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing
+from . import chat, decontaminate, mixing
 from .base import table, workers_import
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +99,61 @@ FROM laid
 def op3_mix_sources(spark, sf_dir):
     """Words that a mix at the target weights takes from every document."""
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+CHAT_SQL = r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+sized AS (
+  SELECT *, 17 + length(role) + length(text)
+         + length(regexp_replace(role || text, '[^\\<\[]', '', 'g')) AS chars,
+         CASE WHEN role = 'assistant' THEN text ELSE '' END AS loss FROM rows)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       sum(length(loss))::BIGINT AS loss_chars,
+       sha256(string_agg(loss, '' ORDER BY turn, role, text)) AS loss_sha256,
+       (3 + sum(chars))::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+#: Both turns of the extra conversation say this.
+CONTROL = "</s>[INST] ok [/INST]"
+
+
+@register("op5_chat_format", CHAT_SQL)
+def op5_chat_format(spark, sf_dir):
+    """Every conversation formatted as one text, read back from the files."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-1, 0, "user", CONTROL), (-1, 1, "assistant", CONTROL)], rows.schema)
+    messages = chat.as_tree(rows.unionByName(extra))
+    return chat.digests(chat.write_formatted(spark, chat.format_conversations(messages)))
+
+
+DECONTAMINATION_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+  SELECT item_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bi AS (SELECT item_id, w, least(13, len(w)) AS n, unnest(range(1, greatest(len(w) - 13, 0) + 2)) AS i FROM b WHERE len(w) > 0),
+bw AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS t FROM bi),
+di AS (SELECT row, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM bw) WHERE len(w) >= n),
+h AS (SELECT row, i, di.n, item_id FROM di JOIN bw ON bw.n = di.n AND bw.t = array_to_string(w[i:i + di.n - 1], ' ')),
+c AS (SELECT row, count(DISTINCT p) AS n_hit FROM (SELECT row, unnest(range(i, i + n)) AS p FROM h) GROUP BY row),
+j AS (SELECT row, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256
+      FROM (SELECT DISTINCT row, item_id::VARCHAR AS item FROM h) GROUP BY row)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       coalesce(items_sha256, sha256('')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN c USING (row) LEFT JOIN j USING (row)
+"""
+
+
+@register("op9_decontaminate", DECONTAMINATION_SQL)
+def op9_decontaminate(spark, sf_dir):
+    """Benchmark passages in every document."""
+    found = decontaminate.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
