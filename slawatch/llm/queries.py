@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, mixing
+from . import chat, decontaminate, mixing, simhash, tokens
 from .base import table, workers_import
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -157,3 +157,16 @@ def op9_decontaminate(spark, sf_dir):
     found = decontaminate.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+@register("op6_simhash")
+def op6_simhash(spark, sf_dir):
+    """Fingerprint and near-duplicate group of every document."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
+
+
+@register("op1_token_ids")
+def op1_token_ids(spark, sf_dir):
+    """Token ids of every document, written to files and read back."""
+    return tokens.digests(tokens.store(table(spark, sf_dir, "documents")))
