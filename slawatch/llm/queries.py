@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, mixing, simhash, tokens
+from . import chat, decontaminate, mixing, quality, simhash, tokens
 from .base import table, workers_import
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -170,3 +170,14 @@ def op6_simhash(spark, sf_dir):
 def op1_token_ids(spark, sf_dir):
     """Token ids of every document, written to files and read back."""
     return tokens.digests(tokens.store(table(spark, sf_dir, "documents")))
+
+
+def quality_held_out():
+    return quality.split_remainder("doc_id", 5) == 0
+
+
+@register("op10_quality")
+def op10_quality(spark, sf_dir):
+    """Quality score of every document."""
+    found = quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), quality_held_out())
+    return found.select("doc_id", "held_out", "score", "predicted")
