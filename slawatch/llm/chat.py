@@ -53,42 +53,36 @@ def unescape(s: str) -> str:
     return "\\".join(part.replace("\\l", "<").replace("\\b", "[") for part in s.split("\\\\"))
 
 
-def _jumps(links: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
-    """(messages with ``depth`` under their root, the jump tables)."""
-    found = [links.filter("parent_id IS NULL").select("conv_id", "msg_id", F.lit(0).cast("long").alias("depth"))]
-    jumps = [cut_lineage(links.filter("parent_id IS NOT NULL").select("conv_id", "msg_id", F.col("parent_id").alias("up")), "chat-jump")]
+def _jumps(links: DataFrame) -> list[DataFrame]:
+    """Tables of (message, ``up``): its ancestor 2^k steps up, null if there
+    is none; in the last, only messages above a cycle still have one."""
+    jumps, left = [links.select("conv_id", "msg_id", F.col("parent_id").alias("up"))], None
     while True:
-        step = 1 << (len(jumps) - 1)
-        # Depths below 2^k are known; those of the next 2^k follow by one jump.
-        known = found[0]
-        for f in found[1:]:
-            known = known.unionByName(f)
-        new = (jumps[-1].join(known.withColumnRenamed("msg_id", "up"), ["conv_id", "up"])
-                        .select("conv_id", "msg_id", (F.col("depth") + step).alias("depth")))
-        new = cut_lineage(new, "chat-depth")
-        if new.isEmpty():  # what is left hangs on a cycle
-            return known, jumps[: max(1, len(found) - 1)]
-        found.append(new)
-        upper = jumps[-1].select("conv_id", F.col("msg_id").alias("up"), F.col("up").alias("_up"))
-        jumps.append(cut_lineage(jumps[-1].join(upper, ["conv_id", "up"]).select("conv_id", "msg_id", F.col("_up").alias("up")), "chat-jump"))
+        last = jumps[-1]
+        upper = last.select("conv_id", F.col("msg_id").alias("up"), F.col("up").alias("_up"))
+        new = last.join(upper, ["conv_id", "up"], "left").select("conv_id", "msg_id", F.col("_up").alias("up"))
+        jumps.append(cut_lineage(new, "chat-jump"))
+        before, left = left, jumps[-1].filter("up IS NOT NULL").count()
+        # Depths have no gaps: if a round resolves nothing, what is left hangs on a cycle.
+        if not left or left == before:
+            return jumps
 
 
 def paths(messages: DataFrame) -> DataFrame:
     """Every root-to-leaf path: rows (``conv_id``, ``leaf``, ``msg_id``,
     ``back``), ``back`` counting messages from the leaf upwards."""
-    ids = messages.select("conv_id", "msg_id", "parent_id").dropDuplicates(["conv_id", "msg_id"])
-    there = ids.select("conv_id", F.col("msg_id").alias("parent_id"), F.lit(True).alias("_there"))
-    links = ids.join(there, ["conv_id", "parent_id"], "left").select(
-        "conv_id", "msg_id", F.when(F.col("_there"), F.col("parent_id")).alias("parent_id"))
-    links = cut_lineage(links, "chat-links")
-    depths, jumps = _jumps(links)
+    there = messages.select("conv_id", F.col("msg_id").alias("parent_id"), F.lit(True).alias("_there"))
+    links = messages.select("conv_id", "msg_id", "parent_id").join(there, ["conv_id", "parent_id"], "left")
+    links = cut_lineage(links.select("conv_id", "msg_id", F.when(F.col("_there"), F.col("parent_id")).alias("parent_id")), "chat-links")
+    *jumps, last = _jumps(links)
     parents = links.filter("parent_id IS NOT NULL").select("conv_id", F.col("parent_id").alias("msg_id"))
-    leaves = depths.join(parents, ["conv_id", "msg_id"], "left_anti")
+    leaves = last.filter("up IS NULL").join(parents, ["conv_id", "msg_id"], "left_anti")
     rows = leaves.select("conv_id", F.col("msg_id").alias("leaf"), "msg_id", F.lit(0).cast("long").alias("back"))
     for k, jump in enumerate(jumps):
-        up = rows.join(jump, ["conv_id", "msg_id"]).select(
-            "conv_id", "leaf", F.col("up").alias("msg_id"), (F.col("back") + (1 << k)).alias("back"))
-        rows = rows.unionByName(up)
+        both = F.array(F.struct("msg_id", "back"), F.struct(F.col("up").alias("msg_id"), (F.col("back") + (1 << k)).alias("back")))
+        rows = (rows.join(jump, ["conv_id", "msg_id"])
+                    .select("conv_id", "leaf", F.explode(both).alias("_step"))
+                    .select("conv_id", "leaf", "_step.*").filter("msg_id IS NOT NULL"))
     return rows
 
 
