@@ -13,11 +13,13 @@ A document's offset in the whole token stream is its offset within its file
 a table of one row per file (``files``), made from the written metadata
 columns only: nothing is numbered in one task.
 
-The tokenizer lower-cases and drops white space, and its pieces never span
-white space, so a text's ids are the ids of its blank-separated parts in
-order; each worker keeps the ids of the parts seen so far (up to
-``MEMO`` entries, then it starts afresh). ``whole_words=False`` encodes each
-text in one call, for tokenizers without that property.
+The default tokenizer's pieces (letter runs, digits, symbol runs, lower-cased)
+never span a blank, so a text's ids are the ids of its pieces in order. Each
+worker cuts words into pieces, lets the tokenizer's model encode each
+piece once and keeps the ids (up to ``MEMO_WORDS`` words and ``MEMO_PIECES``
+pieces, then it starts afresh). Words beyond printable ASCII and Latin
+letters, or with ``<|``, go through the whole tokenizer, and so does every
+text if the tokenizer has other rules than these.
 
 Defined cases: a null or empty text has only the end id; repeated ids are
 separate rows, in the order of a hash of their texts; null ids come first;
@@ -39,43 +41,87 @@ from ..session import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
-#: Parts of texts whose ids a worker keeps.
-MEMO = 400_000
+#: Ids that a worker keeps.
+MEMO_WORDS, MEMO_PIECES = 500_000, 700_000
 ROW_GROUP_MB = 16
-_BLANK = re.compile("[ \n\t\r]+")
+#: The pre-tokenizer for which words can be cut into pieces here.
+SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+#: Printable ASCII and Latin letters: lower-casing is by character, NFC
+#: changes nothing, and ``_PIECE`` is the pattern above.
+_PLAIN_WORD = re.compile("[!-~\u00c0-\u024f]+")
+_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
 
-#: Per worker process: tokenizers and the memo of each.
-_loaded: dict[str, tuple] = {}
 
+def _byte_letters() -> dict[int, str]:
+    """The usual byte-level alphabet: printable bytes stand for themselves,
+    the others for the code points from 256 on, in order."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
-def _tokenizer(path: str):
-    if path not in _loaded:
+
+class _Encoder:
+    """One tokenizer in one worker process."""
+
+    def __init__(self, path: str):
+        import json
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _loaded[path] = (Tokenizer.from_file(path), {})
-    return _loaded[path]
-
-
-def encode_texts(path: str, texts: list[str], end_id: int | None = END_ID, whole_words: bool = True) -> list[bytes]:
+        self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        rules = json.loads(self.tokenizer.to_str())
+        kinds = [n.get("type") for n in (rules["normalizer"] or {}).get("normalizers", [])]
+        cut = (rules["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+        self.by_word = kinds == ["NFC", "Replace", "Lowercase"] and cut[0].get("pattern") == {"Regex": SPLIT} and len(cut) == 2
+        self.letters = _byte_letters()
+        self.words: dict[str, bytes] = {"": b""}
+        self.pieces: dict[str, bytes] = {}
+
+    def whole(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+    def piece(self, piece: str) -> bytes:
+        ids = self.pieces.get(piece)
+        if ids is None:
+            spelt = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+            ids = self.pieces[piece] = b"".join(t.id.to_bytes(4, "little") for t in self.model.tokenize(spelt))
+        return ids
+
+    def word(self, word: str) -> bytes:
+        if not _PLAIN_WORD.fullmatch(word) or "<|" in word:
+            return self.whole([word])[0]
+        low = word.lower() if word.isascii() else "".join(c.lower() for c in word)
+        return b"".join(map(self.piece, _PIECE.findall(low)))
+
+    def text(self, text: str) -> bytes:
+        if not self.by_word:
+            return self.whole([text])[0]
+        words, known = text.replace("\n", " ").split(" "), self.words
+        try:
+            return b"".join(map(known.__getitem__, words))
+        except KeyError:
+            if len(known) > MEMO_WORDS:
+                known.clear()
+            if len(self.pieces) > MEMO_PIECES:
+                self.pieces.clear()
+            for w in words:
+                if w not in known:
+                    known[w] = self.word(w)
+            return b"".join(map(known.__getitem__, words))
+
+
+#: Per worker process, by path.
+_loaded: dict[str, _Encoder] = {}
+
+
+def encode_texts(path: str, texts: list[str], end_id: int | None = END_ID) -> list[bytes]:
     """Ids of each text as little-endian unsigned 32-bit integers."""
-    tokenizer, memo = _tokenizer(path)
+    encoder = _loaded.get(path) or _loaded.setdefault(path, _Encoder(path))
     end = b"" if end_id is None else end_id.to_bytes(4, "little")
-    encode = lambda xs: [np.array(e.ids, dtype="<u4").tobytes() for e in tokenizer.encode_batch(xs, add_special_tokens=False)]
-    if not whole_words:
-        return [ids + end for ids in encode(texts)]
-    parts = [_BLANK.split(t) for t in texts]
-    out = []
-    for words in parts:
-        if len(memo) > MEMO:
-            memo.clear()
-        new = list({w for w in words if w not in memo})
-        if new:
-            memo.update(zip(new, encode(new)))
-        out.append(b"".join(map(memo.__getitem__, words)) + end)
-    return out
+    return [encoder.text(t) + end for t in texts]
 
 
 def default_tokenizer() -> str:
@@ -85,7 +131,7 @@ def default_tokenizer() -> str:
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int | None = END_ID,
-                 whole_words: bool = True, encoding: str = "delta", row_group_mb: int = ROW_GROUP_MB,
+                 encoding: str = "delta", row_group_mb: int = ROW_GROUP_MB,
                  partitions: int | None = None, keep: tuple[str, ...] = ()) -> None:
     """Write ``docs`` (``doc_id``, ``text`` and the metadata columns
     ``keep``) to ``path`` as ``doc_id``, ``keep``, ``part``, ``local_start``,
@@ -104,7 +150,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
         for whole in batches:
             for i in range(0, len(whole), 256):
                 b = whole.slice(i, 256)
-                ids = encode_texts(tokenizer, b.column("text").to_pylist(), end_id, whole_words)
+                ids = encode_texts(tokenizer, b.column("text").to_pylist(), end_id)
                 n = np.array([len(x) // 4 for x in ids], dtype=np.int64)
                 ends = np.cumsum(n)
                 tokens = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(np.frombuffer(b"".join(ids), dtype="<i4")))
