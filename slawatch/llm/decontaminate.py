@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..session import cut_lineage
+from .base import PLAIN, plain_words
 
 WINDOW = 13
 #: A document is contaminated if at least one in this many words is hit.
@@ -36,17 +37,9 @@ SHARE = 20
 CHUNK_MB = 64
 
 _WORD = re.compile(rb"[^ ]+")
-#: A-Z to a-z; other ASCII bytes outside words to blanks; so offsets stay.
-_PLAIN = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
-
-
-def words_of(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "surrogatepass").translate(_PLAIN).split(b" ")
-
-
 def normal(text: str | None) -> list[str]:
     """The words of a text."""
-    return [w.decode("utf-8", "surrogatepass") for w in words_of(text) if w]
+    return [w.decode("utf-8", "surrogatepass") for w in plain_words(text)]
 
 
 def windows(words: list[str], size: int = WINDOW) -> set[str]:
@@ -68,7 +61,7 @@ def _automaton(pairs: list[tuple[str, list[str]]]):
 
 def scan(automaton, text: str | None) -> tuple[int, list[tuple[int, int, list[str]]]]:
     """(words in the text, hits as (first word, last word + 1, items))."""
-    words = [w for w in words_of(text) if w]
+    words = plain_words(text)
     hits = []
     if words and len(automaton):
         line = f" {b' '.join(words).decode('utf-8', 'surrogatepass')} "
@@ -85,7 +78,7 @@ def original_offsets(text: str) -> list[tuple[int, int]]:
     raw = text.encode("utf-8", "surrogatepass")
     at = np.cumsum((np.frombuffer(raw, dtype=np.uint8) & 0xC0) != 0x80)
     starts = np.concatenate([[0], at])
-    return [(int(starts[m.start()]), int(starts[m.end()])) for m in _WORD.finditer(raw.translate(_PLAIN))]
+    return [(int(starts[m.start()]), int(starts[m.end()])) for m in _WORD.finditer(raw.translate(PLAIN))]
 
 
 def pattern_chunks(benchmark: DataFrame, size: int, chunk_mb: int):

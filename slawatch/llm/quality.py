@@ -70,10 +70,6 @@ def with_statistics(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", *[c.alias(k) for k, c in statistics(text).items()])
 
 
-def split_remainder(doc_id: str, mod: int) -> Column:
-    return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % mod
-
-
 @dataclass(frozen=True)
 class Rules:
     """Conjunctions of (statistic, above, threshold) with weights."""

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, mixing, quality, simhash, tokens
-from .base import table, workers_import
+from . import chat, decontaminate, mixing, quality, simhash, tokens, toxicity
+from .base import remainder, table, workers_import
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -173,7 +173,7 @@ def op1_token_ids(spark, sf_dir):
 
 
 def quality_held_out():
-    return quality.split_remainder("doc_id", 5) == 0
+    return remainder("doc_id", 5) == 0
 
 
 @register("op10_quality")
@@ -181,3 +181,12 @@ def op10_quality(spark, sf_dir):
     """Quality score of every document."""
     found = quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), quality_held_out())
     return found.select("doc_id", "held_out", "score", "predicted")
+
+
+@register("op4_toxicity")
+def op4_toxicity(spark, sf_dir):
+    """Toxicity score of every document."""
+    rest = remainder("doc_id", 3)
+    fold = F.when(rest == 0, 0).when(rest == 2, 1)
+    found = toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), fold)
+    return found.select("doc_id", F.col("fold").isNull().alias("held_out"), "score", "predicted")
