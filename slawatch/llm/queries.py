@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, mixing, quality, simhash, tokens, toxicity
+from . import chat, decontaminate, mixing, quality, simhash, tokens, topk, toxicity
 from .base import remainder, table, workers_import
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -190,3 +190,21 @@ def op4_toxicity(spark, sf_dir):
     fold = F.when(rest == 0, 0).when(rest == 2, 1)
     found = toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), fold)
     return found.select("doc_id", F.col("fold").isNull().alias("held_out"), "score", "predicted")
+
+
+TOPK_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM s QUALIFY rank <= 5
+"""
+
+
+@register("op8_top_k", TOPK_SQL)
+def op8_top_k(spark, sf_dir):
+    """The 5 largest inner products of every 50th vector, against all rows."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
