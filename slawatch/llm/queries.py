@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, mixing, quality, simhash, tokens, topk, toxicity
+from . import chat, decontaminate, mixing, pii, quality, simhash, tokens, topk, toxicity
 from .base import remainder, table, workers_import
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -208,3 +208,11 @@ FROM s QUALIFY rank <= 5
 def op8_top_k(spark, sf_dir):
     """The 5 largest inner products of every 50th vector, against all rows."""
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@register("op2_personal_data")
+def op2_personal_data(spark, sf_dir):
+    """Spans of personal data in every document."""
+    found = pii.find(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k in pii.KINDS],
+                        F.sha2(pii.listed(*pii.KINDS), 256).alias("base_sha256"), pii.listed(*pii.KINDS, "secret").alias("spans"))
