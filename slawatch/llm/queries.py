@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, mixing, pii, quality, simhash, tokens, topk, toxicity
+from . import chat, decontaminate, dedup, mixing, pii, quality, simhash, tokens, topk, toxicity
 from .base import remainder, table, workers_import
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -216,3 +216,12 @@ def op2_personal_data(spark, sf_dir):
     found = pii.find(table(spark, sf_dir, "documents"))
     return found.select("doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k in pii.KINDS],
                         F.sha2(pii.listed(*pii.KINDS), 256).alias("base_sha256"), pii.listed(*pii.KINDS, "secret").alias("spans"))
+
+
+@register("op7_repeated_strings")
+def op7_repeated_strings(spark, sf_dir):
+    """What stays of every document without its repeated 100-byte strings."""
+    found = dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("removed", F.lit(0).cast("long"), lambda a, r: a + r["end"] - r["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
