@@ -54,18 +54,20 @@ def unescape(s: str) -> str:
 
 
 def _jumps(links: DataFrame) -> list[DataFrame]:
-    """Tables of (message, ``up``): its ancestor 2^k steps up, null if there
-    is none; in the last, only messages above a cycle still have one."""
-    jumps, left = [links.select("conv_id", "msg_id", F.col("parent_id").alias("up"))], None
-    while True:
+    """Tables of (message, ``up``): its ancestor 2^k steps up, for messages
+    that have one; the last holds only messages that hang on a cycle."""
+    jumps = [cut_lineage(links.filter("parent_id IS NOT NULL").select("conv_id", "msg_id", F.col("parent_id").alias("up")), "chat-jump")]
+    left = jumps[0].count()
+    while left:
         last = jumps[-1]
         upper = last.select("conv_id", F.col("msg_id").alias("up"), F.col("up").alias("_up"))
-        new = last.join(upper, ["conv_id", "up"], "left").select("conv_id", "msg_id", F.col("_up").alias("up"))
-        jumps.append(cut_lineage(new, "chat-jump"))
-        before, left = left, jumps[-1].filter("up IS NOT NULL").count()
-        # Depths have no gaps: if a round resolves nothing, what is left hangs on a cycle.
-        if not left or left == before:
-            return jumps
+        jumps.append(cut_lineage(last.join(upper, ["conv_id", "up"]).select("conv_id", "msg_id", F.col("_up").alias("up")), "chat-jump"))
+        before, left = left, jumps[-1].count()
+        # Depths have no gaps: if as many messages have the longer jump, none
+        # of them ever reaches a root.
+        if left == before:
+            break
+    return jumps
 
 
 def paths(messages: DataFrame) -> DataFrame:
@@ -74,15 +76,14 @@ def paths(messages: DataFrame) -> DataFrame:
     there = messages.select("conv_id", F.col("msg_id").alias("parent_id"), F.lit(True).alias("_there"))
     links = messages.select("conv_id", "msg_id", "parent_id").join(there, ["conv_id", "parent_id"], "left")
     links = cut_lineage(links.select("conv_id", "msg_id", F.when(F.col("_there"), F.col("parent_id")).alias("parent_id")), "chat-links")
-    *jumps, last = _jumps(links)
+    *jumps, cyclic = _jumps(links)
     parents = links.filter("parent_id IS NOT NULL").select("conv_id", F.col("parent_id").alias("msg_id"))
-    leaves = last.filter("up IS NULL").join(parents, ["conv_id", "msg_id"], "left_anti")
-    rows = leaves.select("conv_id", F.col("msg_id").alias("leaf"), "msg_id", F.lit(0).cast("long").alias("back"))
+    leaves = links.join(parents.unionByName(cyclic.select("conv_id", "msg_id")), ["conv_id", "msg_id"], "left_anti")
+    rows = cut_lineage(leaves.select("conv_id", F.col("msg_id").alias("leaf"), "msg_id", F.lit(0).cast("long").alias("back")), "chat-steps")
     for k, jump in enumerate(jumps):
-        both = F.array(F.struct("msg_id", "back"), F.struct(F.col("up").alias("msg_id"), (F.col("back") + (1 << k)).alias("back")))
-        rows = (rows.join(jump, ["conv_id", "msg_id"])
-                    .select("conv_id", "leaf", F.explode(both).alias("_step"))
-                    .select("conv_id", "leaf", "_step.*").filter("msg_id IS NOT NULL"))
+        up = rows.join(jump, ["conv_id", "msg_id"]).select(
+            "conv_id", "leaf", F.col("up").alias("msg_id"), (F.col("back") + (1 << k)).alias("back"))
+        rows = rows.unionByName(cut_lineage(up, "chat-steps"))
     return rows
 
 
@@ -108,7 +109,7 @@ def format_conversations(messages: DataFrame, top: int = 1, learned: tuple[str,
                     .groupBy("conv_id", "msg_id")
                     .agg(F.min("parent_id").alias("parent_id"), F.max("score").alias("score"), F.min(said).alias("said")))
     told = cut_lineage(told, "chat-messages")
-    steps = cut_lineage(paths(told), "chat-paths")
+    steps = paths(told)
     best = best_paths(steps, told.select("conv_id", "msg_id", "score"), top)
     chosen = steps.join(best, ["conv_id", "leaf"]).join(told.select("conv_id", "msg_id", "said"), ["conv_id", "msg_id"])
     turn = F.struct((-F.col("back")).alias("at"), "said.role", "said.text")
