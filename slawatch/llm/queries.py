@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+
 from . import chat, decontaminate, dedup, mixing, pii, quality, simhash, tokens, topk, toxicity
 from .base import remainder, table, workers_import
 
@@ -171,15 +173,10 @@ def op1_token_ids(spark, sf_dir):
     """Token ids of every document, written to files and read back."""
     return tokens.digests(tokens.store(table(spark, sf_dir, "documents")))
 
-
-def quality_held_out():
-    return remainder("doc_id", 5) == 0
-
-
 @register("op10_quality")
 def op10_quality(spark, sf_dir):
     """Quality score of every document."""
-    found = quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), quality_held_out())
+    found = quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), remainder("doc_id", 5) == 0)
     return found.select("doc_id", "held_out", "score", "predicted")
 
 
@@ -225,3 +222,9 @@ def op7_repeated_strings(spark, sf_dir):
     removed = F.aggregate("removed", F.lit(0).cast("long"), lambda a, r: a + r["end"] - r["start"])
     return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"),
                         F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark, sf_dir):
+    """Documents to token ids, through all stages."""
+    return corpus_pipeline.run(spark, sf_dir)

@@ -189,17 +189,23 @@ def read_tokens(spark: SparkSession, path: str, first: int | None = None, last:
     return rows.join(base, "part").select("doc_id", (F.col("base") + F.col("local_start")).alias("start"), "n_tokens", *columns)
 
 
-def digests(rows: DataFrame) -> DataFrame:
-    """``doc_id``, ``start``, ``n_tokens``, ``ids_crc32`` of read tokens."""
+def digests(rows: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id``, ``start``, ``n_tokens``, ``ids_crc32`` (of the ids as
+    little-endian unsigned 32-bit integers) and ``keep`` of read tokens."""
+    names = ["doc_id", "start", "n_tokens"]
+
     def run(batches):
         for b in batches:
             tokens = b.column("tokens")
             flat = tokens.values.to_numpy(zero_copy_only=False).astype("<u4")
             cut = tokens.offsets.to_numpy()
             sums = [zlib.crc32(flat[x:y].tobytes()) for x, y in zip(cut[:-1], cut[1:])]
-            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in ("doc_id", "start", "n_tokens")], pa.array(sums, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in names], pa.array(sums, pa.int64()), *[b.column(c) for c in keep]], names=[*names, "ids_crc32", *keep])
 
-    return rows.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    schema = rows.select(*names).schema.add("ids_crc32", "long")
+    for c in keep:
+        schema = schema.add(rows.schema[c])
+    return rows.mapInArrow(run, schema)
 
 
 def store(docs: DataFrame, path: str | None = None, **options) -> DataFrame:
