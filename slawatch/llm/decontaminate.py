@@ -166,6 +166,6 @@ def hits(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, chunk_mb: in
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, all columns kept."""
     cols = docs.columns
-    others = F.struct(*[c for c in cols if c not in ("doc_id", "text")]).alias("_row")
+    others = F.struct(F.lit(0).alias("_"), *[c for c in cols if c not in ("doc_id", "text")]).alias("_row")
     clean = hits(docs.select("doc_id", "text", others), benchmark, keep=("_row",), **options).filter("NOT contaminated")
     return clean.select(*[c if c in ("doc_id", "text") else F.col(f"_row.{c}") for c in cols])

@@ -138,7 +138,7 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     is taken; a part of a document keeps the white space between its words,
     and its ``n_chars`` (if there is such a column) is its own."""
     cols = docs.columns
-    row = docs.withColumn("_row", F.struct(*cols))
+    row = docs.select("doc_id", "text", "source", F.struct(*cols).alias("_row"))
     parts = mix(row, keep=("_row",), **options)
     words = F.regexp_extract_all(F.coalesce(F.col("_row.text"), F.lit("")), F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
 

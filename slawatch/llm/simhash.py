@@ -188,12 +188,13 @@ def hex_fingerprint(fp: str = "fp") -> Column:
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """One row of ``docs`` of each group, all columns kept: the one with the
     smallest ``doc_id`` (null last), then the first by hash of the text."""
-    hashed = docs.withColumn("_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    hashed = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("_hash"), F.struct(F.lit(0).alias("_"), *rest).alias("_row"))
     groups = near_duplicates(hashed, keep=("_hash",), **options)
     lead = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_hash")).alias("lead")
     leads = groups.groupBy("root").agg(lead).select(F.col("lead.doc_id").alias("_lead"), F.col("lead._hash").alias("_lead_hash")).distinct()
     rows = hashed.join(leads, F.col("doc_id").eqNullSafe(F.col("_lead")) & (F.col("_hash") == F.col("_lead_hash")), "left_semi")
     # Repeated rows of the lead: one stays.
-    others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    order = Window.partitionBy("doc_id", "_hash").orderBy(*[F.col(c).asc_nulls_last() for c in others] or [F.lit(0)])
-    return rows.withColumn("_n", F.row_number().over(order)).filter("_n = 1").select(*docs.columns)
+    order = Window.partitionBy("doc_id", "_hash").orderBy(F.xxhash64("_row"), *[F.col(f"_row.{c}").asc_nulls_last() for c in rest])
+    one = rows.withColumn("_n", F.row_number().over(order)).filter("_n = 1")
+    return one.select(*[c if c in ("doc_id", "text") else F.col(f"_row.{c}").alias(c) for c in docs.columns])
