@@ -41,8 +41,7 @@ def standardize_columns(df: DataFrame) -> DataFrame:
     """
     missing = [c for c in REQUIRED_RAW_COLUMNS if c not in df.columns]
     if missing:
-        raise MissingColumnsError(
-            f"Required columns missing: {missing}. Columns present: {df.columns}")
+        raise MissingColumnsError(f"raw input lacks {missing}; it has {df.columns}")
     present = {raw: new for raw, new in RAW_COLUMN_MAP.items() if raw in df.columns}
     out = df.select([null_if_na(F.col(f"`{raw}`").cast("string")).alias(new)
                      for raw, new in present.items()])

@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import dow_monday0
 from ..schemas import ENRICHED_COLUMNS, UNKNOWN_TOPIC_ID, UNKNOWN_TOPIC_KEYWORDS
-from .broadcast import MAX_BROADCAST_ROWS, broadcast_if_small
+from .incremental import keyed, spread_null_key
+
+# A lookup with a proven bound of at most this many rows is broadcast.
+MAX_BROADCAST_ROWS = 100_000
 
 
 def add_calendar(df: DataFrame, ts: str = "created_at") -> DataFrame:
@@ -26,20 +29,17 @@ def attach_topics(issues: DataFrame, assignments: DataFrame, terms: DataFrame,
 
     ``assignments`` (issue_id, topic_id) has at most one row per issue; it is
     as large as the issues, so the planner shuffles or broadcasts it by size.
-    Issues without an id cannot match and skip that join (no single hot
-    null-key task). ``terms`` (topic_id, topic_keywords) has one row per
-    topic (k rows); it is broadcast, so the lookup never shuffles the
-    issues: directly when the caller states its bound (``terms_bound``, e.g.
-    k for a topic model), otherwise after a row-count check.
+    Issues without an id cannot match and are spread over many join keys (no
+    single hot null-key task, no second pass). ``terms`` (topic_id,
+    topic_keywords) has one row per topic: broadcast if the caller states a
+    proven bound (``terms_bound``, e.g. k of a topic model), otherwise left
+    to the planner.
     """
-    a = assignments.select("issue_id", F.col("topic_id").cast("int").alias("topic_id"))
+    a = keyed(assignments, "issue_id", F.col("topic_id").cast("int").alias("topic_id"))
     t = terms.select(F.col("topic_id").cast("int").alias("topic_id"), "topic_keywords")
     base = issues.drop("topic_id", "topic_keywords")
-    keyed = base.filter(F.col("issue_id").isNotNull()).join(a, "issue_id", "left")
-    unkeyed = base.filter(F.col("issue_id").isNull()).withColumn("topic_id", F.lit(None).cast("int"))
-    small = F.broadcast(t) if terms_bound is not None and terms_bound <= MAX_BROADCAST_ROWS \
-        else broadcast_if_small(t)
-    out = keyed.unionByName(unkeyed).join(small, "topic_id", "left")
+    out = spread_null_key(base, "issue_id").join(a, ["_k", "_none"], "left").drop("_k", "_none")
+    out = out.join(F.broadcast(t) if terms_bound is not None and terms_bound <= MAX_BROADCAST_ROWS else t, "topic_id", "left")
     return out.withColumns({
         "topic_id": F.coalesce(F.col("topic_id"), F.lit(UNKNOWN_TOPIC_ID)).cast("int"),
         "topic_keywords": F.coalesce(F.col("topic_keywords"), F.lit(UNKNOWN_TOPIC_KEYWORDS)),

@@ -9,39 +9,58 @@ from ..functions.scalar import positive_score
 from ..schemas import FACT_COLUMNS
 
 
+#: Rows without a key are spread over this many join keys.
+NULL_SALTS = 1024
+
+
+def spread_null_key(df: DataFrame, key: str) -> DataFrame:
+    """Add ``_k`` (the key as text, or a salt where it is null) and ``_none``
+    (whether it is null): a join on both never matches a null key, and a
+    flood of null keys is spread over many tasks in the same single pass."""
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(NULL_SALTS)).cast("string")
+    return df.withColumns({"_k": F.coalesce(F.col(key).cast("string"), salt), "_none": F.col(key).isNull()})
+
+
+def keyed(df: DataFrame, key: str, *cols: str) -> DataFrame:
+    """The other side of such a join: rows with a key, and ``cols``."""
+    return df.filter(F.col(key).isNotNull()).select(
+        F.col(key).cast("string").alias("_k"), F.lit(False).alias("_none"), *cols)
+
+
 def new_issues(enriched: DataFrame, scored: DataFrame, key: str = "issue_id") -> DataFrame:
-    """Enriched rows whose key is not in the scored fact (anti-join).
+    """Enriched rows whose key is not in the scored fact (anti-join over all
+    history, so exact whatever else changed in a row).
 
-    Rows with a null key can never match, so they are kept without taking
-    part in the join: a flood of null keys (one hash bucket) never lands in a
-    single shuffle task. Only the key column of the fact is read (column
-    pruning), and the planner picks broadcast or sort-merge anti-join from
-    the runtime size; AQE splits a skewed left partition if one appears.
+    Rows with a null key can never match and are kept. Each input is read
+    once; only the key column of the fact is read, and the planner picks
+    broadcast or sort-merge anti-join from the runtime size.
     """
-    keyed = enriched.filter(F.col(key).isNotNull())
-    unkeyed = enriched.filter(F.col(key).isNull())
-    seen = scored.select(key).filter(F.col(key).isNotNull())
-    return keyed.join(seen, key, "left_anti").unionByName(unkeyed)
+    left = spread_null_key(enriched, key)
+    return left.join(keyed(scored, key), ["_k", "_none"], "left_anti").select(*enriched.columns)
 
 
 def batch_days(batch: DataFrame, day_col: str) -> list:
     """The distinct days of a batch (bounded by the calendar, not by the
-    data: a daily batch spans a few days)."""
-    return sorted(r[0] for r in batch.select(day_col).distinct().collect() if r[0] is not None)
+    data: a daily batch spans a few days); None stands for rows without."""
+    days = [r[0] for r in batch.select(day_col).distinct().collect()]
+    return sorted(d for d in days if d is not None) + [None] * (None in days)
+
+
+def on_days(day_col: str, days: list) -> F.Column:
+    """Rows of the given days (None: rows without a day)."""
+    some = F.col(day_col).isin([d for d in days if d is not None])
+    return F.coalesce(some, F.lit(False)) | F.col(day_col).isNull() if None in days else F.coalesce(some, F.lit(False))
 
 
 def new_issues_by_day(enriched: DataFrame, scored: DataFrame, key: str = "issue_id",
                       day_col: str = "date", fact_day_col: str = "issue_date") -> DataFrame:
-    """``new_issues`` reading only the fact partitions of the batch's days.
-
-    An issue's day is derived from its creation time, which never changes,
-    so a scored copy of a batch row can only sit in a partition of one of the
-    batch's days: the anti-join is exact while the fact scan shrinks from
-    all history to a few ``issue_date`` partitions (static partition
-    filter, pruned at planning time).
+    """Opt-in: ``new_issues`` reading only the fact partitions of the batch's
+    days. Exact only where an issue's day never changes (a corrected creation
+    time would hide its scored copy); a batch with undated rows is checked
+    against all history. The jobs use ``new_issues``.
     """
     days = batch_days(enriched, day_col)
-    recent = scored.filter(F.col(fact_day_col).isin(days)) if days else scored.limit(0)
+    recent = scored if None in days else scored.filter(on_days(fact_day_col, days))
     return new_issues(enriched, recent, key)
 
 
@@ -78,39 +97,43 @@ def latest_per_key(df: DataFrame, key: str = "issue_id",
     Written as an aggregate (``max_by``), not a window: the partial
     aggregate runs map-side, so a key repeated a billion times is reduced in
     the map tasks before the shuffle instead of being sorted in one task.
-    Null keys are not merged with each other; they pass through.
+    Rows without a key are not merged with each other: each gets a key of
+    its own, in the same single pass.
     """
     cols = df.columns
     row = F.struct(*[F.col(c) for c in cols])
     order = F.struct(*[F.col(c) for c in order_cols], F.xxhash64(*[F.col(c) for c in cols]))
-    keyed = df.filter(F.col(key).isNotNull())
-    best = (keyed.groupBy(key).agg(F.max_by(row, order).alias("_r"))
-                 .select([F.col("_r").getField(c).alias(c) for c in cols]))
-    return best.unionByName(df.filter(F.col(key).isNull()))
+    own = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
+    return (df.withColumn("_own", own).groupBy(F.col(key).alias("_k"), "_own")
+              .agg(F.max_by(row, order).alias("_r"))
+              .select([F.col("_r").getField(c).alias(c) for c in cols]))
 
 
 def merge_stream_by_day(enriched: DataFrame, stream: DataFrame, key: str = "issue_id",
                         ingested_col: str = "ingested_at", day_col: str = "date") -> DataFrame:
-    """``merge_stream`` that only aggregates the days the stream touches.
+    """``merge_stream`` that only aggregates the days the stream touches: the
+    days of its rows and the days on which the table holds its ids (found by
+    a semi-join on the id column), so a row whose day changed is replaced.
+    Rows of other days pass through untouched (no shuffle, no sort)."""
+    days = touched_days(enriched, stream, key, day_col)
+    rest = enriched.filter(~on_days(day_col, days))
+    merged = merge_stream(enriched.filter(on_days(day_col, days)), stream, key, ingested_col)
+    return rest.unionByName(merged, allowMissingColumns=True)
 
-    A streamed row carries its issue's creation time, which never changes,
-    so it can only replace rows of the same day. Rows of other days pass
-    through untouched (no shuffle, no sort); only the touched days' rows and
-    the stream are reduced to one row per key. Written back with dynamic
-    partition overwrite, this rewrites just those day partitions.
-    """
-    days = batch_days(stream, day_col)
-    touched = F.col(day_col).isin(days) if days else F.lit(False)
-    rest = enriched.filter(~touched | F.col(day_col).isNull())
-    merged = merge_stream(enriched.filter(touched), stream, key, ingested_col)
-    return rest.unionByName(merged)
+
+def touched_days(table: DataFrame, stream: DataFrame, key: str, day_col: str) -> list:
+    """Days of ``table`` that an upsert of ``stream`` changes."""
+    held = table.select(key, day_col).join(stream.select(key).distinct(), key, "left_semi")
+    return batch_days(stream.select(day_col).unionByName(held.select(day_col)), day_col)
 
 
 def merge_stream(enriched: DataFrame, stream: DataFrame, key: str = "issue_id",
                  ingested_col: str = "ingested_at") -> DataFrame:
     """Upsert streamed rows into the enriched table: one row per key, the
-    newest ingest wins; batch rows count as ingested before any stream row."""
+    newest ingest wins. The ingest time is part of the result, so a later
+    replay of an older event loses against it; rows without one (batch rows)
+    count as ingested before any stream row."""
     b = enriched.withColumn(ingested_col, F.lit(None).cast("timestamp")) \
         if ingested_col not in enriched.columns else enriched
-    merged = latest_per_key(union_issues(b, stream), key, (ingested_col,))
-    return merged.select(enriched.columns)
+    cols = b.columns
+    return latest_per_key(b.unionByName(stream.select(*cols)), key, (ingested_col,)).select(cols)

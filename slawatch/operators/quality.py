@@ -17,13 +17,3 @@ def check_unique(df: DataFrame, col: str) -> DataFrame:
 def check_not_null(df: DataFrame, col: str) -> DataFrame:
     """Rows where ``col`` is null."""
     return df.filter(F.col(col).isNull())
-
-
-def check_accepted_range(df: DataFrame, col: str, lo=None, hi=None) -> DataFrame:
-    """Rows whose ``col`` is outside ``[lo, hi]`` (e.g. negative hours)."""
-    cond = F.lit(False)
-    if lo is not None:
-        cond = cond | (F.col(col) < F.lit(lo))
-    if hi is not None:
-        cond = cond | (F.col(col) > F.lit(hi))
-    return df.filter(cond)

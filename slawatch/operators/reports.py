@@ -153,32 +153,14 @@ def risk_bucket_mix(stg: DataFrame, by: str = "region") -> DataFrame:
 
 
 def recent_issues(scored: DataFrame, start: DateLike, end: DateLike,
-                  n: int = RECENT_ISSUES_ROWS, ts: str = "created_at",
-                  bound_days: bool = True) -> DataFrame:
-    """The newest ``n`` issues created within ``[start, end]``.
-
-    If the input carries the ``issue_date`` partition column the range is
-    applied to it as well, so only the days in range are scanned. With
-    ``bound_days`` a per-day count over the range (one row per day) finds
-    the newest days that together hold at least ``n`` rows, and the top-k
-    reads only those: its final merge then holds about ``n`` rows per task
-    of a few days, not of the whole range.
-    """
+                  n: int = RECENT_ISSUES_ROWS, ts: str = "created_at") -> DataFrame:
+    """The newest ``n`` issues created within ``[start, end]``: a top-k that
+    keeps ``n`` rows per task. If the input carries the ``issue_date``
+    partition column the range prunes its partitions."""
     s, e = date_window(end, start=start)
     df = scored.filter(F.to_date(F.col(ts)).between(F.lit(s), F.lit(e)))
-    day = F.col("issue_date") if "issue_date" in scored.columns else F.to_date(F.col(ts))
     if "issue_date" in scored.columns:
         df = df.filter(F.col("issue_date").between(F.lit(s), F.lit(e)))
-    if bound_days:
-        counts = sorted(((r[0], r[1]) for r in df.groupBy(day.alias("_d")).count().collect()
-                         if r[0] is not None), reverse=True)
-        seen, first_day = 0, None
-        for d, c in counts:
-            seen, first_day = seen + c, d
-            if seen >= n:
-                break
-        if first_day is not None:
-            df = df.filter(day >= F.lit(first_day))
     return df.orderBy(F.desc(ts), F.asc("issue_id")).limit(n)
 
 
@@ -241,12 +223,10 @@ def describe_hours(df: DataFrame, col: str = "resolution_hours", exact: bool = T
     else:
         qs = F.percentile_approx(col, [0.25, 0.5, 0.75], accuracy)
         q = df.agg(qs.getItem(0).alias("p25"), qs.getItem(1).alias("p50"), qs.getItem(2).alias("p75"))
-    return basic.select(
-        "count", "mean", "std", "min",
-        q.select("p25").scalar().alias("p25"),
-        q.select("p50").scalar().alias("p50"),
-        q.select("p75").scalar().alias("p75"),
-        "max")
+    # One subquery for all three.
+    quartiles = q.select(F.struct("p25", "p50", "p75")).scalar()
+    return (basic.withColumn("_q", quartiles)
+                 .select("count", "mean", "std", "min", "_q.p25", "_q.p50", "_q.p75", "max"))
 
 
 def date_span(df: DataFrame, col: str = "date") -> DataFrame:
@@ -260,40 +240,11 @@ def issues_by_region(df: DataFrame, n: int | None = TOP_REGIONS_ROWS) -> DataFra
     return out.limit(n) if n else out
 
 
-SMALL_SAMPLE = 10_000
-
-
-def sample_rows(df: DataFrame, n: int, seed: int = SEED, key: str = "issue_id",
-                small: int = SMALL_SAMPLE) -> DataFrame:
+def sample_rows(df: DataFrame, n: int, seed: int = SEED, key: str = "issue_id") -> DataFrame:
     """A reproducible pseudo-random sample of at most ``n`` rows: the ``n``
-    rows with the smallest seeded hash of the key (ties by key), so the same
-    rows come back whatever the partitioning or task order
-    (``DataFrame.sample`` depends on both).
-
-    Small ``n`` plans as a top-k. For large ``n`` a plain top-k would merge
-    tasks x ``n`` rows in one task, so the rows are first cut to those whose
-    hash lies under a threshold sized for about 1.1 ``n`` rows (a narrow
-    filter; widened if too few pass), and the top-k runs on that bounded
-    set: the result is the same ``n`` rows.
-    """
-    h = F.xxhash64(F.col(key), F.lit(seed))
-    ranked = df.withColumn("_h", h)
-    if n <= small:
-        return ranked.orderBy("_h", key).limit(n).drop("_h")
-    total = df.count()
-    if total <= n:
-        return df
-    frac = min(1.0, 1.1 * n / total + 1e-4)
-    while True:
-        bound = int(-(2 ** 63) + frac * (2 ** 64))
-        cut = ranked.filter(F.col("_h") < F.lit(bound)) if frac < 1.0 else ranked
-        if frac >= 1.0 or cut.count() >= n:
-            return cut.orderBy("_h", key).limit(n).drop("_h")
-        frac = min(1.0, frac * 2)
-
-
-def sample_fraction(df: DataFrame, fraction: float, seed: int = SEED, key: str = "issue_id") -> DataFrame:
-    """Large samples: keep rows whose seeded hash falls under a threshold
-    (a narrow filter, no sort, no shuffle)."""
-    bucket = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1_000_000))
-    return df.filter(bucket < F.lit(int(fraction * 1_000_000)))
+    rows with the smallest seeded md5 of the key (ties by key), so the same
+    rows come back whatever the partitioning, task order or engine
+    (``DataFrame.sample`` depends on the first two). A top-k in one pass:
+    ``n`` rows per task reach the final merge."""
+    h = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(key).cast("string"), F.lit(""))))
+    return df.withColumn("_h", h).orderBy("_h", key).limit(n).drop("_h")

@@ -166,7 +166,7 @@ def q_new_issues_by_day(spark, sf_dir):
 STREAM_SQL = f"""stream AS (
   SELECT issue_id, created_at, created_at + INTERVAL 80 HOUR AS resolved_at, raw_category, raw_subcategory,
          region, 'Closed' AS status, city, raw_channel, issue_text, channel, source_system, sla_hours_target,
-         80.0 AS resolution_hours, true AS sla_breached, date, hour, dow, topic_id, topic_keywords,
+         CAST(80 AS DOUBLE) AS resolution_hours, true AS sla_breached, date, hour, dow, topic_id, topic_keywords,
          created_at + INTERVAL 80 HOUR AS ingested_at
   FROM enriched WHERE resolved_at IS NULL
 )"""
@@ -188,14 +188,14 @@ SELECT {ENRICHED_SQL} FROM stream"""))
 def q_merge_stream(spark, sf_dir):
     """Upsert: one row per id, the newest ingest wins."""
     en = td.enriched_issues(spark, sf_dir)
-    return merge_stream(en, td.stream_updates(en))
+    return merge_stream(en, td.stream_updates(en)).select(ENRICHED_COLUMNS)
 
 
 @register("merge_stream_by_day", ORACLE["merge_stream"])
 def q_merge_stream_by_day(spark, sf_dir):
     """Upsert that aggregates only the days the stream touches."""
     en = td.enriched_issues(spark, sf_dir)
-    return merge_stream_by_day(en, td.stream_updates(en))
+    return merge_stream_by_day(en, td.stream_updates(en)).select(ENRICHED_COLUMNS)
 
 
 @register("check_unique", O.with_issues(f""", {STREAM_SQL}
@@ -287,12 +287,18 @@ SELECT region,
   round(sum(CASE WHEN issue_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-15' THEN sla_breach_rate * total_issues END)
         / sum(CASE WHEN issue_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-15' THEN total_issues END), 6) AS prev_breach_rate,
   round(avg(CASE WHEN issue_date BETWEEN {d(CUR_START)} AND {d(CUR_END)} THEN avg_risk_score END), 6) AS cur_avg_risk,
-  round(avg(CASE WHEN issue_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-15' THEN avg_risk_score END), 6) AS prev_avg_risk
+  round(avg(CASE WHEN issue_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-15' THEN avg_risk_score END), 6) AS prev_avg_risk,
+  CAST(coalesce(sum(CASE WHEN issue_date BETWEEN {d(CUR_START)} AND {d(CUR_END)} THEN total_issues END), 0)
+       - coalesce(sum(CASE WHEN issue_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-15' THEN total_issues END), 0) AS BIGINT) AS delta_issues,
+  round(sum(CASE WHEN issue_date BETWEEN {d(CUR_START)} AND {d(CUR_END)} THEN sla_breach_rate * total_issues END)
+        / sum(CASE WHEN issue_date BETWEEN {d(CUR_START)} AND {d(CUR_END)} THEN total_issues END)
+        - sum(CASE WHEN issue_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-15' THEN sla_breach_rate * total_issues END)
+        / sum(CASE WHEN issue_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-15' THEN total_issues END), 6) AS delta_breach_rate
 FROM mart WHERE issue_date BETWEEN DATE '2024-01-01' AND {d(CUR_END)}
 GROUP BY region"""))
 def q_compare_periods(spark, sf_dir):
     out = reports.compare_periods(mart(spark, sf_dir), CUR_START, CUR_END)
-    return round_doubles(out.drop("delta_issues", "delta_breach_rate"))
+    return round_doubles(out)
 
 
 # ---------------------------------------------------------------- staging reports
@@ -544,17 +550,18 @@ SELECT {ENRICHED_SQL} FROM stream"""))
 def q_stream_ingest(spark, sf_dir):
     """Rows landed by the streaming ingest (file source, foreachBatch)."""
     _, landed = _landed_stream(spark, sf_dir)
-    return landed.drop("ingested_at", "batch_id")
+    return landed.select(ENRICHED_COLUMNS)
 
 
 @register("stream_merge", ORACLE["merge_stream"])
 def q_stream_merge(spark, sf_dir):
     """Upsert of the ingested stream into the enriched issues."""
     en, landed = _landed_stream(spark, sf_dir)
-    return merge_stream_by_day(en, landed.drop("batch_id"))
+    return merge_stream_by_day(en, landed).select(ENRICHED_COLUMNS)
 
 
-@register("sample_rows")
+@register("sample_rows", O.with_issues(f"""
+SELECT {UNIFIED_SQL} FROM unified ORDER BY md5('42:' || issue_id), issue_id LIMIT 1000"""))
 def q_sample_rows(spark, sf_dir):
     """Seeded, partition-independent sample of 1,000 issues."""
     return reports.sample_rows(td.unified_issues(spark, sf_dir), 1000)

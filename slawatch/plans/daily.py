@@ -1,8 +1,7 @@
-"""The daily job: score what is new, append it, refresh the touched days
-of the mart.
+"""The daily job: score what is new, append it, refresh stale mart days.
 
-1. ``new_issues_by_day``: anti-join of the enriched issues against the
-   fact's ids, reading only the fact partitions of the batch's days;
+1. ``new_issues``: anti-join of the enriched issues against all the fact's
+   ids (one column read);
 2. one row per id (``latest_per_key``, a map-side-combined aggregate), then
    ``score_issues``: model transform (map-only);
 3. the scored batch is staged as Parquet in the shared checkpoint folder
@@ -10,10 +9,10 @@ of the mart.
    anti-join and the model);
 4. idempotent append to the fact (ids already there are skipped, so a
    rerun or an overlapping run appends nothing);
-5. mart refresh for the batch's days only: the fact is read for those
-   ``issue_date`` partitions (a semi-join on a date list; partition pruning
-   when the fact is partitioned) and the mart's partitions for those days
-   are overwritten (dynamic partition overwrite).
+5. mart refresh of every day on which the mart's totals differ from the
+   fact's row counts (per-day counts of both, a few rows): the days of this
+   batch, and those that an earlier run left stale when it was lost between
+   append and refresh. Only those partitions are overwritten.
 """
 
 from __future__ import annotations
@@ -24,12 +23,12 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.incremental import latest_per_key, new_issues_by_day, to_fact
+from ..operators.incremental import batch_days, latest_per_key, new_issues, on_days, to_fact
 from ..operators.mart import mart_issues_by_region_day, stg_issues
 from ..operators.risk_model import score_issues
 from ..schemas import MART_COLUMNS
-from ..session import scratch_path
-from ..sinks.tables import append_scored
+from ..session import cut_lineage
+from ..sinks.tables import append_scored, overwrite_partitions
 
 
 @dataclass
@@ -39,43 +38,52 @@ class DailyResult:
     mart_rows: int
 
 
-def refresh_mart(spark: SparkSession, fact_table: str, mart_table: str, days: DataFrame,
-                 mart_path: str | None = None) -> DataFrame:
-    """Recompute the mart rows of ``days`` from the fact and overwrite just
-    those partitions of ``mart_table``; on first use the mart is built from
-    the whole fact."""
+def stale_days(fact: DataFrame, mart: DataFrame) -> DataFrame:
+    """(``issue_date``): days whose mart total is not the fact's row count.
+    The fact side reads no column but the partition column."""
+    have = fact.groupBy("issue_date").agg(F.count(F.lit(1)).alias("rows"))
+    told = mart.groupBy(F.col("issue_date").alias("_day")).agg(F.sum("total_issues").alias("total"))
+    both = have.join(told, F.col("issue_date").eqNullSafe(F.col("_day")), "left")
+    return both.filter(~F.col("rows").eqNullSafe(F.col("total"))).select("issue_date")
+
+
+def refresh_mart(spark: SparkSession, fact_table: str, mart_table: str, days: DataFrame | None = None,
+                 mart_path: str | None = None) -> list:
+    """Recompute the mart rows of ``days`` (default: the stale ones) from the
+    fact and overwrite just those partitions of ``mart_table``; a mart that
+    does not exist is built from the whole fact. Returns the days."""
     fact = spark.table(fact_table)
     exists = spark.catalog.tableExists(mart_table)
-    touched = fact.join(days.select("issue_date").distinct(), "issue_date", "left_semi") if exists else fact
+    if exists and days is None:
+        days = stale_days(fact, spark.table(mart_table))
+    wanted = batch_days(days if exists else fact, "issue_date")
+    if not wanted and exists:
+        return []
+    touched = fact.filter(on_days("issue_date", wanted)) if exists else fact
     # Mart partition column goes last for the positional insert.
     rows = mart_issues_by_region_day(stg_issues(touched)).select(
         *[c for c in MART_COLUMNS if c != "issue_date"], "issue_date")
     if exists:
-        rows.write.mode("overwrite").insertInto(mart_table)
+        overwrite_partitions(rows, mart_table)
     else:
         w = rows.write.format("parquet").partitionBy("issue_date")
         if mart_path:
             w = w.option("path", mart_path)
         w.saveAsTable(mart_table)
-    return spark.table(mart_table)
+    return wanted
 
 
 def run_daily(spark: SparkSession, enriched: DataFrame, fact_table: str,
               model: PipelineModel, mart_table: str, mart_path: str | None = None) -> DailyResult:
-    """One incremental run; a second run on the same input adds nothing."""
+    """One incremental run; a second run on the same input adds nothing, and
+    a run after a crash completes what was left."""
     fact = spark.table(fact_table)
     # One row per id before scoring (duplicates would be scored, then dropped);
     # the kept row is chosen by a row hash, the same on every run.
-    fresh = latest_per_key(new_issues_by_day(enriched, fact), "issue_id", ())
-    batch = to_fact(score_issues(model, fresh))
-    stage = scratch_path(spark, "daily-stage")
-    batch.write.mode("overwrite").parquet(stage)
-    staged = spark.read.parquet(stage)
+    fresh = latest_per_key(new_issues(enriched.filter(F.col("issue_id").isNotNull()), fact), "issue_id", ())
+    staged = cut_lineage(to_fact(score_issues(model, fresh)), "daily-stage")
     n_new = staged.count()
-    if n_new == 0:
-        return DailyResult(0, [], 0)
-    append_scored(staged, fact_table)
-    days = staged.select("issue_date").distinct()
-    mart = refresh_mart(spark, fact_table, mart_table, days, mart_path)
-    day_list = sorted(r[0] for r in days.collect())
-    return DailyResult(n_new, day_list, mart.count())
+    if n_new:
+        append_scored(staged, fact_table)
+    days = refresh_mart(spark, fact_table, mart_table, mart_path=mart_path)
+    return DailyResult(n_new, days, spark.table(mart_table).count())

@@ -57,7 +57,6 @@ RISK_BUCKETS = [(0.2, "very_low"), (0.4, "low"), (0.6, "medium"), (0.8, "high")]
 RISK_BUCKET_TOP = "very_high"
 RISK_BUCKET_NULL = "unknown"
 HIGH_RISK_BUCKETS = ["high", "very_high"]
-ALL_RISK_BUCKETS = ["very_low", "low", "medium", "high", "very_high"]
 
 # Topic model defaults of the source notebook.
 TOPIC_COUNT = 15
@@ -65,7 +64,6 @@ TOPIC_MAX_DF = 0.95
 TOPIC_MIN_DF = 20
 TOPIC_VOCAB = 5000
 TOPIC_TOP_WORDS = 10
-TOPIC_SAMPLE_ROWS = 80_000
 SEED = 42
 
 # Report defaults.

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.incremental import new_issues_by_day, to_fact
+from ..operators.incremental import latest_per_key, merge_stream, new_issues, on_days, to_fact, touched_days
+from ..session import scratch_path
 
 CSV_TIMESTAMP = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
@@ -24,13 +25,27 @@ def write_issues(df: DataFrame, path: str, fmt: str = "parquet",
         w.format(fmt).save(path)
 
 
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
+
+def overwrite_partitions(df: DataFrame, table: str) -> None:
+    """Replace exactly the partitions of ``table`` that ``df`` has rows for,
+    whatever overwrite mode the session is in."""
+    spark = df.sparkSession
+    before = spark.conf.get(OVERWRITE_MODE)
+    spark.conf.set(OVERWRITE_MODE, "dynamic")
+    try:
+        df.write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(OVERWRITE_MODE, before)
+
+
 def replace_table(df: DataFrame, name: str, partition_by: str | None = None) -> None:
     """Create or replace a catalog table from the rows. With a partition
-    column and dynamic overwrite mode only the partitions present in ``df``
-    are replaced. Never point this at a table ``df`` reads from."""
+    column only the partitions present in ``df`` are replaced. Never point this at a table ``df`` reads from."""
     spark = df.sparkSession
     if partition_by and spark.catalog.tableExists(name):
-        df.write.mode("overwrite").insertInto(name)
+        overwrite_partitions(df, name)
         return
     w = df.write.mode("overwrite").format("parquet")
     if partition_by:
@@ -57,50 +72,48 @@ def create_fact_table(spark, name: str, path: str | None = None) -> None:
     w.saveAsTable(name)
 
 
-def append_scored(df: DataFrame, table: str) -> int | None:
-    """Append scored rows to the fact, skipping ids already there and
-    duplicate ids within the batch, so a rerun appends nothing.
+def append_scored(df: DataFrame, table: str) -> None:
+    """Append scored rows to the fact, skipping ids already there (on any
+    day) and duplicate ids within the batch, so a rerun appends nothing.
 
     The insert is by position, so columns are put in fact order first (the
-    ``issue_date`` partition column last). Only the fact partitions of the
-    batch's days are read for the check (see ``new_issues_by_day``).
+    ``issue_date`` partition column last). Only the fact's id column is read
+    for the check; of duplicates the row with the greatest hash stays.
     """
-    spark = df.sparkSession
-    fact = spark.table(table)
     rows = to_fact(df).filter(F.col("issue_id").isNotNull())
-    rows = new_issues_by_day(rows, fact, day_col="issue_date").dropDuplicates(["issue_id"])
-    rows.write.insertInto(table)
-    return None
+    fresh = new_issues(rows, df.sparkSession.table(table))
+    latest_per_key(fresh, "issue_id", ()).write.insertInto(table)
 
 
 def upsert_by_day(stream: DataFrame, table: str, key: str = "issue_id",
                   day_col: str = "date", ingested_col: str = "ingested_at") -> int:
-    """Merge streamed rows into a day-partitioned table in place.
-
-    The merged rows of the touched days are staged under the shared
-    checkpoint folder first (a table is never overwritten while it is being
-    read), then written back with dynamic partition overwrite: only the
-    touched day partitions are replaced. Returns the number of days
-    rewritten. Single writer per table.
+    """Merge streamed rows into a table partitioned by day, in place.
+
+    ``table`` holds ``ingested_col``, so replayed older events lose. Touched
+    are the days of the streamed rows and the days that hold their ids now
+    (rows without a day included). Their merged rows are staged under the
+    shared checkpoint folder first (a table is never overwritten while it is
+    being read), then written back partition by partition; a partition that
+    all rows have left is emptied. Returns the number of days rewritten.
+    Single writer per table.
     """
-    from ..operators.incremental import batch_days, merge_stream
-    from ..session import scratch_path
-
     spark = stream.sparkSession
-    days = batch_days(stream, day_col)
+    current = spark.table(table)
+    if ingested_col not in current.columns:
+        raise ValueError(f"{table} must hold {ingested_col!r} to order events")
+    days = touched_days(current, stream, key, day_col)
     if not days:
         return 0
-    current = spark.table(table)
-    touched = current.filter(F.col(day_col).isin(days))
-    merged = merge_stream(touched, stream.select(*current.columns, ingested_col), key, ingested_col)
+    merged = merge_stream(current.filter(on_days(day_col, days)), stream, key, ingested_col)
     stage = scratch_path(spark, "upsert-stage")
-    merged.select(current.columns).write.mode("overwrite").parquet(stage)
-    staged = spark.read.parquet(stage)
-    # dynamic overwrite: replaces exactly the partitions present in `staged`
-    with_conf = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        staged.write.mode("overwrite").insertInto(table)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", with_conf)
+    merged.select(current.columns).write.parquet(stage)
+    staged = spark.read.schema(current.schema).parquet(stage)
+    overwrite_partitions(staged, table)
+    filled = {r[0] for r in staged.select(day_col).distinct().collect()}
+    for day in days:
+        if day not in filled:
+            value = "NULL" if day is None else f"DATE '{day}'"
+            rest = ", ".join(f"`{c}`" for c in current.columns if c != day_col)
+            staged.limit(0).createOrReplaceTempView("_emptied")
+            spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({day_col} = {value}) SELECT {rest} FROM _emptied")
     return len(days)

@@ -46,13 +46,6 @@ def read_issues(spark: SparkSession, path: str, fmt: str = "parquet",
     return spark.read.schema(schema).format(fmt).load(path)
 
 
-def read_table(spark: SparkSession, name_or_path: str, fmt: str = "parquet") -> DataFrame:
-    """A catalog table by name, else a path."""
-    if spark.catalog.tableExists(name_or_path):
-        return spark.table(name_or_path)
-    return spark.read.format(fmt).load(name_or_path)
-
-
 def load_mart(spark: SparkSession, mart: DataFrame, start: dt.date | str,
               end: dt.date | str, all_buckets: bool = True) -> DataFrame:
     """Mart rows with ``start <= issue_date <= end`` through a parameterised

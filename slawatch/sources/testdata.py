@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalar import MICROS_PER_HOUR
-from ..operators.broadcast import broadcast_if_small
 from ..operators.cleaning import unify_issues
 from ..operators.enrich import enrich
 from ..operators.incremental import attach_predictions, to_fact
@@ -43,15 +42,14 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def customer_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     """customer -> (c_custkey, c_mktsegment, n_name, r_name).
 
-    nation (25 rows) and region (5 rows) are fixed-size dimensions, so they
-    are broadcast (after a row-count check); customer grows with the data
-    and is left to the planner (shuffle join, or AQE broadcast by size).
+    All joins are left to the planner, which broadcasts the small dimensions
+    by their measured size.
     """
     nation = read(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = read(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    geo = nation.join(broadcast_if_small(region), nation.n_regionkey == region.r_regionkey, "left")
+    geo = nation.join(region, nation.n_regionkey == region.r_regionkey, "left")
     cust = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    return (cust.join(broadcast_if_small(geo), cust.c_nationkey == geo.n_nationkey, "left")
+    return (cust.join(geo, cust.c_nationkey == geo.n_nationkey, "left")
                 .select("c_custkey", "c_mktsegment", "n_name", "r_name"))
 
 

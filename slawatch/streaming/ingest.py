@@ -2,14 +2,17 @@
 
 Source: Kafka (one task per topic partition, offsets in the checkpoint) or,
 where no broker is at hand, a directory of JSON-lines files. Sink:
-``foreachBatch`` writing each micro-batch to its own ``batch_id=`` folder
-with overwrite, so a batch replayed after a failure replaces its own output
-instead of appending twice; rows that do not decode go to a quarantine
+``foreachBatch`` writing each micro-batch to its own ``query=``/``batch_id=``
+folder with overwrite, so a batch replayed after a failure replaces its own
+output instead of appending twice, and a query with a fresh checkpoint (a new
+query id, batch ids from 0) never replaces another query's rows; rows that do not decode go to a quarantine
 folder. Offsets / file lists and the batch ids live in the checkpoint.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -71,8 +74,13 @@ def write_issue_records(records: DataFrame, path: str, options: dict | None = No
         records.select("value").write.mode("overwrite").text(path)
 
 
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a streaming query keeps in its checkpoint."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
 def ingest_batch(batch: DataFrame, batch_id: int, table_path: str,
-                 quarantine_path: str | None) -> None:
+                 quarantine_path: str | None, query: str) -> None:
     """One micro-batch: decode, split good / bad, write both idempotently
     (overwrite of this batch's own folder). The decoded batch is persisted
     so the split reads it once; the quarantine folder is written only when
@@ -80,11 +88,11 @@ def ingest_batch(batch: DataFrame, batch_id: int, table_path: str,
     keep = ("ingested_at",) if "ingested_at" in batch.columns else ()
     parsed = parse_issue_events(batch, key_col="key", keep=keep).persist()
     try:
-        good_events(parsed, keep).write.mode("overwrite").parquet(f"{table_path}/batch_id={batch_id}")
+        good_events(parsed, keep).write.mode("overwrite").parquet(f"{table_path}/query={query}/batch_id={batch_id}")
         if quarantine_path:
             bad = bad_events(parsed).select("issue_id", "_corrupt_record", *keep)
             if not bad.isEmpty():
-                bad.write.mode("overwrite").parquet(f"{quarantine_path}/batch_id={batch_id}")
+                bad.write.mode("overwrite").parquet(f"{quarantine_path}/query={query}/batch_id={batch_id}")
     finally:
         parsed.unpersist()
 
@@ -96,7 +104,8 @@ def start_ingest(stream: DataFrame, table_path: str, checkpoint: str,
     batches and stops (restartable from the checkpoint); otherwise a
     ``processing_time`` trigger runs continuously."""
     writer = (stream.writeStream
-                    .foreachBatch(lambda df, bid: ingest_batch(df, bid, table_path, quarantine_path))
+                    .foreachBatch(lambda df, bid: ingest_batch(df, bid, table_path, quarantine_path,
+                                                               query_id(df.sparkSession, checkpoint)))
                     .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now or not processing_time \
         else writer.trigger(processingTime=processing_time)
@@ -111,5 +120,6 @@ def dedupe_stream(events: DataFrame, key: str = "issue_id", delay: str = "1 hour
 
 
 def read_landed(spark: SparkSession, table_path: str) -> DataFrame:
-    """The landing table (all batches, ``batch_id`` as a column)."""
+    """The landing table (all batches of all queries; ``query`` and
+    ``batch_id`` as columns)."""
     return spark.read.parquet(table_path)

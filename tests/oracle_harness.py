@@ -55,6 +55,16 @@ def rows_of(pdf: pd.DataFrame) -> Counter:
     return Counter(tuple(_norm(v) for v in row) for row in pdf.itertuples(index=False, name=None))
 
 
+#: One name per kind of value in both engines.
+KINDS = {"string": "text", "VARCHAR": "text", "bigint": "long", "BIGINT": "long", "int": "int", "INTEGER": "int",
+         "double": "double", "DOUBLE": "double", "boolean": "flag", "BOOLEAN": "flag", "date": "date", "DATE": "date",
+         "timestamp": "time", "timestamp_ntz": "time", "TIMESTAMP": "time"}
+
+
+def _kind(name: str) -> str:
+    return KINDS.get(name, name)
+
+
 def compare(spark, name: str, sf_dir: str, fn, sql: str, con=None) -> dict:
     con = con or duck(sf_dir)
     t0 = time.time()
@@ -62,8 +72,10 @@ def compare(spark, name: str, sf_dir: str, fn, sql: str, con=None) -> dict:
     rows = sdf.collect()
     s_pdf = pd.DataFrame([r.asDict(recursive=True) for r in rows], columns=sdf.columns)
     t1 = time.time()
+    kinds = {f.name: _kind(f.dataType.simpleString()) for f in sdf.schema.fields}
     cur = con.execute(sql)
     d_cols = [d[0] for d in cur.description]
+    described = cur.description
     d_pdf = pd.DataFrame(cur.fetchall(), columns=d_cols)
     t2 = time.time()
     res = {"name": name, "spark_rows": len(s_pdf), "duck_rows": len(d_pdf),
@@ -74,8 +86,11 @@ def compare(spark, name: str, sf_dir: str, fn, sql: str, con=None) -> dict:
         res["duck_cols"] = sorted(d_pdf.columns)
         res["match"] = False
         return res
+    res["types_match"] = kinds == {d[0]: _kind(str(d[1])) for d in described}
     a, b = rows_of(s_pdf), rows_of(d_pdf)
-    res["match"] = a == b
+    res["match"] = a == b and res["types_match"]
+    if not res["types_match"]:
+        res["types"] = (kinds, {d[0]: str(d[1]) for d in described})
     if not res["match"]:
         res["only_spark"] = list((a - b).elements())[:3]
         res["only_duck"] = list((b - a).elements())[:3]

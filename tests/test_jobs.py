@@ -35,7 +35,7 @@ def test_topic_score_sample_leaves_rest_unknown(spark):
 def test_upsert_by_day_replaces_touched_days_only(spark, tmp_dir):
     en = td.enriched_issues(spark, SF)
     path = os.path.join(tmp_dir, "enriched_tbl")
-    en.write.partitionBy("date").parquet(path)
+    en.withColumn("ingested_at", F.lit(None).cast("timestamp")).write.partitionBy("date").parquet(path)
     spark.sql(f"CREATE TABLE enriched_upsert USING parquet LOCATION '{path}'")
     spark.sql("MSCK REPAIR TABLE enriched_upsert")
     table_cols = spark.table("enriched_upsert").columns
@@ -45,4 +45,5 @@ def test_upsert_by_day_replaces_touched_days_only(spark, tmp_dir):
     got = spark.table("enriched_upsert").select(table_cols)
     want = merge_stream(en, stream).select(table_cols)
     assert got.count() == en.count()
+    assert got.filter("ingested_at IS NOT NULL").count() == stream.count()
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0

@@ -79,7 +79,7 @@ def test_decode_never_fails_and_splits_every_line(spark, lines):
 def test_upsert_by_day_twice_is_stable(spark, tmp_dir):
     en = td.enriched_issues(spark, SF)
     path = f"{tmp_dir}/tbl"
-    en.write.partitionBy("date").parquet(path)
+    en.withColumn("ingested_at", F.lit(None).cast("timestamp")).write.partitionBy("date").parquet(path)
     spark.sql(f"CREATE TABLE upsert_twice USING parquet LOCATION '{path}'")
     spark.sql("MSCK REPAIR TABLE upsert_twice")
     stream = td.stream_updates(en)
