@@ -18,7 +18,8 @@ from pyspark.sql.types import DoubleType, FloatType
 from ..operators import quality, reports
 from ..operators import risk_model as RM
 from ..operators import topics as T
-from ..operators.cleaning import cleaning_report
+from ..functions.scalar import format_count
+from ..operators.cleaning import cleaning_report, unify_issues
 from ..operators.enrich import enrich
 from ..operators.evaluate import classification_metrics
 from ..operators.incremental import (
@@ -32,9 +33,9 @@ from ..operators.keywords import issue_keyword, text_features
 from ..operators.mart import mart_issues_by_region_day, stg_issues
 from ..schemas import ENRICHED_COLUMNS, UNIFIED_COLUMNS
 from ..session import scratch_path
-from ..sinks.tables import append_scored, create_fact_table
+from ..sinks.tables import append_scored, create_fact_table, replace_table, write_issues
 from ..sources import testdata as td
-from ..sources.files import load_mart
+from ..sources.files import load_mart, read_issues, read_raw_issues
 from ..streaming import ingest as SI
 from ..streaming.codec import good_events, parse_issue_events, to_kafka_records
 from . import oracle as O
@@ -114,13 +115,24 @@ def q_issues_unified(spark, sf_dir):
 
 
 @register("cleaning_report", O.with_issues("""
-SELECT CAST(count(*) AS BIGINT) AS raw_rows, CAST(0 AS BIGINT) AS dropped_undated,
-       CAST(0 AS BIGINT) AS dropped_blank_text, CAST(count(*) AS BIGINT) AS clean_rows
-FROM unified"""))
+SELECT CAST(count(*) AS BIGINT) AS raw_rows, CAST(count_if(created_at IS NULL) AS BIGINT) AS dropped_undated,
+       CAST(count_if(created_at IS NOT NULL AND trim(category || ' - ' || subcategory) = '') AS BIGINT) AS dropped_blank_text,
+       CAST(count_if(created_at IS NOT NULL AND trim(category || ' - ' || subcategory) <> '') AS BIGINT) AS clean_rows
+FROM ev"""))
 def q_cleaning_report(spark, sf_dir):
     return cleaning_report(td.raw_issues(spark, sf_dir))
 
 
+@register("cleaning_report_strict", O.with_issues("""
+SELECT CAST(count(*) AS BIGINT) AS raw_rows, CAST(count_if(created_at IS NULL) AS BIGINT) AS dropped_undated,
+       CAST(count_if(created_at IS NOT NULL AND category || subcategory = '') AS BIGINT) AS dropped_blank_text,
+       CAST(count_if(created_at IS NOT NULL AND category || subcategory <> '') AS BIGINT) AS clean_rows
+FROM ev"""))
+def q_cleaning_report_strict(spark, sf_dir):
+    """Rows whose two text parts are both blank are dropped."""
+    return cleaning_report(td.raw_issues(spark, sf_dir), strict=True)
+
+
 @register("issues_enriched", O.with_issues(f"SELECT {ENRICHED_SQL} FROM enriched"))
 def q_issues_enriched(spark, sf_dir):
     """Calendar fields, topic join and keyword lookup, defaults."""
@@ -214,12 +226,112 @@ def q_check_not_null(spark, sf_dir):
         .select("issue_id", "raw_category", "status")
 
 
-@register("kafka_roundtrip", O.with_issues(f"SELECT {ENRICHED_SQL} FROM enriched"))
+KAFKA_SQL = ENRICHED_SQL.replace("city,", "CASE WHEN event_id % 10 = 3 THEN NULL ELSE city END AS city,").replace(
+    "resolution_hours,", "CASE WHEN event_id % 10 = 3 THEN NULL ELSE resolution_hours END AS resolution_hours,")
+
+
+@register("kafka_roundtrip", O.with_issues(f"SELECT {KAFKA_SQL} FROM enriched"))
 def q_kafka_roundtrip(spark, sf_dir):
     """Rows -> keyed JSON records -> decoded, cleaned rows (batch twin of
-    the stream codec)."""
+    the stream codec); every tenth record has a bare NaN in a number and in
+    a text, as the source's producer writes missing values, and a broken
+    copy of each hundredth is quarantined."""
     recs = to_kafka_records(td.enriched_issues(spark, sf_dir))
-    return good_events(parse_issue_events(recs))
+    nan = F.regexp_replace(F.regexp_replace("value", r'"resolution_hours":[^,}]+', '"resolution_hours":NaN'),
+                           r'"city":"[^"]*"', '"city":NaN')
+    sent = recs.withColumn("value", F.when(F.col("key").cast("long") % 10 == 3, nan).otherwise(F.col("value")))
+    broken = recs.filter(F.col("key").cast("long") % 100 == 0).withColumn("value", F.lit("{broken"))
+    return good_events(parse_issue_events(sent.unionByName(broken)))
+
+
+# ---------------------------------------------------------------- files
+def _through_files(spark, df, fmt, enriched):
+    path = scratch_path(spark, f"issues-{fmt}")
+    write_issues(df, path, fmt=fmt)
+    return read_issues(spark, path, fmt=fmt, enriched=enriched)
+
+
+@register("raw_csv_unified", O.with_issues(f"SELECT {UNIFIED_SQL} FROM unified"))
+def q_raw_csv_unified(spark, sf_dir):
+    """Raw rows written as CSV files with a header, scanned with the explicit
+    schema and cleaned."""
+    path = scratch_path(spark, "raw-csv")
+    td.raw_issues(spark, sf_dir).write.option("header", True).option("escape", '"').csv(path)
+    return unify_issues(read_raw_issues(spark, path), source=td.SOURCE_NAME)
+
+
+@register("raw_csv_few_columns", O.with_issues("""
+SELECT issue_id, created_at, CAST(NULL AS TIMESTAMP) AS resolved_at, raw_category, '' AS raw_subcategory,
+       'UNKNOWN' AS region, '311' AS channel, CAST(NULL AS DOUBLE) AS resolution_hours, false AS sla_breached FROM unified"""))
+def q_raw_csv_few_columns(spark, sf_dir):
+    """Raw files with the required columns only: the others become null."""
+    path = scratch_path(spark, "raw-few")
+    raw = td.raw_issues(spark, sf_dir).select("Complaint Type", "Unique Key", "Created Date")
+    raw.write.option("header", True).option("escape", '"').csv(path)
+    return unify_issues(read_raw_issues(spark, path)).select(
+        "issue_id", "created_at", "resolved_at", "raw_category", "raw_subcategory", "region", "channel", "resolution_hours", "sla_breached")
+
+
+CSV_SQL = UNIFIED_SQL
+for _c in ("raw_category", "raw_subcategory"):
+    CSV_SQL = CSV_SQL.replace(f"{_c},", f"nullif({_c}, '') AS {_c},")
+
+
+@register("issues_csv_roundtrip", O.with_issues(f"SELECT {CSV_SQL} FROM unified"))
+def q_issues_csv_roundtrip(spark, sf_dir):
+    """Unified issues written as CSV and read with their schema (an empty
+    text and a missing one are the same in CSV)."""
+    return _through_files(spark, td.unified_issues(spark, sf_dir), "csv", False)
+
+
+@register("issues_parquet_roundtrip", O.with_issues(f"SELECT {ENRICHED_SQL} FROM enriched"))
+def q_issues_parquet_roundtrip(spark, sf_dir):
+    return _through_files(spark, td.enriched_issues(spark, sf_dir), "parquet", True)
+
+
+@register("replace_table_days", O.with_issues("""
+SELECT issue_id, date, hour, CASE WHEN date >= DATE '2024-01-21' THEN 'replaced' ELSE status END AS status FROM enriched"""))
+def q_replace_table_days(spark, sf_dir):
+    """A day-partitioned table whose later days are replaced: the other days
+    stay, whatever the session's overwrite mode."""
+    name = f"replaced_{uuid.uuid4().hex[:10]}"
+    rows = td.enriched_issues(spark, sf_dir).select("issue_id", "hour", "status", "date")
+    rows.write.partitionBy("date").option("path", scratch_path(spark, "replaced")).saveAsTable(name)
+    replace_table(rows.filter(F.col("date") >= F.lit(SCORED_THROUGH).cast("date")).withColumn("status", F.lit("replaced")), name, "date")
+    return spark.table(name)
+
+
+@register("scoring_features", O.with_issues("""
+SELECT issue_id, issue_text, region, channel, raw_category, topic_id, hour, CAST(dayofweek(created_at) + 1 AS INTEGER) AS dow FROM enriched"""))
+def q_scoring_features(spark, sf_dir):
+    """The model's inputs."""
+    return RM.scoring_features(td.enriched_issues(spark, sf_dir))
+
+
+@register("trend_window_csv", O.with_issues("""
+SELECT strftime(issue_date, '%Y-%m-%d') || ',' || CAST(sum(total_issues) AS BIGINT) AS csv, regexp_replace(CAST(sum(total_issues) AS BIGINT)::VARCHAR, '([0-9])([0-9]{3})$', '\\1,\\2') AS shown
+FROM mart WHERE issue_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-30' GROUP BY issue_date"""))
+def q_trend_window_csv(spark, sf_dir):
+    """The default report window (30 days up to the given end) as CSV lines,
+    and its counts as shown."""
+    start, end = reports.date_window(CUR_END)
+    rows = reports.daily_trend(mart(spark, sf_dir)).filter(F.col("issue_date").between(F.lit(start), F.lit(end)))
+    told = rows.select("issue_date", "total_issues", format_count("total_issues").alias("shown"))
+    return told.select(F.to_csv(F.struct("issue_date", "total_issues")).alias("csv"), "shown")
+
+
+@register("dedupe_stream", O.with_issues("SELECT issue_id, status FROM enriched"))
+def q_dedupe_stream(spark, sf_dir):
+    """Every record sent twice, dropped once in the stream."""
+    en = td.enriched_issues(spark, sf_dir)
+    src, out = scratch_path(spark, "twice-src"), scratch_path(spark, "twice-out")
+    recs = to_kafka_records(en)
+    SI.write_issue_records(recs.unionByName(recs).repartition(2), src)
+    events = good_events(parse_issue_events(SI.read_issue_stream(spark, source="text", path=src), keep=("ingested_at",)), ("ingested_at",))
+    q = (SI.dedupe_stream(events).select("issue_id", "status").writeStream.format("parquet").option("path", out)
+           .option("checkpointLocation", scratch_path(spark, "twice-ckpt")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(out)
 
 
 # ---------------------------------------------------------------- mart reports

@@ -20,37 +20,41 @@ geo AS (
 ),
 ev AS (
   SELECT e.event_id, e.user_id, e.event_type, e.props,
-         CAST(e.ts AS TIMESTAMP) AS created_at,
-         CASE WHEN e.event_type = 'signup' THEN NULL
+         CASE WHEN e.event_id % 97 = 1 THEN NULL
+              WHEN e.event_id % 7 = 3 THEN date_trunc('second', CAST(e.ts AS TIMESTAMP))
+              ELSE CAST(e.ts AS TIMESTAMP) END AS created_at,
+         CASE WHEN e.event_type = 'signup' OR e.event_id % 89 = 5 THEN NULL
               ELSE CAST(e.ts AS TIMESTAMP) + to_microseconds(CAST(round(e.value * 3600000000.0) AS BIGINT))
          END AS resolved_at,
-         g.c_mktsegment, g.n_name,
-         CASE WHEN e.event_type = 'view' AND e.user_id % 10 = 0 THEN NULL ELSE g.r_name END AS borough
+         g.c_mktsegment, CASE WHEN e.event_id % 17 = 5 THEN NULL ELSE g.n_name END AS n_name,
+         CASE WHEN e.event_id % 17 = 5 OR (e.event_type = 'view' AND e.user_id % 10 = 0) THEN NULL ELSE g.r_name END AS borough,
+         CASE WHEN e.event_id % 101 = 7 THEN '' ELSE e.event_type END AS category,
+         CASE WHEN e.event_id % 101 = 7 OR e.event_id % 13 = 4 THEN '' ELSE coalesce(e.props->>'$.k', '') END AS subcategory
   FROM events e LEFT JOIN geo g ON e.user_id = g.c_custkey
 ),
 unified AS (
   SELECT CAST(event_id AS VARCHAR) AS issue_id,
          created_at,
          resolved_at,
-         event_type AS raw_category,
-         coalesce(props->>'$.k', '') AS raw_subcategory,
+         category AS raw_category,
+         subcategory AS raw_subcategory,
          coalesce(borough, n_name, 'UNKNOWN') AS region,
-         CASE WHEN resolved_at IS NULL THEN 'Open' ELSE 'Closed' END AS status,
+         CASE WHEN event_type = 'signup' THEN 'Open' ELSE 'Closed' END AS status,
          n_name AS city,
          c_mktsegment AS raw_channel,
-         event_type || ' - ' || coalesce(props->>'$.k', '') AS issue_text,
+         category || ' - ' || subcategory AS issue_text,
          coalesce(c_mktsegment, '311') AS channel,
          'events' AS source_system,
          CAST(72 AS INTEGER) AS sla_hours_target,
          (epoch_us(resolved_at) - epoch_us(created_at)) / 3600000000.0 AS resolution_hours,
          coalesce((epoch_us(resolved_at) - epoch_us(created_at)) / 3600000000.0 > 72, false) AS sla_breached,
          event_id, user_id
-  FROM ev
+  FROM ev WHERE created_at IS NOT NULL
 ),
 assign AS (
-  SELECT issue_id, CAST(TRY_CAST(raw_subcategory AS INTEGER) % 15 AS INTEGER) AS topic_id
-  FROM unified
-  WHERE resolved_at IS NOT NULL AND TRY_CAST(raw_subcategory AS INTEGER) IS NOT NULL
+  SELECT CAST(event_id AS VARCHAR) AS issue_id, CAST(TRY_CAST(props->>'$.k' AS INTEGER) % 15 AS INTEGER) AS topic_id
+  FROM ev
+  WHERE event_type <> 'signup' AND TRY_CAST(props->>'$.k' AS INTEGER) IS NOT NULL
 ),
 terms AS (
   SELECT DISTINCT topic_id, 'topic ' || CAST(topic_id AS VARCHAR) AS topic_keywords FROM assign

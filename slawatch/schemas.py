@@ -76,8 +76,6 @@ DEFAULT_WINDOW_DAYS = 30
 # Schemas
 # ---------------------------------------------------------------------------
 
-RAW_ISSUES_SCHEMA = StructType([StructField(c, StringType(), True) for c in RAW_COLUMN_MAP])
-
 ISSUES_UNIFIED_SCHEMA = StructType([
     StructField("issue_id", StringType(), True),
     StructField("created_at", TimestampType(), True),

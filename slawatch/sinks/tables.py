@@ -18,8 +18,9 @@ def write_issues(df: DataFrame, path: str, fmt: str = "parquet",
     if partition_by:
         w = w.partitionBy(partition_by)
     if fmt == "csv":
-        # Microseconds kept (Spark's CSV default writes milliseconds).
+        # Microseconds and outer blanks kept (Spark's CSV defaults drop both).
         w.option("header", True).option("escape", '"') \
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False) \
          .option("timestampFormat", CSV_TIMESTAMP).csv(path)
     else:
         w.format(fmt).save(path)

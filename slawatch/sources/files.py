@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..schemas import (
     ISSUES_ENRICHED_SCHEMA,
@@ -19,20 +19,23 @@ CSV_TIMESTAMP = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
 def read_raw_issues(spark: SparkSession, path: str, limit: int | None = None,
-                    multi_line: bool = False) -> DataFrame:
-    """Raw CSV with a header; every column read as text, only the nine known
+                    multi_line: bool = True) -> DataFrame:
+    """Raw CSV with a header, every column as text, only the nine known
     columns kept (column pruning reaches the CSV reader).
 
-    ``multi_line`` is needed only if quoted fields hold line breaks; it makes
-    each file one task, so leave it off for large splittable inputs.
+    The schema is the header's names, all text (nothing is inferred from
+    values); each file's own header is held against it, so a file with other
+    or reordered columns is an error, never misread. ``multi_line`` (on by
+    default) keeps quoted line breaks, as pandas does, at one task per file;
+    switch it off for large splittable files that are known to have none.
     ``limit`` keeps the first ``limit`` rows (off by default).
     """
-    reader = (spark.read.option("header", True).option("escape", '"')
-              .option("multiLine", multi_line).option("inferSchema", False)
-              .option("mode", "PERMISSIVE"))
-    df = reader.csv(path)
-    keep = [c for c in RAW_COLUMN_MAP if c in df.columns]
-    df = df.select([F.col(f"`{c}`") for c in keep])
+    reader = (spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
+              .option("mode", "PERMISSIVE").option("enforceSchema", False))
+    header = reader.csv(path).columns
+    schema = StructType([StructField(c, StringType(), True) for c in header])
+    df = reader.schema(schema).csv(path)
+    df = df.select([F.col(f"`{c}`") for c in RAW_COLUMN_MAP if c in header])
     return df.limit(limit) if limit else df
 
 

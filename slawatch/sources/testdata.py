@@ -29,6 +29,12 @@ OPEN_EVENT_TYPE = "signup"
 NO_BOROUGH_EVENT_TYPE = "view"
 NO_BOROUGH_USER_MOD = 10
 TOPIC_MOD = 15
+# Dirt that real files have, by (event_id modulus, remainder): unreadable
+# creation dates, dates in the other layout (whole seconds), unreadable
+# closing dates, missing-value spellings in the text parts and the location.
+BAD_DATE, OTHER_LAYOUT, BAD_CLOSE = (97, 1), (7, 3), (89, 5)
+NA_DESCRIPTOR, NA_BOTH, NA_PLACE = (13, 4), (101, 7), (17, 5)
+OTHER_TEXT = "MM/dd/yyyy hh:mm:ss a"
 SCORE_NULL_MOD = 11
 # Scores are multiples of 1/1024: exact in binary, so sums and means are
 # exact in any summation order and equal across engines.
@@ -53,6 +59,10 @@ def customer_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
                 .select("c_custkey", "c_mktsegment", "n_name", "r_name"))
 
 
+def _hit(case: tuple[int, int]) -> F.Column:
+    return F.col("event_id") % case[0] == case[1]
+
+
 def raw_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as raw service-request rows (all text, raw header names)."""
     ev = read(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
@@ -63,15 +73,19 @@ def raw_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
                            + F.round(F.col("value") * F.lit(MICROS_PER_HOUR)).cast("bigint")))
     borough = F.when((F.col("event_type") == NO_BOROUGH_EVENT_TYPE)
                      & (F.col("user_id") % NO_BOROUGH_USER_MOD == 0), F.lit(None)).otherwise(F.col("r_name"))
+    created_text = (F.when(_hit(BAD_DATE), F.lit("not a date"))
+                     .when(_hit(OTHER_LAYOUT), F.date_format(created, OTHER_TEXT))
+                     .otherwise(F.date_format(created, TS_TEXT)))
+    closed_text = F.when(_hit(BAD_CLOSE) & closed.isNotNull(), F.lit("n/a")).otherwise(F.date_format(closed, TS_TEXT))
     return rows.select(
         F.col("event_id").cast("string").alias("Unique Key"),
-        F.date_format(created, TS_TEXT).alias("Created Date"),
-        F.date_format(closed, TS_TEXT).alias("Closed Date"),
-        F.col("event_type").alias("Complaint Type"),
-        F.get_json_object("props", "$.k").alias("Descriptor"),
-        borough.alias("Borough"),
+        created_text.alias("Created Date"),
+        closed_text.alias("Closed Date"),
+        F.when(_hit(NA_BOTH), F.lit("null")).otherwise(F.col("event_type")).alias("Complaint Type"),
+        F.when(_hit(NA_DESCRIPTOR) | _hit(NA_BOTH), F.lit("N/A")).otherwise(F.get_json_object("props", "$.k")).alias("Descriptor"),
+        F.when(_hit(NA_PLACE), F.lit("NA")).otherwise(borough).alias("Borough"),
         F.when(closed.isNull(), F.lit("Open")).otherwise(F.lit("Closed")).alias("Status"),
-        F.col("n_name").alias("City"),
+        F.when(_hit(NA_PLACE), F.lit("NaN")).otherwise(F.col("n_name")).alias("City"),
         F.col("c_mktsegment").alias("Open Data Channel Type"),
     )
 

@@ -1,0 +1,71 @@
+import random
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from slawatch.llm import toxicity
+from slawatch.llm.base import remainder
+
+BAD = ["zork", "blarg", "snoot"]
+
+
+def planted(spark, n=1500, seed=0):
+    rng = random.Random(seed)
+    rows, labels = [], []
+    for i in range(n):
+        words = ["w%d" % min(rng.randint(0, 3000), rng.randint(0, 3000)) for _ in range(rng.randint(5, 120))]
+        toxic = int(rng.random() < 0.15)
+        if toxic:
+            for _ in range(1 + len(words) // 40):
+                words.insert(rng.randint(0, len(words)), rng.choice(BAD))
+        rows.append((i, " ".join(words), "x"))
+        if i % 3 != 2 or rng.random() < 0.5:
+            labels.append((i, toxic, 1))
+    truth = {i: int(any(b in t.split() for b in BAD)) for i, t, _ in rows}
+    return spark.createDataFrame(rows, "doc_id long, text string, score string"), spark.createDataFrame(labels, "doc_id long, toxic int, quality int"), truth
+
+
+def fold():
+    rest = remainder("doc_id", 3)
+    return F.when(rest == 0, 0).when(rest == 2, 1)
+
+
+def test_planted_words_are_found(spark):
+    docs, labels, truth = planted(spark)
+    got = toxicity.classify(docs, labels, fold()).collect()
+    held = [r for r in got if r.fold is None]
+    assert len(got) == len(truth) and len(held) > 300
+    hit = [r.predicted for r in held if truth[r.doc_id]]
+    false = [r.predicted for r in held if not truth[r.doc_id]]
+    assert np.mean(hit) > 0.95 and np.mean(false) < 0.01
+
+
+def test_model_is_kneser_ney(spark):
+    """Against counts by hand: predecessors, not occurrences."""
+    docs = spark.createDataFrame([(0, "a b a b a b"), (1, "c b"), (2, "d b d e")], "doc_id long, text string")
+    rows = docs.withColumns({"fold": F.lit(0), "label": (F.col("doc_id") == 2).cast("int")})
+    got = {(r.mark, r.slot): r.n for r in toxicity.counts(rows).collect()}
+    slot = {w: int(toxicity.slots(w)[0]) for w in "abcde"}
+    assert got[toxicity.BASE, slot["b"]] == 5 and got[0, slot["b"]] == 2 and got[1, slot["b"]] == 1
+    assert got[0, slot["a"]] == 2 and got[1, slot["d"]] == 2 and (0, slot["d"]) not in got
+    ratio = toxicity.log_ratios(toxicity.counts(rows), discount=0.5)[0]
+    base = np.full(toxicity.SLOTS, 0.5)
+    for w, n in zip("abcde", (3, 5, 1, 2, 1)):
+        base[slot[w]] += n
+    base /= base.sum()
+    p = lambda n, total, kinds, w: (max(n - 0.5, 0) + 0.5 * kinds * base[slot[w]]) / total
+    # Ordinary: a after start and b, b after a and c, c after start; toxic: d after start and b, b after d, e after d.
+    assert np.isclose(ratio[slot["b"]], np.log(p(1, 4, 3, "b") / p(2, 5, 3, "b")), atol=1e-5)
+    assert np.isclose(ratio[slot["d"]], np.log(p(2, 4, 3, "d") / p(0, 5, 3, "d")), atol=1e-5)
+
+
+def test_labels_edges(spark, edges, none):
+    nothing = spark.createDataFrame([], "doc_id long, toxic int")
+    got = toxicity.classify(edges, nothing, fold()).collect()
+    assert len(got) == edges.count() and {r.score for r in got} == {0.5} and {r.predicted for r in got} == {0}
+    one = spark.createDataFrame([(i, 1) for i in range(1, 14)] + [(None, 1), (3, None)], "doc_id long, toxic int")
+    assert {r.score for r in toxicity.classify(edges, one, fold()).collect()} == {1.0}
+    both = spark.createDataFrame([(i, i % 2) for i in range(1, 14)], "doc_id long, toxic int")
+    got = toxicity.classify(edges, both, fold()).collect()
+    assert len(got) == edges.count() and all(0 <= r.score <= 1 for r in got)
+    assert toxicity.classify(none, both, fold()).count() == 0

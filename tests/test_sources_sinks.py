@@ -100,3 +100,16 @@ def test_views_for_sql_readers(spark):
     create_views(td.scored_issues(spark, "/root/testdata/sf0.001"), "stg_v", "mart_v")
     n = spark.sql("SELECT count(*) FROM stg_v").first()[0]
     assert spark.sql("SELECT sum(total_issues) FROM mart_v").first()[0] == n
+
+
+def test_raw_files_with_other_columns_are_an_error(spark, tmp_dir):
+    import pytest
+
+    with open(f"{tmp_dir}/a.csv", "w") as f:
+        f.write('Unique Key,Created Date,Complaint Type\n1,2024-01-01 00:00:00,"two\nlines"\n')
+    one = read_raw_issues(spark, tmp_dir).collect()
+    assert len(one) == 1 and one[0]["Complaint Type"] == "two\nlines"
+    with open(f"{tmp_dir}/b.csv", "w") as f:
+        f.write("Created Date,Unique Key,Complaint Type\n2024-01-01 00:00:00,2,x\n")
+    with pytest.raises(Exception, match="[Hh]eader"):
+        read_raw_issues(spark, tmp_dir).collect()
