@@ -69,18 +69,18 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float],
     definition) of ``col`` for each probability in ``probs``."""
     names = names or [f"q{int(round(p * 100))}" for p in probs]
     ranked = ranked_histogram(df, col)
-    n = ranked.agg(F.sum("c")).scalar()
+    # The row count as a column of the few histogram rows: one subquery.
+    ranked = ranked.withColumn("_n", ranked.agg(F.sum("c")).scalar())
     aggs: list[Column] = []
     for p, name in zip(probs, names):
-        pos = (n - 1) * F.lit(p)
-        r_lo = F.floor(pos) + 1
-        r_hi = F.ceil(pos) + 1
+        at = (F.col("_n") - 1) * F.lit(p)
 
-        def at(r):
-            return F.max(F.when((F.col("lo") <= r) & (r <= F.col("hi")), F.col("v")))
+        def value(rank):
+            return F.max(F.when((F.col("lo") <= rank) & (rank <= F.col("hi")), F.col("v")))
 
-        v_lo, v_hi = at(r_lo), at(r_hi)
-        aggs.append((v_lo + (pos - F.floor(pos)) * (v_hi - v_lo)).alias(name))
+        lo, hi = value(F.floor(at) + 1), value(F.ceil(at) + 1)
+        part = F.max(at - F.floor(at))
+        aggs.append((lo + part * (hi - lo)).alias(name))
     return ranked.agg(*aggs)
 
 
