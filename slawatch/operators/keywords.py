@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import MIN_TOKEN_LETTERS, NON_LETTERS, clean_text, stop_words, text_len, word_count
+from ..session import cut_lineage
+from .incremental import keyed, spread_null_key
 
 
 def text_features(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -34,20 +36,27 @@ def issue_keyword(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """Per text: the token with the highest ``tf * ln((n + 1) / (df + 1))``
     (rounded to ``digits``), ties to the alphabetically first token.
 
-    Document frequencies come from a hash aggregate of the (id, token) rows;
-    joining them back is left to the planner: AQE broadcasts them when their
-    measured size is small and otherwise sort-merge joins, splitting the
-    partition of a very common token if it is skewed. ``n`` is a scalar
-    subquery, not a cross join. Texts without any token get no row.
+    The (id, token, tf) rows are written once under the shared checkpoint
+    folder, so the texts are split once, and so are the document
+    frequencies: the join then reads two stored tables, which AQE can
+    broadcast by measured size or, for a very common token, split (it does
+    not split a side that is an aggregate above its own exchange). ``n`` is a
+    scalar subquery, not a cross join. Texts without any token get no row.
     """
-    tf = term_frequencies(df, id_col, text_col)
-    # count_if(tf > 0) (not count(1)) keeps the tf column alive, so this
-    # branch's subtree stays identical to the tf branch and the tokenising
-    # scan and its shuffle run once and are reused (ReuseExchange).
-    dfreq = tf.groupBy("token").agg(F.count_if(F.col("tf") > 0).alias("df"))
+    tf = cut_lineage(term_frequencies(df, id_col, text_col), "keyword-tf")
+    dfreq = cut_lineage(tf.groupBy("token").agg(F.count(F.lit(1)).alias("df")), "keyword-df")
     n = df.select(F.count(F.lit(1))).scalar()
     idf = F.log((n + F.lit(1.0)) / (F.col("df") + F.lit(1.0)))
     scored = tf.join(dfreq, "token").withColumn("score", F.round(F.col("tf") * idf, digits))
     best = scored.groupBy(id_col).agg(
         F.min(F.struct((-F.col("score")).alias("neg_score"), F.col("token"))).alias("b"))
     return best.select(id_col, F.col("b.token").alias("keyword"), (-F.col("b.neg_score")).alias("score"))
+
+
+def with_text_features(issues: DataFrame, key: str = "issue_id", text_col: str = "issue_text") -> DataFrame:
+    """Issues with ``text_len``, ``word_count`` and ``issue_keyword`` (null
+    where the text has no token, or the row no key)."""
+    words = keyed(issue_keyword(issues.filter(F.col(key).isNotNull()), key, text_col), key,
+                  F.col("keyword").alias("issue_keyword"))
+    wide = issues.withColumns({"text_len": text_len(text_col), "word_count": word_count(text_col)})
+    return spread_null_key(wide, key).join(words, ["_k", "_none"], "left").drop("_k", "_none")

@@ -31,30 +31,36 @@ LABEL = "sla_breached"
 TRAIN_SHARE = 0.8
 
 
+def feature_columns() -> dict:
+    """The model inputs: text, region, channel, category, topic, and hour and
+    day of week (Sunday = 1) of creation."""
+    return {
+        "issue_text": F.col("issue_text"), "region": F.col("region"), "channel": F.col("channel"),
+        "raw_category": F.col("raw_category"), "topic_id": F.col("topic_id").cast("int"),
+        "hour": F.hour("created_at").cast("int"), "dow": dow_sunday1("created_at"),
+    }
+
+
 def scoring_features(df: DataFrame) -> DataFrame:
-    """The model inputs: id, text, region, channel, category, topic, and
-    hour and day of week (Sunday = 1) of creation."""
-    return df.select(
-        "issue_id", "issue_text", "region", "channel", "raw_category",
-        F.col("topic_id").cast("int").alias("topic_id"),
-        F.hour("created_at").cast("int").alias("hour"),
-        dow_sunday1("created_at").alias("dow"),
-    )
+    """The id and the model inputs."""
+    return df.select("issue_id", *[c.alias(k) for k, c in feature_columns().items()])
+
+
+#: The indexer's name for a blank category (it takes no empty names).
+BLANK = "(blank)"
 
 
 def _with_inputs(df: DataFrame) -> DataFrame:
     """All original columns plus the model inputs under ``_f_`` names
     (categoricals as text for the indexer)."""
-    return df.select(
-        "*",
-        F.coalesce(F.col("issue_text"), F.lit("")).alias("_f_issue_text"),
-        F.col("region").alias("_f_region"),
-        F.col("channel").alias("_f_channel"),
-        F.col("raw_category").alias("_f_raw_category"),
-        F.col("topic_id").cast("string").alias("_f_topic_id"),
-        F.hour("created_at").cast("string").alias("_f_hour"),
-        dow_sunday1("created_at").cast("string").alias("_f_dow"),
-    )
+    cols = feature_columns()
+    text = F.coalesce(cols.pop("issue_text"), F.lit("")).alias("_f_issue_text")
+
+    def named(c):
+        c = c.cast("string")
+        return F.when(c == "", F.lit(BLANK)).otherwise(c)
+
+    return df.select("*", text, *[named(c).alias(f"_f_{k}") for k, c in cols.items()])
 
 
 def feature_stages() -> list:

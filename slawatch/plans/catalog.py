@@ -29,7 +29,7 @@ from ..operators.incremental import (
     new_issues_by_day,
     union_issues,
 )
-from ..operators.keywords import issue_keyword, text_features
+from ..operators.keywords import issue_keyword, text_features, with_text_features
 from ..operators.mart import mart_issues_by_region_day, stg_issues
 from ..schemas import ENRICHED_COLUMNS, UNIFIED_COLUMNS
 from ..session import scratch_path
@@ -38,6 +38,7 @@ from ..sources import testdata as td
 from ..sources.files import load_mart, read_issues, read_raw_issues
 from ..streaming import ingest as SI
 from ..streaming.codec import good_events, parse_issue_events, to_kafka_records
+from . import jobs
 from . import oracle as O
 from .daily import run_daily
 
@@ -567,6 +568,38 @@ def q_issue_keyword(spark, sf_dir):
     return issue_keyword(td.read(spark, sf_dir, "documents"))
 
 
+@register("issues_text_enriched", f"""WITH {O.ISSUE_CTES},
+{O.issue_word_ctes()}
+SELECT u.issue_id, u.issue_text, CAST(length(u.issue_text) AS BIGINT) AS text_len, CAST(len(w.ws) AS BIGINT) AS word_count, k.token AS issue_keyword
+FROM unified u JOIN issue_words w ON u.issue_id = w.issue_id LEFT JOIN issue_key k ON u.issue_id = k.issue_id""")
+def q_issues_text_enriched(spark, sf_dir):
+    """Issues with their text's length, words and keyword."""
+    return with_text_features(td.unified_issues(spark, sf_dir)).select(
+        "issue_id", "issue_text", "text_len", "word_count", "issue_keyword")
+
+
+@register("risk_drivers_keyword", f"""WITH {O.ISSUE_CTES},
+{O.issue_word_ctes()}
+SELECT k.token AS issue_keyword, CAST(count(*) AS BIGINT) AS issues,
+       CAST(count_if(risk_bucket IN ('high', 'very_high')) AS BIGINT) AS high_risk_issues,
+       round(avg(CASE WHEN risk_bucket IN ('high', 'very_high') THEN 1 ELSE 0 END), 6) AS high_risk_share,
+       round(avg(risk_score), 6) AS avg_risk_score
+FROM stg LEFT JOIN issue_key k ON stg.issue_id = k.issue_id GROUP BY k.token""")
+def q_risk_drivers_keyword(spark, sf_dir):
+    """High risk by the keyword of the issue's text."""
+    words = with_text_features(td.unified_issues(spark, sf_dir)).select("issue_id", "issue_keyword")
+    return round_doubles(reports.risk_drivers(stg(spark, sf_dir).join(words, "issue_id", "left"), "issue_keyword"))
+
+
+@register("filter_issues_keyword", f"""WITH {O.ISSUE_CTES},
+{O.issue_word_ctes()}
+SELECT u.issue_id, k.token AS issue_keyword FROM unified u JOIN issue_key k ON u.issue_id = k.issue_id
+WHERE contains(k.token, 'click') AND region = 'EUROPE'""")
+def q_filter_issues_keyword(spark, sf_dir):
+    rows = with_text_features(td.unified_issues(spark, sf_dir))
+    return reports.filter_issues(rows, keyword="Click", region="EUROPE", text_col="issue_keyword").select("issue_id", "issue_keyword")
+
+
 # ---------------------------------------------------------------- rows-only
 # Models, topics, streams and the hash sample have no SQL twin; the driver
 # checks their rows, the tests check their properties.
@@ -647,6 +680,11 @@ def _landed_stream(spark, sf_dir):
     """Stream rows of the tables sent as JSON lines and ingested by the
     Structured Streaming job (file source, availableNow)."""
     en = td.enriched_issues(spark, sf_dir)
+    return en, SI.read_landed(spark, _land(spark, en))
+
+
+def _land(spark, en):
+    """Where the stream rows of ``en`` have landed."""
     src = scratch_path(spark, "stream-src")
     recs = to_kafka_records(td.stream_updates(en).drop("ingested_at"))
     SI.write_issue_records(recs.repartition(4), src)
@@ -654,7 +692,7 @@ def _landed_stream(spark, sf_dir):
     stream = SI.read_issue_stream(spark, source="text", path=src, max_per_trigger=1)
     q = SI.start_ingest(stream, land, scratch_path(spark, "stream-ckpt"), quarantine)
     q.awaitTermination()
-    return en, SI.read_landed(spark, land)
+    return land
 
 
 @register("stream_ingest", O.with_issues(f""", {STREAM_SQL}
@@ -672,6 +710,29 @@ def q_stream_merge(spark, sf_dir):
     return merge_stream_by_day(en, landed).select(ENRICHED_COLUMNS)
 
 
+@register("stream_to_mart", O.with_issues(f""", {STREAM_SQL},
+merged AS (
+  SELECT {ENRICHED_SQL} FROM enriched WHERE issue_id NOT IN (SELECT issue_id FROM stream)
+  UNION ALL
+  SELECT {ENRICHED_SQL} FROM stream)
+SELECT date AS issue_date, region, CAST(count(*) AS BIGINT) AS total_issues,
+       round(avg(CASE WHEN sla_breached THEN 1 ELSE 0 END), 6) AS sla_breach_rate
+FROM merged GROUP BY date, region"""))
+def q_stream_to_mart(spark, sf_dir):
+    """Streamed rows land, are merged into the enriched table, scored by the
+    saved best model, appended and put into the mart (model-independent
+    columns)."""
+    tag = uuid.uuid4().hex[:10]
+    en = td.enriched_issues(spark, sf_dir)
+    land = _land(spark, en)
+    jobs.create_enriched_table(en, f"enriched_{tag}", scratch_path(spark, "enriched"))
+    create_fact_table(spark, f"fact_{tag}", scratch_path(spark, "fact"))
+    model_path = scratch_path(spark, "models")
+    jobs.train_and_save(en, model_path, names=["logistic_regression"])
+    jobs.run_stream_to_mart(spark, land, f"enriched_{tag}", f"fact_{tag}", f"mart_{tag}", model_path, scratch_path(spark, "mart"))
+    return round_doubles(spark.table(f"mart_{tag}").select("issue_date", "region", "total_issues", "sla_breach_rate"))
+
+
 @register("sample_rows", O.with_issues(f"""
 SELECT {UNIFIED_SQL} FROM unified ORDER BY md5('42:' || issue_id), issue_id LIMIT 1000"""))
 def q_sample_rows(spark, sf_dir):

@@ -7,14 +7,19 @@ sample) and the writes themselves.
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.cleaning import unify_issues
 from ..operators.enrich import enrich
+from ..operators.risk_model import evaluate_models, train_models
 from ..operators.topics import assign_topics, fit_topics, topic_terms
 from ..schemas import SEED, SLA_HOURS_TARGET, SOURCE_SYSTEM, TOPIC_COUNT
-from ..sinks.tables import write_issues
+from ..sinks.tables import upsert_by_day, write_issues
 from ..sources.files import read_issues, read_raw_issues
+from ..streaming.ingest import read_landed
+from .daily import DailyResult, run_daily
 
 
 def run_prep(spark: SparkSession, raw_path: str, out_path: str, fmt: str = "parquet",
@@ -48,3 +53,42 @@ def run_enrich(spark: SparkSession, unified_path: str, out_path: str, fmt: str =
     unified = read_issues(spark, unified_path, fmt=fmt, enriched=False)
     enriched = topic_enrich(unified, **topic_args)
     enriched.write.mode("overwrite").partitionBy("date").format("parquet").save(out_path)
+
+
+def create_enriched_table(enriched: DataFrame, name: str, path: str | None = None) -> None:
+    """The enriched issues as a table by day that streamed rows can be merged
+    into: it keeps the ingest time of each row (null for batch rows)."""
+    rows = enriched if "ingested_at" in enriched.columns else enriched.withColumn("ingested_at", F.lit(None).cast("timestamp"))
+    w = rows.select(*[c for c in rows.columns if c != "date"], "date").write.format("parquet").partitionBy("date")
+    (w.option("path", path) if path else w).saveAsTable(name)
+
+
+def run_upsert(spark: SparkSession, landed_path: str, table: str) -> int:
+    """Merge what the stream has landed into the enriched table (newest
+    ingest wins, so running it again changes nothing); days rewritten."""
+    landed = read_landed(spark, landed_path)
+    return upsert_by_day(landed.select(spark.table(table).columns), table)
+
+
+BEST = "best"
+
+
+def train_and_save(enriched: DataFrame, path: str, by: str = "auc", **options) -> str:
+    """Train the classifiers, compare them on the holdout, and save the best
+    under ``path`` for the daily runs; its name."""
+    trained = evaluate_models(train_models(enriched, **options), by)
+    trained.models[trained.best].write().overwrite().save(f"{path}/{BEST}")
+    trained.metrics.write.mode("overwrite").parquet(f"{path}/metrics")
+    return trained.best
+
+
+def load_best(path: str) -> PipelineModel:
+    """The model that ``train_and_save`` chose."""
+    return PipelineModel.load(f"{path}/{BEST}")
+
+
+def run_stream_to_mart(spark: SparkSession, landed_path: str, enriched_table: str, fact_table: str,
+                       mart_table: str, model_path: str, mart_path: str | None = None) -> DailyResult:
+    """Landed rows -> enriched table -> scored fact -> mart."""
+    run_upsert(spark, landed_path, enriched_table)
+    return run_daily(spark, spark.table(enriched_table), fact_table, load_best(model_path), mart_table, mart_path)

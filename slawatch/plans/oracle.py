@@ -133,3 +133,24 @@ tok AS (
   FROM (SELECT doc_id, unnest(ws) AS w FROM doc_words)
   WHERE length(w) >= 2 AND w NOT IN ({stop_list_sql()})
 )"""
+
+
+def issue_word_ctes() -> str:
+    """Words and keyword of each unified issue's text."""
+    return f"""
+issue_words AS (
+  SELECT issue_id, CASE WHEN clean = '' THEN [] ELSE string_split(clean, ' ') END AS ws
+  FROM (SELECT issue_id, trim(regexp_replace(lower(issue_text), '[^\\p{{L}}]+', ' ', 'g')) AS clean FROM unified)
+),
+issue_tf AS (
+  SELECT issue_id, w AS token, count(*) AS tf FROM (SELECT issue_id, unnest(ws) AS w FROM issue_words)
+  WHERE length(w) >= 2 AND w NOT IN ({stop_list_sql()}) GROUP BY ALL
+),
+issue_df AS (SELECT token, count(*) AS df FROM issue_tf GROUP BY token),
+issue_key AS (
+  SELECT issue_id, token FROM (
+    SELECT issue_id, t.token, row_number() OVER (PARTITION BY issue_id ORDER BY
+             round(tf * ln(((SELECT count(*) FROM unified) + 1.0) / (df + 1.0)), 6) DESC, t.token) AS rn
+    FROM issue_tf t JOIN issue_df d ON t.token = d.token)
+  WHERE rn = 1
+)"""

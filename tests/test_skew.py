@@ -89,3 +89,27 @@ def test_upsert_by_day_twice_is_stable(spark, tmp_dir):
     second = spark.table("upsert_twice").collect()
     assert sorted(map(tuple, first)) == sorted(map(tuple, second))
     assert len(first) == en.count()
+
+
+def test_very_common_token_is_split(spark):
+    """With broadcasts off, the join partition of a token in every document
+    is split at run time."""
+    from slawatch.operators.keywords import issue_keyword
+
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    docs = spark.range(0, 60_000, numPartitions=8).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("everywhere "), F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij")).alias("text"))
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        out = issue_keyword(docs)
+        assert out.filter("keyword = 'everywhere'").count() < 60_000 and out.count() == 60_000
+        out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
