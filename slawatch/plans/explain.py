@@ -7,46 +7,34 @@ run over materialised tables as the pipeline leaves them.
 from __future__ import annotations
 
 import sys
-import tempfile
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import reports
-from ..operators.incremental import merge_stream_by_day, new_issues_by_day
+from ..operators.incremental import merge_stream_by_day, new_issues
 from ..operators.keywords import issue_keyword
 from ..operators.mart import mart_issues_by_region_day, stg_issues
 from ..operators.quality import check_unique
-from ..session import build_session, checkpoint_dir
+from ..session import build_session, scratch_path
 from ..sinks.tables import append_scored, create_fact_table
 from ..sources import testdata as td
 from ..sources.files import load_mart
 
 
-MAX_LINE = 220
-MAX_LINES = 110
-
-
 def final_plan(df: DataFrame) -> str:
     """Run the query, then return the final (post-AQE) part of its physical
-    plan, long lines and very long plans clipped."""
+    plan, whole."""
     df.collect()
-    text = df._jdf.queryExecution().executedPlan().toString()
-    lines = text.splitlines()
+    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
     if "+- == Initial Plan ==" in lines:       # top level only, not a subquery's
         lines = lines[:lines.index("+- == Initial Plan ==")]
-    lines = [ln if len(ln) <= MAX_LINE else ln[:MAX_LINE] + " ..." for ln in lines]
-    if len(lines) > MAX_LINES:
-        lines = lines[:MAX_LINES] + [f"... ({len(lines) - MAX_LINES} more lines)"]
     return "\n".join(lines) + "\n"
 
 
 def main(sf_dir: str) -> None:
-    scratch = tempfile.mkdtemp(prefix="slawatch-plans-")
-    spark = build_session("local[8]", shuffle_partitions=8,
-                          extra={"spark.ui.showConsoleProgress": "false",
-                                 "spark.sql.warehouse.dir": f"{scratch}/wh"})
-    checkpoint_dir(spark)
+    spark = build_session("local[8]", shuffle_partitions=8, extra={"spark.ui.showConsoleProgress": "false"})
+    scratch = scratch_path(spark, "plans")
     td.enriched_issues(spark, sf_dir).write.partitionBy("date").parquet(f"{scratch}/enriched")
     enriched = spark.read.parquet(f"{scratch}/enriched")
     create_fact_table(spark, "issues_scored", f"{scratch}/fact")
@@ -60,7 +48,7 @@ def main(sf_dir: str) -> None:
     stream = td.stream_updates(enriched).filter(F.col("date") >= F.lit("2024-01-25").cast("date"))
     cases = {
         "mart_issues_by_region_day (fact -> mart)": mart,
-        "new_issues_by_day (batch vs fact)": new_issues_by_day(batch, fact),
+        "new_issues (batch vs fact)": new_issues(batch, fact),
         "merge_stream_by_day (enriched + stream)": merge_stream_by_day(enriched, stream),
         "load_mart (date range on the partitioned mart)": load_mart(spark, mart_t, "2024-01-08", "2024-01-14"),
         "recent_issues (top 500 of a range of the fact)": reports.recent_issues(fact, "2024-01-08", "2024-01-14"),
