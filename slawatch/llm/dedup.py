@@ -175,25 +175,26 @@ def _slices(docs: DataFrame) -> DataFrame:
 def _cut(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """The bytes of wanted slices (``key``, ``hash``, ``anchor``, ``lo``,
     ``n``), from the bucketed documents."""
-    lists = wanted.groupBy("key", "hash").agg(F.collect_list(F.struct("anchor", "lo", "n", "crowded")).alias("wanted"))
-    both = docs.select("key", "hash", "text").dropDuplicates(["key", "hash"]).join(lists, ["key", "hash"])
+    lists = wanted.groupBy("key", "hash").agg(F.collect_list(F.struct("anchor", "lo", "n")).alias("wanted"))
+    # Hashing the short lists spares sorting the texts of a bucket.
+    both = docs.select("key", "hash", "text").join(lists.hint("shuffle_hash"), ["key", "hash"])
 
     def run(batches):
-        names = ["key", "hash", "anchor", "lo", "crowded", "bytes"]
-        types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()]
+        names = ["key", "hash", "anchor", "lo", "bytes"]
+        types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
         for b in batches:
             cols = [[] for _ in names]
             for key, row, text, some in zip(b.column("key").to_pylist(), b.column("hash").to_pylist(), b.column("text").cast(pa.binary()), b.column("wanted")):
                 text = text.as_py()
                 for w in some.as_py():
-                    for c, v in zip(cols, (key, row, w["anchor"], w["lo"], w["crowded"], text[w["lo"]:w["lo"] + w["n"] + LENGTH - 1])):
+                    for c, v in zip(cols, (key, row, w["anchor"], w["lo"], text[w["lo"]:w["lo"] + w["n"] + LENGTH - 1])):
                         c.append(v)
                 if len(cols[0]) > 20_000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=names)
                     cols = [[] for _ in names]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=names)
 
-    return both.mapInArrow(run, "key long, hash long, anchor long, lo long, crowded boolean, bytes binary")
+    return both.mapInArrow(run, "key long, hash long, anchor long, lo long, bytes binary")
 
 
 def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
@@ -217,15 +218,17 @@ def _indexed(cut: DataFrame) -> DataFrame:
             found = mark(rows)
             return pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], t) for i, t in enumerate(types)], names=names)
 
-        rows, held, anchor = [], 0, None
+        rows, held, last = [], 0, (None,)
         for b in batches:
             for a, key, row, lo, text in zip(*(b.column(c).to_pylist() for c in ("anchor", "key", "hash", "lo", "bytes"))):
+                if (a, key, row, lo) == last:  # rows of a repeated document
+                    continue
                 # An index holds whole anchors.
-                if held > INDEX_BYTES and a != anchor:
+                if held > INDEX_BYTES and a != last[0]:
                     yield out(rows)
                     rows, held = [], 0
                 rows.append((key, row, lo, text))
-                held, anchor = held + len(text), a
+                held, last = held + len(text), (a, key, row, lo)
         if rows:
             yield out(rows)
 
@@ -267,13 +270,15 @@ def marked_windows(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
     repeated = kinds.filter("many > 1").select("anchor", "digest", "first")
     copies = shared.join(repeated, ["anchor", "digest"]).filter(place != F.col("first")).select("key", "hash", "lo", "n")
     # First copies of different slices with one anchor are compared.
-    varied = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1")
-    wanted = (kinds.join(varied, "anchor")
-                   .select("first.key", "first.hash", "anchor", "first.lo", "n", (F.col("kinds") > limit).alias("crowded")))
-    cut = cut_lineage(_cut(docs, wanted), "dedup-cut")
-    found = [own, copies, _indexed(cut.filter("NOT crowded"))]
-    if not cut.filter("crowded").isEmpty():
-        found.append(_by_digest(cut.filter("crowded")))
+    varied = cut_lineage(kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1"), "dedup-varied")
+
+    def wanted(anchors: DataFrame) -> DataFrame:
+        return kinds.join(anchors, "anchor").select("first.key", "first.hash", "anchor", "first.lo", "n")
+
+    crowded = varied.filter(F.col("kinds") > limit)
+    found = [own, copies, _indexed(_cut(docs, wanted(varied.filter(F.col("kinds") <= limit))))]
+    if not crowded.isEmpty():
+        found.append(_by_digest(_cut(docs, wanted(crowded))))
     out = found[0]
     for f in found[1:]:
         out = out.unionByName(f)
@@ -299,7 +304,7 @@ def remove_repeats(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
     removed bytes) and ``kept`` (the remaining bytes)."""
     staged = staged_documents(docs)
     marks = cut_lineage(marked_windows(staged, limit).groupBy("key", "hash").agg(F.collect_list(F.struct("lo", "n")).alias("marks")), "dedup-marks")
-    both = staged.join(marks, ["key", "hash"], "left").select("doc_id", "text", "marks")
+    both = staged.join(marks.hint("shuffle_hash"), ["key", "hash"], "left").select("doc_id", "text", "marks")
 
     def run(batches):
         names = ["doc_id", "n_bytes", "removed", "kept"]
