@@ -227,5 +227,7 @@ def find(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 def listed(*kinds: str) -> Column:
     """``kind:start:end`` of all spans of the kinds, comma-joined."""
-    parts = [F.transform(k, lambda m, k=k: F.concat_ws(":", F.lit(k), m["start"].cast("string"), m["end"].cast("string"))) for k in kinds]
-    return F.array_join(F.concat(*parts), ",")
+    def told(kind: str) -> Column:
+        return F.transform(kind, lambda m: F.concat_ws(":", F.lit(kind), m["start"].cast("string"), m["end"].cast("string")))
+
+    return F.array_join(F.concat(*map(told, kinds)), ",")
