@@ -156,6 +156,10 @@ def keep_good(docs: DataFrame, labels: DataFrame, held_out: Column, label: str =
     stats = cut_lineage(with_statistics(docs), "quality-statistics")
     names = [c for c in stats.columns if c != "doc_id"]
     rules = fit_rules(labelled(stats, labels, label, held_out), names, **options)
-    # Scored beside the whole row; the documents may have columns of these names.
-    wide = docs.select(F.struct(*cols).alias("_row"), *[c.alias(k) for k, c in statistics(text).items()])
-    return wide.filter(rules.score() >= threshold).select("_row.*")
+    # Scored beside the whole row; the documents may have columns of these
+    # names. The statistics pass a generator, which keeps the optimizer from
+    # writing each of them out again for every rule that names it.
+    told = statistics(text)
+    wide = docs.select(F.struct(*cols).alias("_row"), *[c.alias(f"_{k}") for k, c in told.items()])
+    one = F.array(F.struct(*[F.col(f"_{k}").alias(k) for k in told]))
+    return wide.select("_row", F.inline(one)).filter(rules.score() >= threshold).select("_row.*")
