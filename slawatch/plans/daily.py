@@ -33,6 +33,9 @@ from ..sinks.tables import append_scored, overwrite_partitions
 
 @dataclass
 class DailyResult:
+    """Rows appended; the days refreshed in the mart (those of this run and
+    any left stale before; a mart built anew counts this run's); mart rows."""
+
     new_rows: int
     days: list
     mart_rows: int
@@ -85,5 +88,8 @@ def run_daily(spark: SparkSession, enriched: DataFrame, fact_table: str,
     n_new = staged.count()
     if n_new:
         append_scored(staged, fact_table)
-    days = refresh_mart(spark, fact_table, mart_table, mart_path=mart_path)
+    existed = spark.catalog.tableExists(mart_table)
+    refreshed = refresh_mart(spark, fact_table, mart_table, mart_path=mart_path)
+    # A mart built from the whole fact: the run's own days.
+    days = refreshed if existed else batch_days(staged, "issue_date")
     return DailyResult(n_new, days, spark.table(mart_table).count())
