@@ -1,14 +1,12 @@
-import sys
 import zlib
 
 import duckdb
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 import corpus_pipeline
 from oracle_harness import compare, duck
-from slawatch.llm import decontaminate, quality, tokens
+from slawatch.llm import decontaminate, quality
 from slawatch.llm.base import remainder
 from slawatch.llm.queries import ORACLE, QUERIES
 from test_dedup import slow as slow_dedup
@@ -18,7 +16,6 @@ from test_simhash import slow_fingerprint, slow_groups
 from test_tokens import reference
 
 SF = "/root/testdata/sf0.001"
-assert sys.path
 
 
 @pytest.fixture(scope="module")
@@ -126,10 +123,8 @@ def test_pipeline_against_brute_force(spark):
 
 def test_stages_keep_the_columns(spark, edges):
     docs = edges.drop("_row")
-    spark_dir = SF
     for name, stage in corpus_pipeline.STAGES[:-1]:
-        out = stage(spark, docs, spark_dir)
+        out = stage(spark, docs, SF)
         assert out.columns == docs.columns, name
-    last = corpus_pipeline.STAGES[-1][1](spark, docs, spark_dir)
+    last = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
     assert last.columns[:4] == ["doc_id", "start", "n_tokens", "ids_crc32"] and last.count() == docs.count()
-    assert tokens.END_ID == 2 and F is not None
