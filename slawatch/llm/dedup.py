@@ -24,7 +24,10 @@ earlier in the corpus (smaller id, or same document, earlier start).
 5. The marked windows of a document are joined to its text and cut out.
 
 The documents are staged once in the shared folder, bucketed by document, so
-that steps 3 and 5 read them without shuffling text.
+that steps 3 and 5 read them without shuffling text. Rows equal in id and
+text are counted first and staged as one row with their number, so a document
+is sliced, compared and cut once, however often it is repeated; step 5 gives
+all its rows back, those of a much repeated one from many tasks.
 
 Defined cases: a null text is empty; null ids come first; documents that
 repeat an id are ordered by a hash of their text, and rows equal in id and
@@ -43,6 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, scratch_path
+from .base import small
 from .runindex import LENGTH, RunLengthIndex
 
 GRAM = 32
@@ -54,6 +58,8 @@ LIMIT = 4096
 INDEX_BYTES, HASH_BYTES = 1 << 21, 1 << 21
 #: Buckets of the staged documents for each GB of text, and at least.
 BUCKETS_PER_GB, BUCKETS = 64, 32
+#: Rows of one repeated document that a task gives back together.
+COPIES = 256
 
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53, 0xBF58476D1CE4E5B9)]
 
@@ -286,12 +292,24 @@ def marked_windows(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
 
 
 def staged_documents(docs: DataFrame) -> DataFrame:
-    """Documents as bytes, bucketed by ``key`` (the id; null first) and
-    ``hash``, so that later joins with their places move no text."""
+    """Distinct documents as bytes with the number of their rows (``copies``),
+    bucketed by ``key`` (the id; null first) and ``hash``, so that later joins
+    with their places move no text."""
     spark = docs.sparkSession
     text = F.coalesce("text", F.lit(""))
     rows = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("key"), F.xxhash64(text).alias("hash"), text.cast("binary").alias("text"))
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    seen = rows.groupBy("key", "hash").agg(F.count(F.lit(1)).alias("many"), F.sum(F.octet_length("text")).alias("size"))
+    seen = cut_lineage(seen, "dedup-rows")
+    size = seen.agg(F.sum("size")).first()[0] or 0
+    repeated = seen.filter("many > 1").select("key", "hash")
+    if repeated.isEmpty():
+        rows = rows.withColumn("copies", F.lit(1).cast("long"))
+    else:
+        repeated = small(repeated)
+        once = rows.join(repeated, ["key", "hash"], "left_anti").select("doc_id", "key", "hash", "text", F.lit(1).cast("long").alias("copies"))
+        # By the text itself: equal hashes alone do not make one document.
+        again = rows.join(repeated, ["key", "hash"], "left_semi").groupBy("doc_id", "key", "hash", "text").agg(F.count(F.lit(1)).alias("copies"))
+        rows = once.unionByName(again)
     buckets = max(BUCKETS, round(size / 1e9 * BUCKETS_PER_GB))
     name = f"dedup_{uuid.uuid4().hex[:12]}"
     (rows.write.bucketBy(buckets, "key", "hash").option("path", scratch_path(spark, "dedup-documents"))
@@ -299,15 +317,12 @@ def staged_documents(docs: DataFrame) -> DataFrame:
     return spark.table(name)
 
 
-def remove_repeats(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
-    """Per row of ``docs``: ``doc_id``, ``n_bytes``, ``removed`` (runs of
-    removed bytes) and ``kept`` (the remaining bytes)."""
-    staged = staged_documents(docs)
-    marks = cut_lineage(marked_windows(staged, limit).groupBy("key", "hash").agg(F.collect_list(F.struct("lo", "n")).alias("marks")), "dedup-marks")
-    both = staged.join(marks.hint("shuffle_hash"), ["key", "hash"], "left").select("doc_id", "text", "marks")
+def _kept(staged: DataFrame, marks: DataFrame) -> DataFrame:
+    """The result of each staged document, with ``hash`` and ``copies``."""
+    both = staged.join(marks.hint("shuffle_hash"), ["key", "hash"], "left").select("doc_id", "hash", "copies", "text", "marks")
 
     def run(batches):
-        names = ["doc_id", "n_bytes", "removed", "kept"]
+        names = ["doc_id", "hash", "copies", "n_bytes", "removed", "kept"]
         span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         for whole in batches:
             for i in range(0, len(whole), 256):
@@ -320,10 +335,28 @@ def remove_repeats(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
                     removed.append([{"start": x, "end": y} for x, y in spans])
                     at = [0, *[e for s in spans for e in s], len(text)]
                     kept.append(b"".join(text[x:y] for x, y in zip(at[::2], at[1::2])))
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(removed, span), pa.array(kept, pa.binary())], names=names)
+                yield pa.RecordBatch.from_arrays(
+                    [*[b.column(c) for c in names[:3]], pa.array(sizes, pa.int64()), pa.array(removed, span), pa.array(kept, pa.binary())], names=names)
 
     kind = staged.schema["doc_id"].dataType.simpleString()
-    return both.mapInArrow(run, f"doc_id {kind}, n_bytes long, removed array<struct<start:long,end:long>>, kept binary")
+    return both.mapInArrow(run, f"doc_id {kind}, hash long, copies long, n_bytes long, removed array<struct<start:long,end:long>>, kept binary")
+
+
+def remove_repeats(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
+    """Per row of ``docs``: ``doc_id``, ``n_bytes``, ``removed`` (runs of
+    removed bytes) and ``kept`` (the remaining bytes)."""
+    staged = staged_documents(docs)
+    marks = cut_lineage(marked_windows(staged, limit).groupBy("key", "hash").agg(F.collect_list(F.struct("lo", "n")).alias("marks")), "dedup-marks")
+    names, most = ["doc_id", "n_bytes", "removed", "kept"], staged.agg(F.max("copies")).first()[0] or 0
+    if most <= 1:
+        return _kept(staged, marks).select(*names)
+    each = lambda n: F.explode(F.sequence(F.lit(1).cast("long"), n))
+    out = _kept(staged.filter(F.col("copies") <= COPIES), marks).select(*names, each(F.col("copies"))).select(*names)
+    if most > COPIES:
+        parts = _kept(staged.filter(F.col("copies") > COPIES), marks).select("*", each(F.ceil(F.col("copies") / COPIES)).alias("part"))
+        rest = F.least(F.lit(COPIES).cast("long"), F.col("copies") - (F.col("part") - 1) * COPIES)
+        out = out.unionByName(parts.repartition("doc_id", "hash", "part").select(*names, each(rest)).select(*names))
+    return out
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

@@ -90,3 +90,20 @@ def test_corpus_against_brute_force(spark, limit):
 def test_edges(edges, none):
     check(edges)
     assert dedup.remove_repeats(none).count() == 0
+
+
+def test_repeated_rows_are_marked_once(spark, monkeypatch):
+    """Marks do not grow with the rows that repeat an id and a text."""
+    monkeypatch.setattr(dedup, "COPIES", 7)
+    rng = random.Random(6)
+    text = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    part, other = text(400), text(300)
+    one = [(None, part + text(50) + part + text(60) + part), (1, other + part), (2, other)]
+
+    def marks(rows):
+        staged = dedup.staged_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+        return staged.count(), sorted(map(tuple, dedup.marked_windows(staged).collect()))
+
+    many = one[:1] * 40 + one[1:2] * 3 + one[2:] + [(None, None)] * 9
+    assert marks(many) == (4, marks(one)[1])
+    check(spark.createDataFrame(many, "doc_id long, text string").repartition(4))
