@@ -22,10 +22,15 @@ regression calibrates the three figures to a score. Training rows are in two
 folds; the figures it sees come from the model of the other fold, so it is
 not misled by texts that the models have counted.
 
-Words are hashed to ``SLOTS`` slots: the counts of the whole corpus are
-aggregated by Spark (words and word pairs are reduced per task first), and
-what reaches the driver and is broadcast is bounded by the number of slots,
-at any corpus size. No word or document is left out. Labels reach the texts
+Words are keyed by a 64-bit hash, so the tables of counts grow with the
+vocabulary: the counts of the whole corpus are aggregated by Spark (words and
+word pairs are reduced per task first) and staged, one row per word. Where
+neither class has a word more than ``DISCOUNT`` times, the base cancels out
+and the log ratio is one figure, the same for all such words; the others have
+a row in the table of ratios. Counted to be few, those rows are broadcast;
+else they are joined to the (text, word, number) rows of all texts, the most
+frequent words by a broadcast of their own. No word or document is left out.
+Labels reach the texts
 by a broadcast if they were counted to be few, else by a shuffle join.
 
 Defined cases: null and empty texts have no words, all figures 0, and are
@@ -36,6 +41,7 @@ an empty result.
 
 from __future__ import annotations
 
+import math
 import zlib
 
 import numpy as np
@@ -46,10 +52,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .base import plain_words, small
+from .base import BROADCAST_ROWS, plain_words, small
 
-BITS = 21
-SLOTS = 1 << BITS
+#: Slots of the dense model (``slots``, ``log_ratios``): a reference for small
+#: vocabularies, which ``classify`` does not use.
+SLOTS = 1 << 21
 DISCOUNT = 3.0
 #: A word speaks clearly for the toxic class above this log ratio.
 CLEAR = 2.5
@@ -57,6 +64,10 @@ THRESHOLD = 0.7
 FIGURES = ("mean_ratio", "clear", "clear_share")
 #: Count rows: marks 0 to 3 are fold * 2 + class, this one is the base.
 BASE = 4
+#: Words, or pairs, that a task holds before it reduces them.
+HELD = 1 << 21
+#: A word with more than one in so many of all occurrences is joined by broadcast.
+HOT = 1024
 
 
 def slots(text: str | None) -> np.ndarray:
@@ -65,6 +76,14 @@ def slots(text: str | None) -> np.ndarray:
     return np.fromiter(map(zlib.crc32, words), dtype=np.int64, count=len(words)) & (SLOTS - 1)
 
 
+def hashes(text: str | None) -> np.ndarray:
+    """The 64-bit hash of every word, in order."""
+    from xxhash import xxh64_intdigest
+
+    words = plain_words(text)
+    return np.fromiter(map(xxh64_intdigest, words), dtype=np.uint64, count=len(words)).view(np.int64)
+
+
 def marked(docs: DataFrame, labels: DataFrame, fold: Column, label: str) -> DataFrame:
     """``doc_id``, ``text``, ``fold`` and, for labelled rows in a fold, the
     class ``label``."""
@@ -74,34 +93,100 @@ def marked(docs: DataFrame, labels: DataFrame, fold: Column, label: str) -> Data
     return rows.join(small(marks), "doc_id", "left")
 
 
-def counts(rows: DataFrame) -> DataFrame:
+def _reduced(words: np.ndarray, tags: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Equal (word, tag) rows as one."""
+    order = np.lexsort((tags, words))
+    words, tags, n = words[order], tags[order], n[order]
+    first = np.flatnonzero(np.concatenate([[True], (words[1:] != words[:-1]) | (tags[1:] != tags[:-1])])) if len(words) else order
+    return words[first], tags[first], np.add.reduceat(n, first) if len(first) else n
+
+
+def counts(rows: DataFrame, keys=slots) -> DataFrame:
     """(``mark``, ``slot``, ``n``): occurrences of each word in all texts
-    (mark ``BASE``), distinct predecessors by fold and class."""
+    (mark ``BASE``), distinct predecessors by fold and class. ``keys``: what
+    stands for a text's words, ``slots`` or ``hashes``."""
     def run(batches):
-        base = np.zeros(SLOTS, dtype=np.int64)
+        names = ["slot", "tag", "n"]
+        none = np.zeros(0, dtype=np.int64)
+        base, pairs, held = (none, none), [], []
+
+        def told(w, tags, n):
+            return pa.RecordBatch.from_arrays([pa.array(w), pa.array(tags), pa.array(n)], names=names)
+
+        def counted(base):
+            w = np.concatenate([base[0], *held])
+            n = np.concatenate([base[1], np.ones(len(w) - len(base[0]), dtype=np.int64)])
+            seen, at = np.unique(w, return_inverse=True)
+            return seen, np.bincount(at, n, minlength=len(seen)).astype(np.int64)
+
+        n_held = n_pairs = 0
         for b in batches:
-            pairs = []
             for text, fold, label in zip(b.column("text"), b.column("fold").to_pylist(), b.column("label").to_pylist()):
-                w = slots(text.as_py())
-                np.add.at(base, w, 1)
+                w = keys(text.as_py())
+                held.append(w)
+                n_held += len(w)
                 if fold is not None and label is not None and len(w):
-                    # The first word follows slot 0, the start.
-                    pairs.append((fold * 2 + label) << 2 * BITS | np.concatenate([[0], w[:-1]]) << BITS | w)
-            keys = np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, dtype=np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.ones(len(keys), dtype=np.int64))], names=["key", "n"])
-        seen = np.flatnonzero(base)
-        yield pa.RecordBatch.from_arrays([pa.array(BASE << 2 * BITS | seen), pa.array(base[seen])], names=["key", "n"])
-
-    keyed = rows.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    mark = F.shiftright("key", 2 * BITS).cast("int")
+                    # The first word follows 0, the start.
+                    pairs.append((w, np.concatenate([[0], w[:-1]]) << 3 | (fold * 2 + label)))
+                    n_pairs += len(w)
+                if n_held >= HELD:
+                    base, n_held = counted(base), 0
+                    held.clear()
+                    if len(base[0]) >= HELD:
+                        yield told(base[0], np.full(len(base[0]), BASE), base[1])
+                        base = none, none
+                if n_pairs >= HELD:
+                    w, tags = (np.concatenate(c) for c in zip(*pairs))
+                    yield told(*_reduced(w, tags, np.ones(len(w), dtype=np.int64)))
+                    pairs, n_pairs = [], 0
+        if pairs:
+            w, tags = (np.concatenate(c) for c in zip(*pairs))
+            yield told(*_reduced(w, tags, np.ones(len(w), dtype=np.int64)))
+        base = counted(base)
+        yield told(base[0], np.full(len(base[0]), BASE), base[1])
+
+    # A tag is a predecessor (61 bits) and a mark.
+    keyed = rows.mapInArrow(run, "slot long, tag long, n long").groupBy("slot", "tag").agg(F.sum("n").alias("n"))
+    mark = F.col("tag").bitwiseAND(7).cast("int")
     one = F.when(mark == BASE, F.col("n")).otherwise(F.lit(1).cast("long"))
-    return (keyed.select(mark.alias("mark"), F.col("key").bitwiseAND(SLOTS - 1).cast("int").alias("slot"), one.alias("n"))
-                 .groupBy("mark", "slot").agg(F.sum("n").alias("n")))
+    return keyed.select(mark.alias("mark"), "slot", one.alias("n")).groupBy("mark", "slot").agg(F.sum("n").alias("n"))
+
+
+#: Folds of the models of a row's figures by fold 0, fold 1 and both.
+MODELS = ((0,), (1,), (0, 1))
+
+
+def word_ratios(counted: DataFrame, discount: float = DISCOUNT) -> tuple[DataFrame, list[float]]:
+    """(``slot``, ``base``, ``hot``, ``r0``, ``r1``, ``r2``): log ratios toxic
+    : ordinary by the models of fold 0, fold 1 and both, of the words that a
+    class has more than ``discount`` times, and the ratio by each model of all
+    others. A few sums reach the driver."""
+    wide = counted.groupBy("slot").agg(*[F.sum(F.when(F.col("mark") == m, F.col("n")).otherwise(0)).alias(f"n{m}") for m in range(5)])
+    wide = cut_lineage(wide, "toxicity-words")
+    have = {(k, c): sum((F.col(f"n{f * 2 + c}") for f in folds), F.lit(0)) for k, folds in enumerate(MODELS) for c in (0, 1)}
+    cut = {k: F.least(h.cast("double"), F.lit(discount)) for k, h in have.items()}
+    of = wide.agg(F.count(F.lit(1)).alias("kinds"), F.sum(f"n{BASE}").alias("words"),
+                  *[F.sum(h).alias(f"total{k}{c}") for (k, c), h in have.items()],
+                  *[F.sum(h).alias(f"mass{k}{c}") for (k, c), h in cut.items()]).first()
+    words = of["words"] or 0
+    base = (F.col(f"n{BASE}") + 0.5) / F.lit(words + 0.5 * of["kinds"])
+    ratios, rest = [], []
+    for k in range(len(MODELS)):
+        if not (of[f"total{k}0"] and of[f"total{k}1"]):
+            ratios.append(F.lit(0.0))
+            rest.append(0.0)
+            continue
+        p = [(have[k, c] - cut[k, c] + F.lit(of[f"mass{k}{c}"]) * base) / F.lit(float(of[f"total{k}{c}"])) for c in (0, 1)]
+        ratios.append(F.log(p[1]) - F.log(p[0]))
+        rest.append(math.log(of[f"mass{k}1"] / of[f"total{k}1"]) - math.log(of[f"mass{k}0"] / of[f"total{k}0"]))
+    own = wide.filter((have[2, 0] > discount) | (have[2, 1] > discount))
+    hot = F.col(f"n{BASE}") * HOT > words
+    return own.select("slot", F.col(f"n{BASE}").alias("base"), hot.alias("hot"), *[r.alias(f"r{k}") for k, r in enumerate(ratios)]), rest
 
 
 def log_ratios(counted: DataFrame, discount: float = DISCOUNT) -> list[np.ndarray]:
     """Log ratio toxic : ordinary by slot, of the models of fold 0, fold 1
-    and both. At most five rows per slot reach the driver."""
+    and both (the dense reference; see ``SLOTS``)."""
     got = counted.toArrow()
     mark, slot, n = (got.column(c).to_numpy() for c in ("mark", "slot", "n"))
     of = {m: np.bincount(slot[mark == m], n[mark == m], minlength=SLOTS).astype(np.float32) for m in range(5)}
@@ -123,28 +208,40 @@ def log_ratios(counted: DataFrame, discount: float = DISCOUNT) -> list[np.ndarra
     return out
 
 
-def figures(ratio: np.ndarray, words: np.ndarray) -> tuple[float, float, float]:
+def figures(r: np.ndarray) -> tuple[float, float, float]:
     """Mean log ratio; log1p of the sum of the clear ones; that relative to
     the log of the length."""
-    if not len(words):
+    if not len(r):
         return 0.0, 0.0, 0.0
-    r = ratio[words]
     clear = float(np.log1p(r[r > CLEAR].sum(dtype=np.float64)))
-    return float(r.mean(dtype=np.float64)), clear, clear / float(np.log(2 + len(words)))
+    return float(r.mean(dtype=np.float64)), clear, clear / float(np.log(2 + len(r)))
 
 
-def compare(rows: DataFrame, ratios: list[np.ndarray]) -> DataFrame:
+def compare(rows: DataFrame, ratios: DataFrame, rest: list[float], few: int = BROADCAST_ROWS) -> DataFrame:
     """``doc_id``, ``fold``, ``label``, the figures of each text and, for
-    rows of a fold, those by the other fold's model (``other_*``)."""
-    shared = rows.sparkSession.sparkContext.broadcast(ratios)
+    rows of a fold, those by the other fold's model (``other_*``). ``ratios``
+    and ``rest`` as of ``word_ratios``; up to ``few`` are broadcast."""
+    if ratios.limit(few + 1).count() > few:
+        return _compare_joined(rows, ratios, rest)
+    got = ratios.select("slot", "r0", "r1", "r2").orderBy("slot").toArrow()
+    shared = rows.sparkSession.sparkContext.broadcast([got.column(c).to_numpy() for c in got.column_names])
 
     def run(batches):
+        known, *by = shared.value
         for b in batches:
-            by, out = shared.value, []
+            out = []
             for text, fold, label in zip(b.column("text"), b.column("fold").to_pylist(), b.column("label").to_pylist()):
-                w = slots(text.as_py())
-                other = figures(by[1 - fold], w) if label is not None and fold is not None else (None,) * 3
-                out.append((*figures(by[2], w), *other))
+                w = hashes(text.as_py())
+                at = np.searchsorted(known, w)
+                own = np.flatnonzero(known[np.minimum(at, len(known) - 1)] == w) if len(known) else at[:0]
+
+                def of(k):
+                    r = np.full(len(w), rest[k])
+                    r[own] = by[k][at[own]]
+                    return figures(r)
+
+                other = of(1 - fold) if label is not None and fold is not None else (None,) * 3
+                out.append((*of(2), *other))
             cols = list(zip(*out)) if out else [()] * 6
             names = ["doc_id", "fold", "label"]
             yield pa.RecordBatch.from_arrays(
@@ -155,6 +252,48 @@ def compare(rows: DataFrame, ratios: list[np.ndarray]) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fold int, label int, {kinds}")
 
 
+def _compare_joined(rows: DataFrame, ratios: DataFrame, rest: list[float]) -> DataFrame:
+    """``compare`` by a join of the ratios to the words of all texts."""
+    def run(batches):
+        kind = pa.list_(pa.struct([("slot", pa.int64()), ("n", pa.int64())]))
+        for b in batches:
+            for i in range(0, len(b), 256):
+                some, sizes, words = b.slice(i, 256), [], []
+                for text in some.column("text"):
+                    w = hashes(text.as_py())
+                    seen, n = np.unique(w, return_counts=True)
+                    sizes.append(len(w))
+                    words.append([{"slot": x, "n": y} for x, y in zip(seen.tolist(), n.tolist())])
+                names = ["row", "doc_id", "fold", "label"]
+                yield pa.RecordBatch.from_arrays([*[some.column(c) for c in names], pa.array(sizes, pa.int64()), pa.array(words, kind)], names=[*names, "size", "words"])
+
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    listed = rows.withColumn("row", F.monotonically_increasing_id()).mapInArrow(
+        run, f"row long, doc_id {kind}, fold int, label int, size long, words array<struct<slot:long,n:long>>")
+    # Staged, so that the row numbers are the same in both joins.
+    listed = cut_lineage(listed, "toxicity-texts")
+    ratios = cut_lineage(ratios, "toxicity-ratios")
+    each = listed.select("row", F.inline("words"))
+    # At most HOT words are hot.
+    hot, cold = F.broadcast(ratios.filter("hot")), ratios.filter("NOT hot")
+    found = each.join(hot, "slot").unionByName(each.join(hot.select("slot"), "slot", "left_anti").join(cold, "slot"))
+    models = range(len(MODELS))
+    total = lambda c: F.sum(F.col("n") * c)
+    sums = found.groupBy("row").agg(
+        F.sum("n").alias("own"), *[total(F.col(f"r{k}")).alias(f"sum{k}") for k in models],
+        *[total(F.when(F.col(f"r{k}") > CLEAR, F.col(f"r{k}")).otherwise(0.0)).alias(f"clear{k}") for k in models])
+    both = listed.drop("words").join(sums, "row", "left").fillna(0, ["own"]).fillna(0.0, [f"{x}{k}" for k in models for x in ("sum", "clear")])
+    left = F.col("size") - F.col("own")
+
+    def of(k: int) -> list[Column]:
+        clear = F.log1p(F.col(f"clear{k}") + left * F.lit(rest[k] if rest[k] > CLEAR else 0.0))
+        some = [(F.col(f"sum{k}") + left * F.lit(rest[k])) / F.col("size"), clear, clear / F.log(F.col("size") + 2.0)]
+        return [F.when(F.col("size") > 0, f).otherwise(0.0) for f in some]
+
+    other = [F.when(F.col("label").isNotNull(), F.when(F.col("fold") == 0, one).when(F.col("fold") == 1, zero)) for zero, one in zip(of(0), of(1))]
+    return both.select("doc_id", "fold", "label", *[f.alias(n) for n, f in zip(FIGURES, of(2))], *[f.alias(f"other_{n}") for n, f in zip(FIGURES, other)])
+
+
 def calibrate(compared: DataFrame) -> Column:
     """The score as a column of the figures."""
     train = compared.filter("label IS NOT NULL AND fold IS NOT NULL")
@@ -174,6 +313,6 @@ def classify(docs: DataFrame, labels: DataFrame, fold: Column, label: str = "tox
     ``predicted``. ``fold`` (0, 1, or null for held-out rows) is a column of
     ``doc_id``; labels are learned from rows in a fold only."""
     rows = marked(docs, labels, fold.cast("int"), label)
-    compared = cut_lineage(compare(rows, log_ratios(counts(rows))), "toxicity-figures")
+    compared = cut_lineage(compare(rows, *word_ratios(counts(rows, hashes))), "toxicity-figures")
     scored = compared.withColumn("score", calibrate(compared))
     return scored.select("doc_id", "fold", *FIGURES, "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

@@ -69,3 +69,43 @@ def test_labels_edges(spark, edges, none):
     got = toxicity.classify(edges, both, fold()).collect()
     assert len(got) == edges.count() and all(0 <= r.score <= 1 for r in got)
     assert toxicity.classify(none, both, fold()).count() == 0
+
+
+def test_words_are_not_merged(spark, monkeypatch):
+    """The counts have a row for each word, however many words there are."""
+    monkeypatch.setattr(toxicity, "HELD", 5000)
+    rng = random.Random(3)
+    texts = [[f"x{i * 200 + j}" + "%x" % rng.getrandbits(48) for j in range(200)] + ["the"] * rng.randint(1, 9) for i in range(400)]
+    rows = spark.createDataFrame([(i, " ".join(t), i % 2, i % 3 % 2) for i, t in enumerate(texts)], "doc_id long, text string, fold int, label int")
+    got = toxicity.counts(rows, toxicity.hashes).filter(F.col("mark") == toxicity.BASE)
+    assert got.count() == 80_001 > len({int(toxicity.slots(w)[0]) for t in texts for w in t})
+    assert got.agg(F.sum("n")).first()[0] == sum(map(len, texts))
+
+
+def test_ratios_joined_or_broadcast(spark):
+    """Both ways give the figures of the model by hand."""
+    docs, labels, _ = planted(spark, 300, 4)
+    rows = toxicity.marked(docs, labels, fold(), "toxic").cache()
+    ratios, rest = toxicity.word_ratios(toxicity.counts(rows, toxicity.hashes))
+    assert ratios.filter("hot").count() and ratios.filter("NOT hot").count()
+    plain = sorted(map(tuple, toxicity.compare(rows, ratios, rest).collect()))
+    joined = sorted(map(tuple, toxicity.compare(rows, ratios, rest, few=0).collect()))
+    assert len(plain) == 300 and [r[:3] for r in plain] == [r[:3] for r in joined]
+    assert all((x is None) == (y is None) and (x is None or np.isclose(x, y)) for a, b in zip(plain, joined) for x, y in zip(a[3:], b[3:]))
+    have, base = [{}, {}], {}
+    for r in rows.collect():
+        w = r.text.split()
+        for a, b in zip(["", *w], w):
+            base[b] = base.get(b, 0) + 1
+            if r.fold is not None and r.label is not None:
+                have[r.label].setdefault(b, set()).add((r.fold, a))  # counted by fold
+    d, n = toxicity.DISCOUNT, sum(base.values()) + 0.5 * len(base)
+
+    def p(c, w):
+        kinds = [len(x) for x in have[c].values()]
+        got = len(have[c].get(w, ()))
+        return (max(got - d, 0) + sum(min(k, d) for k in kinds) * (base[w] + 0.5) / n) / sum(kinds)
+
+    texts = {r.doc_id: r.text.split() for r in rows.collect()}
+    for r in plain[:40]:
+        assert np.isclose(r[3], np.mean([np.log(p(1, w) / p(0, w)) for w in texts[r[0]]]))
