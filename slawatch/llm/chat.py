@@ -24,7 +24,8 @@ Defined cases: null text or role is empty; a message whose parent is missing
 is a root; messages on a cycle have no root and are in no path; a null score
 counts as 0; equal scores go to the smaller leaf id; repeated ``msg_id``
 rows of a conversation are one message, the smallest (role, text) of them;
-an empty table gives an empty result.
+rows without a ``conv_id`` are of no conversation and left out (``as_tree``
+drops them before it orders turns); an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -166,7 +167,7 @@ def as_tree(conversations: DataFrame) -> DataFrame:
     """Rows (``conv_id``, ``turn``, ``role``, ``text``) as messages: each
     replies to the one before it by turn, then role and text."""
     order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
-    return (conversations.withColumn("msg_id", F.row_number().over(order).cast("long"))
+    return (conversations.filter("conv_id IS NOT NULL").withColumn("msg_id", F.row_number().over(order).cast("long"))
                          .select("conv_id", "msg_id", F.when(F.col("msg_id") > 1, F.col("msg_id") - 1).alias("parent_id"),
                                  "role", "text", F.lit(None).cast("double").alias("score")))
 

@@ -67,3 +67,11 @@ def test_empty(spark):
     empty = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.digests(chat.format_conversations(chat.as_tree(empty))).count() == 0
     assert chat.format_conversations(tree(spark, []).filter(F.lit(False))).count() == 0
+
+
+def test_rows_without_conversation_are_not_ordered(spark):
+    rows = [(None, i, "user", "x") for i in range(20)] + [(1, 0, "user", "a"), (1, 1, "assistant", "b")]
+    table = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    messages = chat.as_tree(table)
+    assert [(r.conv_id, r.msg_id, r.parent_id) for r in messages.orderBy("msg_id").collect()] == [(1, 1, None), (1, 2, 1)]
+    assert turns(chat.format_conversations(messages)) == {(1, 2): [("user", "a"), ("assistant", "b")]}
