@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import chat, decontaminate, dedup, mixing, pii, quality, simhash, tokens, topk, toxicity
+from . import audit, chat, collocations, decontaminate, dedup, langid, mixing, pii, quality, simhash, tokens, topk, toxicity
 from .base import remainder, table, workers_import
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -224,6 +224,82 @@ def op7_repeated_strings(spark, sf_dir):
                         F.sha2("kept", 256).alias("kept_sha256"))
 
 
+COLLOCATION_SQL = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+g AS (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM w, (SELECT unnest(range(1, 6)) AS m) WHERE len(w) >= m),
+f AS (SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase, count(*)::BIGINT AS f FROM g GROUP BY ALL),
+t AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang),
+c AS (SELECT lang, m, phrase, string_split(phrase, ' ') AS w, f AS a FROM f WHERE m > 1 AND f >= 100),
+inside AS (
+  SELECT DISTINCT lang, array_to_string(w[i:i + k - 1], ' ') AS phrase, a
+  FROM (SELECT *, unnest(range(1, m - k + 2)) AS i FROM (SELECT *, unnest(range(2, m)) AS k FROM c))),
+dropped AS (SELECT DISTINCT c.lang, c.phrase FROM c JOIN inside USING (lang, phrase) WHERE 100 * inside.a >= 100 * c.a),
+cut AS (SELECT *, unnest(range(1, m)) AS k FROM c WHERE NOT EXISTS (SELECT 1 FROM dropped d WHERE d.lang = c.lang AND d.phrase = c.phrase)),
+s AS (
+  SELECT cut.lang, cut.phrase, a, l.f AS l, r.f AS r, n, k, ((1000::HUGEINT * a * n) // (l.f::HUGEINT * r.f))::BIGINT AS score
+  FROM cut JOIN t USING (lang)
+  JOIN f l ON l.lang = cut.lang AND l.phrase = array_to_string(w[1:k], ' ')
+  JOIN f r ON r.lang = cut.lang AND r.phrase = array_to_string(w[k + 1:], ' ')),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM b QUALIFY rank <= 2000
+"""
+
+
+@register("op11_collocations", COLLOCATION_SQL)
+def op11_collocations(spark, sf_dir):
+    """The phrases of each language that occur together most beyond chance."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@register("op12_language_id")
+def op12_language_id(spark, sf_dir):
+    """Language of every document."""
+    learn = remainder("doc_id", 4) != 2
+    return langid.identify(table(spark, sf_dir, "documents"), learn, keep={"doc_id": F.col("doc_id"), "held_out": ~learn})
+
+
+AUDIT_SQL = r"""
+WITH w AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+first AS (SELECT text, min(doc_id) AS id FROM w GROUP BY text),
+l AS (SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic
+      FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+d AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+         (len(w) < 100)::INT + 2 * (100 * len(list_distinct(w)) < 80 * len(w))::INT
+         + 4 * (100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text))::INT
+         + 8 * regexp_matches(text, '[#$%&*|]')::INT + 16 * coalesce(doc_id > id, false)::INT AS mask
+  FROM w JOIN first USING (text) LEFT JOIN l USING (doc_id)),
+c AS (SELECT part, good, toxic, mask, count(*) AS n FROM d GROUP BY ALL),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM x a, x b, x c, x d, x e
+      WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s AS (SELECT filter_order, step, filter_order[step] AS x, 1 << (ascii(filter_order[step]) - 65) AS bit,
+             list_sum(list_transform(range(1, step), lambda i: 1 << (ascii(filter_order[i]) - 65)))::INT AS seen
+      FROM o, (SELECT unnest(range(1, 6))::INT AS step)),
+v AS (SELECT part, filter_order, step, x, n, good, toxic, mask & bit <> 0 AS fails, mask & coalesce(seen, 0) = 0 AS alive, mask = bit AS alone FROM c, s),
+r AS (
+  SELECT part, filter_order, step, x,
+         coalesce(sum(n) FILTER (alive AND NOT fails), 0)::BIGINT AS kept, coalesce(sum(n) FILTER (alive AND fails), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER (NOT alive AND fails), 0)::BIGINT AS redundant, coalesce(sum(n) FILTER (alone), 0)::BIGINT AS unique_fails,
+         coalesce(sum(n) FILTER (alive AND fails AND good), 0)::BIGINT AS good_lost, coalesce(sum(n) FILTER (alive AND fails AND toxic), 0)::BIGINT AS toxic_lost
+  FROM v GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, x))::BIGINT AS shapley FROM r
+"""
+
+
+@register("op13_filter_audit", AUDIT_SQL)
+def op13_filter_audit(spark, sf_dir):
+    """What five filters remove of every language, in every order."""
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @register("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, sf_dir):
     """Documents to token ids, through all stages."""
