@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import MIN_TOKEN_LETTERS, NON_LETTERS, clean_text, stop_words, text_len, word_count
@@ -45,7 +45,12 @@ def issue_keyword(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     tf = cut_lineage(term_frequencies(df, id_col, text_col), "keyword-tf")
     dfreq = cut_lineage(tf.groupBy("token").agg(F.count(F.lit(1)).alias("df")), "keyword-df")
-    n = df.select(F.count(F.lit(1))).scalar()
+    return best_keywords(tf, dfreq, df.select(F.count(F.lit(1))).scalar(), id_col, digits)
+
+
+def best_keywords(tf: DataFrame, dfreq: DataFrame, n: Column, id_col: str = "doc_id", digits: int = 6) -> DataFrame:
+    """(id, keyword, score) from (id, token, tf) rows, (token, df) rows and
+    the number of texts."""
     idf = F.log((n + F.lit(1.0)) / (F.col("df") + F.lit(1.0)))
     scored = tf.join(dfreq, "token").withColumn("score", F.round(F.col("tf") * idf, digits))
     best = scored.groupBy(id_col).agg(

@@ -63,11 +63,14 @@ def _with_inputs(df: DataFrame) -> DataFrame:
     return df.select("*", text, *[named(c).alias(f"_f_{k}") for k, c in cols.items()])
 
 
-def feature_stages() -> list:
+def feature_stages(text: bool = True) -> list:
+    """Encoders of the inputs; without ``text``, of the categories only."""
     idx = StringIndexer(inputCols=[f"_f_{c}" for c in CATEGORICAL],
                         outputCols=[f"_i_{c}" for c in CATEGORICAL], handleInvalid="keep")
     ohe = OneHotEncoder(inputCols=[f"_i_{c}" for c in CATEGORICAL],
                         outputCols=[f"_o_{c}" for c in CATEGORICAL], handleInvalid="keep")
+    if not text:
+        return [idx, ohe, VectorAssembler(inputCols=[f"_o_{c}" for c in CATEGORICAL], outputCol="_features", handleInvalid="keep")]
     tok = RegexTokenizer(inputCol="_f_issue_text", outputCol="_f_tokens", pattern=r"(?U)\b\w\w+\b",
                          gaps=False)
     tf = HashingTF(inputCol="_f_tokens", outputCol="_f_tf", numFeatures=TEXT_FEATURES)
@@ -109,16 +112,17 @@ class TrainedModels:
 
 
 def train_models(df: DataFrame, seed: int = SEED, names: list[str] | None = None,
-                 holdout: DataFrame | None = None) -> TrainedModels:
+                 holdout: DataFrame | None = None, text: bool = True) -> TrainedModels:
     """Fit logistic regression, boosted trees and a small neural net on the
-    labelled rows; evaluate each on the holdout (hash split unless given)."""
+    labelled rows; evaluate each on the holdout (hash split unless given).
+    ``text=False`` leaves the issue text out of the features."""
     src = df.filter(F.col(LABEL).isNotNull())
     if holdout is None:
         train_raw, test = split(src, seed)
     else:
         train_raw, test = src, holdout.filter(F.col(LABEL).isNotNull())
     train = _label(_with_inputs(train_raw))
-    feats = Pipeline(stages=feature_stages()).fit(train)
+    feats = Pipeline(stages=feature_stages(text)).fit(train)
     width = _feature_width(feats, train)
     out = TrainedModels()
     rows = None

@@ -273,7 +273,8 @@ def q_raw_csv_few_columns(spark, sf_dir):
         "issue_id", "created_at", "resolved_at", "raw_category", "raw_subcategory", "region", "channel", "resolution_hours", "sla_breached")
 
 
-CSV_SQL = UNIFIED_SQL
+CSV_TEXT = 'A "quoted" part, with a comma\nand a second line'
+CSV_SQL = UNIFIED_SQL.replace("issue_text,", f"CASE WHEN event_id % 19 = 2 THEN '{CSV_TEXT}' || chr(13) || chr(10) || issue_text ELSE issue_text END AS issue_text,")
 for _c in ("raw_category", "raw_subcategory"):
     CSV_SQL = CSV_SQL.replace(f"{_c},", f"nullif({_c}, '') AS {_c},")
 
@@ -281,8 +282,11 @@ for _c in ("raw_category", "raw_subcategory"):
 @register("issues_csv_roundtrip", O.with_issues(f"SELECT {CSV_SQL} FROM unified"))
 def q_issues_csv_roundtrip(spark, sf_dir):
     """Unified issues written as CSV and read with their schema (an empty
-    text and a missing one are the same in CSV)."""
-    return _through_files(spark, td.unified_issues(spark, sf_dir), "csv", False)
+    text and a missing one are the same in CSV); some texts have quotes,
+    commas and line breaks of both kinds."""
+    rows = td.unified_issues(spark, sf_dir)
+    text = F.when(F.col("issue_id").cast("long") % 19 == 2, F.concat(F.lit(CSV_TEXT + "\r\n"), "issue_text")).otherwise(F.col("issue_text"))
+    return _through_files(spark, rows.withColumn("issue_text", text), "csv", False)
 
 
 @register("issues_parquet_roundtrip", O.with_issues(f"SELECT {ENRICHED_SQL} FROM enriched"))
@@ -686,10 +690,11 @@ def _landed_stream(spark, sf_dir):
 def _land(spark, en):
     """Where the stream rows of ``en`` have landed."""
     src = scratch_path(spark, "stream-src")
-    recs = to_kafka_records(td.stream_updates(en).drop("ingested_at"))
-    SI.write_issue_records(recs.repartition(4), src)
+    SI.write_issue_records(to_kafka_records(td.stream_updates(en).drop("ingested_at")), src)
     land, quarantine = scratch_path(spark, "stream-land"), scratch_path(spark, "stream-bad")
-    stream = SI.read_issue_stream(spark, source="text", path=src, max_per_trigger=1)
+    # About four micro-batches, whatever the number of files.
+    files = -(-len(spark.read.text(src).inputFiles()) // 4)
+    stream = SI.read_issue_stream(spark, source="text", path=src, max_per_trigger=max(1, files))
     q = SI.start_ingest(stream, land, scratch_path(spark, "stream-ckpt"), quarantine)
     q.awaitTermination()
     return land
@@ -738,3 +743,6 @@ SELECT {UNIFIED_SQL} FROM unified ORDER BY md5('42:' || issue_id), issue_id LIMI
 def q_sample_rows(spark, sf_dir):
     """Seeded, partition-independent sample of 1,000 issues."""
     return reports.sample_rows(td.unified_issues(spark, sf_dir), 1000)
+
+
+from . import catalog_state  # noqa: E402, F401  (registers the queries on stored state)

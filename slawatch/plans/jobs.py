@@ -16,9 +16,10 @@ from ..operators.enrich import enrich
 from ..operators.risk_model import evaluate_models, train_models
 from ..operators.topics import assign_topics, fit_topics, topic_terms
 from ..schemas import SEED, SLA_HOURS_TARGET, SOURCE_SYSTEM, TOPIC_COUNT
+from ..sinks.journal import TableJournal
 from ..sinks.tables import upsert_by_day, write_issues
 from ..sources.files import read_issues, read_raw_issues
-from ..streaming.ingest import read_landed
+from ..streaming.ingest import of_batches, pending_batches, read_landed
 from .daily import DailyResult, run_daily
 
 
@@ -64,10 +65,20 @@ def create_enriched_table(enriched: DataFrame, name: str, path: str | None = Non
 
 
 def run_upsert(spark: SparkSession, landed_path: str, table: str) -> int:
-    """Merge what the stream has landed into the enriched table (newest
-    ingest wins, so running it again changes nothing); days rewritten."""
+    """Merge the batches that the stream has landed since the last run into
+    the enriched table (newest ingest wins); days rewritten.
+
+    The table's journal holds the batches merged so far: folders in it are
+    not read again, and a run without new ones rewrites nothing. What a lost
+    run left half done is finished first."""
+    journal = TableJournal(spark, table)
+    journal.recover()
     landed = read_landed(spark, landed_path)
-    return upsert_by_day(landed.select(spark.table(table).columns), table)
+    batches = pending_batches(landed, journal.merged_batches())
+    if not batches:
+        return 0
+    rows = of_batches(landed, batches).select(spark.table(table).columns)
+    return upsert_by_day(rows, table, batches=batches)
 
 
 BEST = "best"

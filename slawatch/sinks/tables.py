@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.incremental import latest_per_key, merge_stream, new_issues, on_days, to_fact, touched_days
-from ..session import scratch_path
 
 CSV_TIMESTAMP = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
@@ -86,35 +85,47 @@ def append_scored(df: DataFrame, table: str) -> None:
     latest_per_key(fresh, "issue_id", ()).write.insertInto(table)
 
 
-def upsert_by_day(stream: DataFrame, table: str, key: str = "issue_id",
-                  day_col: str = "date", ingested_col: str = "ingested_at") -> int:
+def empty_partitions(spark, table: str, day_col: str, days: list) -> None:
+    """Leave no rows on the given days (None: rows without a day)."""
+    if not days:
+        return
+    schema = spark.table(table).schema
+    rest = ", ".join(f"`{c}`" for c in schema.names if c != day_col)
+    spark.createDataFrame([], schema).createOrReplaceTempView("_emptied")
+    for day in days:
+        value = "NULL" if day is None else f"DATE '{day}'"
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({day_col} = {value}) SELECT {rest} FROM _emptied")
+
+
+def upsert_by_day(stream: DataFrame, table: str, key: str = "issue_id", day_col: str = "date",
+                  ingested_col: str = "ingested_at", batches: list | None = None) -> int:
     """Merge streamed rows into a table partitioned by day, in place.
 
     ``table`` holds ``ingested_col``, so replayed older events lose. Touched
     are the days of the streamed rows and the days that hold their ids now
-    (rows without a day included). Their merged rows are staged under the
-    shared checkpoint folder first (a table is never overwritten while it is
+    (rows without a day included). Their merged rows are staged and entered
+    in the table's journal first (a table is never overwritten while it is
     being read), then written back partition by partition; a partition that
-    all rows have left is emptied. Returns the number of days rewritten.
-    Single writer per table.
+    all rows have left is emptied. A run that is lost in between is finished
+    by the next one (``sinks.journal``). ``batches``: the (query, batch_id)
+    pairs that ``stream`` holds, for the ledger. Returns the number of days
+    rewritten. Single writer per table.
     """
+    from .journal import TableJournal
+
     spark = stream.sparkSession
     current = spark.table(table)
     if ingested_col not in current.columns:
         raise ValueError(f"{table} must hold {ingested_col!r} to order events")
+    journal = TableJournal(spark, table, day_col)
+    journal.recover()
+    current = spark.table(table)
     days = touched_days(current, stream, key, day_col)
     if not days:
+        if batches:
+            journal.note_batches(batches)
         return 0
     merged = merge_stream(current.filter(on_days(day_col, days)), stream, key, ingested_col)
-    stage = scratch_path(spark, "upsert-stage")
-    merged.select(current.columns).write.parquet(stage)
-    staged = spark.read.schema(current.schema).parquet(stage)
-    overwrite_partitions(staged, table)
-    filled = {r[0] for r in staged.select(day_col).distinct().collect()}
-    for day in days:
-        if day not in filled:
-            value = "NULL" if day is None else f"DATE '{day}'"
-            rest = ", ".join(f"`{c}`" for c in current.columns if c != day_col)
-            staged.limit(0).createOrReplaceTempView("_emptied")
-            spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({day_col} = {value}) SELECT {rest} FROM _emptied")
+    journal.stage(merged.select(current.columns), days, batches)
+    journal.recover()
     return len(days)

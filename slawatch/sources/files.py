@@ -40,11 +40,15 @@ def read_raw_issues(spark: SparkSession, path: str, limit: int | None = None,
 
 
 def read_issues(spark: SparkSession, path: str, fmt: str = "parquet",
-                schema: StructType | None = None, enriched: bool = True) -> DataFrame:
-    """Unified or enriched issues written by ``write_issues``."""
+                schema: StructType | None = None, enriched: bool = True, multi_line: bool = True) -> DataFrame:
+    """Unified or enriched issues written by ``write_issues``. CSV texts may
+    hold quoted line breaks (``multi_line``, one task per file; the writer
+    makes a file per task); switch it off where there are none."""
     schema = schema or (ISSUES_ENRICHED_SCHEMA if enriched else ISSUES_UNIFIED_SCHEMA)
     if fmt == "csv":
-        return (spark.read.schema(schema).option("header", True).option("escape", '"')
+        # Without a separator given, any of \\r, \\n and \\r\\n ends a record, and
+        # a lone one inside quotes is kept as it is.
+        return (spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", multi_line)
                 .option("timestampFormat", CSV_TIMESTAMP).csv(path))
     return spark.read.schema(schema).format(fmt).load(path)
 

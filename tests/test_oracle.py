@@ -6,7 +6,7 @@ import pytest
 import __spark_entry__ as E
 from slawatch.plans import catalog
 from oracle_harness import compare, duck
-from conftest import SF_ORACLE, SF_SMALL
+from paths import SF_ORACLE, SF_SMALL
 
 ORACLE, QUERIES = catalog.ORACLE, catalog.QUERIES
 
