@@ -14,8 +14,8 @@ so the sum over a text's words is a log-likelihood ratio in which no single
 word decides, and large and small languages weigh the same. The answer is the
 language of the greatest sum, the score its share after a softmax.
 
-One pass counts: each task reduces (language, word) and (language, n-gram)
-before the shuffle. The table of known words grows with the corpus. Words
+One pass over the texts counts words, each task reducing (language, word)
+before the shuffle; n-grams are counted from the words found. The table of known words grows with the corpus. Words
 whose share of all occurrences is large enough go to the workers as sorted
 64-bit hashes with a row of figures each: a share of 1 / bound leaves at most
 ``bound`` words, and if the whole table was counted to be within the bound,
@@ -80,35 +80,60 @@ def grams(word: str, order: int) -> list[str]:
     return [framed[i:i + order] for i in range(len(framed) - order + 1)]
 
 
-def counts(docs: DataFrame, learn: Column, lang: str) -> DataFrame:
-    """(``lang``, ``kind``, ``key``, ``n``): occurrences of words (kind 0) and
-    of n-grams (kind: the order) in the learned texts."""
-    def run(batches):
-        held: dict[str, Counter] = {}
+def _rows(held: dict[str, Counter], kind: int):
+    for name, c in held.items():
+        if c:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([name] * len(c)), pa.array([kind] * len(c), pa.int32()), pa.array(list(c)), pa.array(list(c.values()), pa.int64())],
+                names=["lang", "kind", "key", "n"])
 
-        def told():
-            for name, words in held.items():
-                of = [Counter() for _ in ORDERS]
-                for w, n in words.items():
-                    for order, c in zip(ORDERS, of):
-                        for g in grams(w, order):
-                            c[g] += n
-                for kind, c in zip((0, *ORDERS), (words, *of)):
-                    if c:
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([name] * len(c)), pa.array([kind] * len(c), pa.int32()), pa.array(list(c)), pa.array(list(c.values()), pa.int64())],
-                            names=["lang", "kind", "key", "n"])
 
+COUNTS = "lang string, kind int, key string, n long"
+
+
+def _added(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("lang", "kind", "key").agg(F.sum("n").alias("n"))
+
+
+def word_counts(docs: DataFrame, learn: Column, lang: str) -> DataFrame:
+    """(``lang``, ``kind`` 0, ``key``, ``n``): occurrences of words in the
+    learned texts."""
+    def run(batches):
+        held: dict[str, Counter] = {}
         for b in batches:
             for name, text in zip(b.column("lang").to_pylist(), b.column("text")):
                 held.setdefault(name, Counter()).update(letter_words(text.as_py()))
                 if sum(map(len, held.values())) > HELD:
-                    yield from told()
+                    yield from _rows(held, 0)
                     held = {}
-        yield from told()
+        yield from _rows(held, 0)
 
     rows = docs.filter(learn & F.col(lang).isNotNull() & F.col("text").isNotNull()).select(F.col(lang).cast("string").alias("lang"), "text")
-    return rows.mapInArrow(run, "lang string, kind int, key string, n long").groupBy("lang", "kind", "key").agg(F.sum("n").alias("n"))
+    return _added(rows.mapInArrow(run, COUNTS))
+
+
+def gram_counts(words: DataFrame) -> DataFrame:
+    """(``lang``, ``kind``, ``key``, ``n``): occurrences of n-grams (kind: the
+    order) in the words of ``word_counts``, each as often as its word."""
+    def run(batches):
+        held: dict[int, dict[str, Counter]] = {order: {} for order in ORDERS}
+
+        def told():
+            for order, some in held.items():
+                yield from _rows(some, order)
+                some.clear()
+
+        for b in batches:
+            for name, word, n in zip(b.column("lang").to_pylist(), b.column("key").to_pylist(), b.column("n").to_pylist()):
+                for order, some in held.items():
+                    c = some.setdefault(name, Counter())
+                    for g in grams(word, order):
+                        c[g] += n
+            if sum(len(c) for some in held.values() for c in some.values()) > HELD:
+                yield from told()
+        yield from told()
+
+    return _added(words.mapInArrow(run, COUNTS))
 
 
 class Model:
@@ -136,7 +161,8 @@ def _figures(by_lang: DataFrame, totals: dict[str, float], mix: float) -> DataFr
 def learn_model(docs: DataFrame, learn: Column, lang: str = "lang", min_count: int = MIN_COUNT, mix: float = MIX, grams: int = GRAMS) -> Model:
     """Count the texts for which ``learn`` holds and which have a language.
     The languages and the known n-grams reach the driver."""
-    counted = cut_lineage(counts(docs, learn, lang), "langid-counts")
+    of_words = cut_lineage(word_counts(docs, learn, lang), "langid-words")
+    counted = of_words.unionByName(cut_lineage(gram_counts(of_words), "langid-grams"))
     totals = {(r["lang"], r["kind"]): r["n"] for r in counted.groupBy("lang", "kind").agg(F.sum("n").alias("n")).collect()}
     langs = sorted({name for name, _ in totals})
     if not langs:
@@ -150,7 +176,7 @@ def learn_model(docs: DataFrame, learn: Column, lang: str = "lang", min_count: i
         figures.append(np.array(some.column("v").to_pylist(), dtype=np.float32).reshape(-1, len(langs)))
     words = _figures(counted.filter("kind = 0"), of(0), mix).filter(F.col("n") >= min_count)
     everything = float(sum(of(0).values()))
-    words = cut_lineage(words.select("key", (F.col("n") / everything).alias("share"), "v"), "langid-words")
+    words = cut_lineage(words.select("key", (F.col("n") / everything).alias("share"), "v"), "langid-known")
     return Model(langs, words, {g: i for i, g in enumerate(rows)}, np.concatenate(figures))
 
 
