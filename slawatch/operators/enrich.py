@@ -1,4 +1,4 @@
-"""Calendar fields and topic attachment (unified -> enriched issues)."""
+"""Calendar fields, text features and topic attachment (unified -> enriched issues)."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import dow_monday0
+from ..functions.text import text_len, word_count
 from ..schemas import ENRICHED_COLUMNS, UNKNOWN_TOPIC_ID, UNKNOWN_TOPIC_KEYWORDS
 from .incremental import keyed, spread_null_key
 
@@ -46,10 +47,24 @@ def attach_topics(issues: DataFrame, assignments: DataFrame, terms: DataFrame,
     })
 
 
+def add_text_features(issues: DataFrame, keywords: DataFrame | None = None, text_col: str = "issue_text") -> DataFrame:
+    """``text_len`` and ``word_count`` of the text, and ``issue_keyword``
+    from ``keywords`` (issue_id, issue_keyword; one row per issue at most);
+    null where it has none, or if none are given."""
+    rows = issues.drop("text_len", "word_count", "issue_keyword").withColumns(
+        {"text_len": text_len(text_col), "word_count": word_count(text_col)})
+    if keywords is None:
+        return rows.withColumn("issue_keyword", F.lit(None).cast("string"))
+    words = keyed(keywords, "issue_id", "issue_keyword")
+    return spread_null_key(rows, "issue_id").join(words, ["_k", "_none"], "left").drop("_k", "_none")
+
+
 def enrich(unified: DataFrame, assignments: DataFrame | None = None,
-           terms: DataFrame | None = None, terms_bound: int | None = None) -> DataFrame:
-    """``issues_unified`` -> ``issues_enriched`` (calendar + topic)."""
-    df = add_calendar(unified)
+           terms: DataFrame | None = None, terms_bound: int | None = None,
+           keywords: DataFrame | None = None) -> DataFrame:
+    """``issues_unified`` -> ``issues_enriched`` (calendar + topic + text
+    features)."""
+    df = add_text_features(add_calendar(unified), keywords)
     if assignments is None or terms is None:
         df = df.withColumns({"topic_id": F.lit(UNKNOWN_TOPIC_ID).cast("int"),
                              "topic_keywords": F.lit(UNKNOWN_TOPIC_KEYWORDS)})

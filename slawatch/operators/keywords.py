@@ -63,5 +63,5 @@ def with_text_features(issues: DataFrame, key: str = "issue_id", text_col: str =
     where the text has no token, or the row no key)."""
     words = keyed(issue_keyword(issues.filter(F.col(key).isNotNull()), key, text_col), key,
                   F.col("keyword").alias("issue_keyword"))
-    wide = issues.withColumns({"text_len": text_len(text_col), "word_count": word_count(text_col)})
+    wide = issues.drop("text_len", "word_count", "issue_keyword").withColumns({"text_len": text_len(text_col), "word_count": word_count(text_col)})
     return spread_null_key(wide, key).join(words, ["_k", "_none"], "left").drop("_k", "_none")

@@ -1,7 +1,7 @@
 """Breach-risk classifiers: features, training, evaluation, scoring.
 
-Features are the scoring query's eight inputs only (no resolution time,
-status or close date: they leak the label). Training and scoring are MLlib
+Features are the scoring query's inputs and the text features of the enriched
+rows (no resolution time, status or close date: they leak the label). Training and scoring are MLlib
 pipelines: distributed fits, map-only ``transform``.
 """
 
@@ -22,28 +22,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalar import dow_sunday1
+from ..functions.text import text_len, word_count
 from ..schemas import SEED
 from .evaluate import classification_metrics
 
 CATEGORICAL = ["region", "channel", "raw_category", "topic_id", "hour", "dow"]
-TEXT_FEATURES = 1024
+COUNTS = ["text_len", "word_count"]
+TEXT_FEATURES, KEYWORD_FEATURES = 1024, 256
 LABEL = "sla_breached"
 TRAIN_SHARE = 0.8
 
 
-def feature_columns() -> dict:
-    """The model inputs: text, region, channel, category, topic, and hour and
-    day of week (Sunday = 1) of creation."""
+def feature_columns(keyword: bool = True) -> dict:
+    """The model inputs: text, region, channel, category, topic, hour and day
+    of week (Sunday = 1) of creation, the text's keyword (if the rows have
+    the column), its length and its number of words."""
     return {
         "issue_text": F.col("issue_text"), "region": F.col("region"), "channel": F.col("channel"),
         "raw_category": F.col("raw_category"), "topic_id": F.col("topic_id").cast("int"),
         "hour": F.hour("created_at").cast("int"), "dow": dow_sunday1("created_at"),
+        "issue_keyword": F.col("issue_keyword") if keyword else F.lit(None).cast("string"),
+        "text_len": text_len("issue_text"), "word_count": word_count("issue_text"),
     }
 
 
 def scoring_features(df: DataFrame) -> DataFrame:
     """The id and the model inputs."""
-    return df.select("issue_id", *[c.alias(k) for k, c in feature_columns().items()])
+    return df.select("issue_id", *[c.alias(k) for k, c in feature_columns("issue_keyword" in df.columns).items()])
 
 
 #: The indexer's name for a blank category (it takes no empty names).
@@ -53,14 +58,17 @@ BLANK = "(blank)"
 def _with_inputs(df: DataFrame) -> DataFrame:
     """All original columns plus the model inputs under ``_f_`` names
     (categoricals as text for the indexer)."""
-    cols = feature_columns()
+    cols = feature_columns("issue_keyword" in df.columns)
     text = F.coalesce(cols.pop("issue_text"), F.lit("")).alias("_f_issue_text")
+    # The keyword as a list of at most one word, the counts on a log scale.
+    word = F.array_compact(F.array(cols.pop("issue_keyword"))).alias("_f_keyword")
+    counts = [F.log1p(F.coalesce(cols.pop(c), F.lit(0)).cast("double")).alias(f"_f_{c}") for c in COUNTS]
 
     def named(c):
         c = c.cast("string")
         return F.when(c == "", F.lit(BLANK)).otherwise(c)
 
-    return df.select("*", text, *[named(c).alias(f"_f_{k}") for k, c in cols.items()])
+    return df.select("*", text, word, *counts, *[named(c).alias(f"_f_{k}") for k, c in cols.items()])
 
 
 def feature_stages(text: bool = True) -> list:
@@ -74,9 +82,10 @@ def feature_stages(text: bool = True) -> list:
     tok = RegexTokenizer(inputCol="_f_issue_text", outputCol="_f_tokens", pattern=r"(?U)\b\w\w+\b",
                          gaps=False)
     tf = HashingTF(inputCol="_f_tokens", outputCol="_f_tf", numFeatures=TEXT_FEATURES)
-    asm = VectorAssembler(inputCols=[f"_o_{c}" for c in CATEGORICAL] + ["_f_tf"],
+    key = HashingTF(inputCol="_f_keyword", outputCol="_f_key", numFeatures=KEYWORD_FEATURES)
+    asm = VectorAssembler(inputCols=[f"_o_{c}" for c in CATEGORICAL] + ["_f_tf", "_f_key"] + [f"_f_{c}" for c in COUNTS],
                           outputCol="_features", handleInvalid="keep")
-    return [idx, ohe, tok, tf, asm]
+    return [idx, ohe, tok, tf, key, asm]
 
 
 def _label(df: DataFrame) -> DataFrame:

@@ -179,7 +179,7 @@ def q_new_issues_by_day(spark, sf_dir):
 STREAM_SQL = f"""stream AS (
   SELECT issue_id, created_at, created_at + INTERVAL 80 HOUR AS resolved_at, raw_category, raw_subcategory,
          region, 'Closed' AS status, city, raw_channel, issue_text, channel, source_system, sla_hours_target,
-         CAST(80 AS DOUBLE) AS resolution_hours, true AS sla_breached, date, hour, dow, topic_id, topic_keywords,
+         CAST(80 AS DOUBLE) AS resolution_hours, true AS sla_breached, date, hour, dow, topic_id, topic_keywords, text_len, word_count, issue_keyword,
          created_at + INTERVAL 80 HOUR AS ingested_at
   FROM enriched WHERE resolved_at IS NULL
 )"""
@@ -307,7 +307,8 @@ def q_replace_table_days(spark, sf_dir):
 
 
 @register("scoring_features", O.with_issues("""
-SELECT issue_id, issue_text, region, channel, raw_category, topic_id, hour, CAST(dayofweek(created_at) + 1 AS INTEGER) AS dow FROM enriched"""))
+SELECT issue_id, issue_text, region, channel, raw_category, topic_id, hour, CAST(dayofweek(created_at) + 1 AS INTEGER) AS dow,
+       issue_keyword, text_len, word_count FROM enriched"""))
 def q_scoring_features(spark, sf_dir):
     """The model's inputs."""
     return RM.scoring_features(td.enriched_issues(spark, sf_dir))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..operators.cleaning import unify_issues
 from ..operators.enrich import enrich
+from ..operators.keywords import issue_keyword
 from ..operators.risk_model import evaluate_models, train_models
 from ..operators.topics import assign_topics, fit_topics, topic_terms
 from ..schemas import SEED, SLA_HOURS_TARGET, SOURCE_SYSTEM, TOPIC_COUNT
@@ -35,9 +36,11 @@ def run_prep(spark: SparkSession, raw_path: str, out_path: str, fmt: str = "parq
 
 
 def topic_enrich(unified: DataFrame, k: int = TOPIC_COUNT, seed: int = SEED,
-                 sample_n: int | None = None, score: str = "all", max_iter: int = 10) -> DataFrame:
+                 sample_n: int | None = None, score: str = "all", max_iter: int = 10,
+                 keywords: bool = True) -> DataFrame:
     """Fit topics (on a seeded sample of ``sample_n`` texts if given) and
-    enrich. ``score="all"`` assigns a topic to every row with text;
+    enrich, with the keyword of each text unless ``keywords=False``.
+    ``score="all"`` assigns a topic to every row with text;
     ``score="sample"`` only to the fitted sample, the rest get -1 /
     UNKNOWN_TOPIC (as the source notebook did)."""
     model = fit_topics(unified, k=k, seed=seed, sample_n=sample_n, max_iter=max_iter)
@@ -45,7 +48,11 @@ def topic_enrich(unified: DataFrame, k: int = TOPIC_COUNT, seed: int = SEED,
     if score == "sample" and sample_n:
         from ..operators.reports import sample_rows
         scored_rows = sample_rows(unified.filter(unified.issue_text.isNotNull()), sample_n, seed)
-    return enrich(unified, assign_topics(model, scored_rows), topic_terms(model), terms_bound=k)
+    words = None
+    if keywords:
+        known = unified.filter(unified.issue_id.isNotNull())
+        words = issue_keyword(known, "issue_id", "issue_text").withColumnRenamed("keyword", "issue_keyword")
+    return enrich(unified, assign_topics(model, scored_rows), topic_terms(model), terms_bound=k, keywords=words)
 
 
 def run_enrich(spark: SparkSession, unified_path: str, out_path: str, fmt: str = "parquet",

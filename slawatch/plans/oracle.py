@@ -48,7 +48,7 @@ unified AS (
          CAST(72 AS INTEGER) AS sla_hours_target,
          (epoch_us(resolved_at) - epoch_us(created_at)) / 3600000000.0 AS resolution_hours,
          coalesce((epoch_us(resolved_at) - epoch_us(created_at)) / 3600000000.0 > 72, false) AS sla_breached,
-         event_id, user_id
+         event_id, user_id, event_type
   FROM ev WHERE created_at IS NOT NULL
 ),
 assign AS (
@@ -65,7 +65,10 @@ enriched AS (
          CAST(hour(u.created_at) AS INTEGER) AS hour,
          CAST(isodow(u.created_at) - 1 AS INTEGER) AS dow,
          CAST(coalesce(a.topic_id, -1) AS INTEGER) AS topic_id,
-         coalesce(t.topic_keywords, 'UNKNOWN_TOPIC') AS topic_keywords
+         coalesce(t.topic_keywords, 'UNKNOWN_TOPIC') AS topic_keywords,
+         CAST(length(u.issue_text) AS BIGINT) AS text_len,
+         CAST(len(regexp_extract_all(lower(u.issue_text), '\\p{L}+')) AS BIGINT) AS word_count,
+         CASE WHEN u.event_id % 5 = 0 THEN NULL ELSE lower(u.event_type) END AS issue_keyword
   FROM unified u
   LEFT JOIN assign a ON u.issue_id = a.issue_id
   LEFT JOIN terms t ON a.topic_id = t.topic_id

@@ -7,6 +7,7 @@ from pyspark.sql.types import (
     DateType,
     DoubleType,
     IntegerType,
+    LongType,
     StringType,
     StructField,
     StructType,
@@ -101,6 +102,9 @@ ENRICHED_EXTRA = StructType([
     StructField("dow", IntegerType(), True),
     StructField("topic_id", IntegerType(), True),
     StructField("topic_keywords", StringType(), True),
+    StructField("text_len", LongType(), True),
+    StructField("word_count", LongType(), True),
+    StructField("issue_keyword", StringType(), True),
 ])
 ISSUES_ENRICHED_SCHEMA = StructType(ISSUES_UNIFIED_SCHEMA.fields + ENRICHED_EXTRA.fields)
 ENRICHED_COLUMNS = [f.name for f in ISSUES_ENRICHED_SCHEMA.fields]
@@ -139,6 +143,9 @@ ISSUE_EVENT_SCHEMA = StructType([
     StructField("dow", DoubleType(), True),
     StructField("topic_id", DoubleType(), True),
     StructField("topic_keywords", StringType(), True),
+    StructField("text_len", DoubleType(), True),
+    StructField("word_count", DoubleType(), True),
+    StructField("issue_keyword", StringType(), True),
 ])
 
 MART_COLUMNS = [

@@ -29,6 +29,7 @@ OPEN_EVENT_TYPE = "signup"
 NO_BOROUGH_EVENT_TYPE = "view"
 NO_BOROUGH_USER_MOD = 10
 TOPIC_MOD = 15
+KEYWORD_MOD = 5
 # Dirt that real files have, by (event_id modulus, remainder): unreadable
 # creation dates, dates in the other layout (whole seconds), unreadable
 # closing dates, missing-value spellings in the text parts and the location.
@@ -105,6 +106,14 @@ def topic_assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
               .filter(F.col("topic_id").isNotNull()))
 
 
+def keyword_assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A given keyword table (issue_id, issue_keyword), as an upstream
+    keyword job would deliver it (``operators.keywords``, ``TermStore``):
+    the event type, none for every fifth ticket."""
+    ev = read(spark, sf_dir, "events").select("event_id", "event_type").filter(F.col("event_id") % KEYWORD_MOD != 0)
+    return ev.select(F.col("event_id").cast("string").alias("issue_id"), F.lower("event_type").alias("issue_keyword"))
+
+
 def topic_terms(assignments: DataFrame) -> DataFrame:
     """(topic_id, topic_keywords) for the topics in use (at most TOPIC_MOD rows)."""
     return (assignments.select("topic_id").distinct()
@@ -115,7 +124,8 @@ def topic_terms(assignments: DataFrame) -> DataFrame:
 def enriched_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = topic_assignments(spark, sf_dir)
     # topic ids are taken modulo TOPIC_MOD, so the terms table has at most that many rows
-    return enrich(unified_issues(spark, sf_dir), a, topic_terms(a), terms_bound=TOPIC_MOD)
+    return enrich(unified_issues(spark, sf_dir), a, topic_terms(a), terms_bound=TOPIC_MOD,
+                  keywords=keyword_assignments(spark, sf_dir))
 
 
 def score_prob(event_id: F.Column, user_id: F.Column) -> F.Column:

@@ -62,7 +62,7 @@ def parse_issue_events(records: DataFrame, value_col: str = "value",
     if key_col:
         cols["issue_id"] = F.coalesce(cols["issue_id"], F.col("_key"))
     num = {name: non_finite_to_null(j.getField(name))
-           for name in ["sla_hours_target", "resolution_hours", "hour", "dow", "topic_id"]}
+           for name in ["sla_hours_target", "resolution_hours", "hour", "dow", "topic_id", "text_len", "word_count"]}
     out = parsed.select(
         cols["issue_id"].alias("issue_id"),
         parse_timestamp(cols["created_at"]).alias("created_at"),
@@ -77,6 +77,9 @@ def parse_issue_events(records: DataFrame, value_col: str = "value",
         num["dow"].cast("int").alias("dow"),
         num["topic_id"].cast("int").alias("topic_id"),
         cols["topic_keywords"].alias("topic_keywords"),
+        num["text_len"].cast("long").alias("text_len"),
+        num["word_count"].cast("long").alias("word_count"),
+        cols["issue_keyword"].alias("issue_keyword"),
         j.getField(CORRUPT).alias(CORRUPT),
         *[F.col(c) for c in keep],
     )
