@@ -6,6 +6,7 @@ run over materialised tables as the pipeline leaves them.
 
 from __future__ import annotations
 
+import datetime as dt
 import sys
 
 from pyspark.sql import DataFrame
@@ -17,6 +18,7 @@ from ..operators.keywords import issue_keyword
 from ..operators.mart import mart_issues_by_region_day, stg_issues
 from ..operators.quality import check_unique
 from ..session import build_session, scratch_path
+from ..sinks import idindex, martstate
 from ..sinks.tables import append_scored, create_fact_table
 from ..sources import testdata as td
 from ..sources.files import load_mart
@@ -46,9 +48,19 @@ def main(sf_dir: str) -> None:
     mart_t = spark.read.parquet(f"{scratch}/mart")
     batch = enriched.filter(F.col("date") >= F.lit("2024-01-21").cast("date"))
     stream = td.stream_updates(enriched).filter(F.col("date") >= F.lit("2024-01-25").cast("date"))
+    martstate.build_state(spark, "issues_scored")
+    index = spark.table(idindex.build_index(spark, "issues_scored"))
+    # As at scale: the ids of all history are no broadcast.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    indexed = idindex.not_indexed(batch, index)
+    final_plan(indexed)
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     cases = {
         "mart_issues_by_region_day (fact -> mart)": mart,
         "new_issues (batch vs fact)": new_issues(batch, fact),
+        "not_indexed (batch vs ids bucketed by id, no broadcast)": indexed,
+        "mart rows of three days from the mart state": martstate.mart_rows(
+            spark, "issues_scored", [dt.date(2024, 1, d) for d in (3, 4, 5)]),
         "merge_stream_by_day (enriched + stream)": merge_stream_by_day(enriched, stream),
         "load_mart (date range on the partitioned mart)": load_mart(spark, mart_t, "2024-01-08", "2024-01-14"),
         "recent_issues (top 500 of a range of the fact)": reports.recent_issues(fact, "2024-01-08", "2024-01-14"),
