@@ -71,7 +71,7 @@ def _batches(batches, rows: int = 256):
 def _text_rows(held: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
     for lang, c in held.items():
         yield pa.RecordBatch.from_arrays(
-            [pa.array([lang] * len(c)), pa.array(list(c), pa.binary()), pa.array(list(c.values()), pa.int64())], names=["lang", "phrase", "n"])
+            [pa.array([lang] * len(c), pa.string()), pa.array(list(c), pa.binary()), pa.array(list(c.values()), pa.int64())], names=["lang", "phrase", "n"])
 
 
 def count_words(texts: DataFrame) -> DataFrame:

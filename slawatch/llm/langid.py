@@ -84,7 +84,7 @@ def _rows(held: dict[str, Counter], kind: int):
     for name, c in held.items():
         if c:
             yield pa.RecordBatch.from_arrays(
-                [pa.array([name] * len(c)), pa.array([kind] * len(c), pa.int32()), pa.array(list(c)), pa.array(list(c.values()), pa.int64())],
+                [pa.array([name] * len(c), pa.string()), pa.array([kind] * len(c), pa.int32()), pa.array(list(c), pa.string()), pa.array(list(c.values()), pa.int64())],
                 names=["lang", "kind", "key", "n"])
 
 
