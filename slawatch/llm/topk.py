@@ -8,8 +8,11 @@ rotation to singular directions; in it the first ``head`` coordinates carry
 most of a product.
 
 First the queries meet the chunk of the longest vectors: their k-th best
-score there is a threshold that any answer must reach. Then blocks of
-queries meet the other chunks, one pair per group, and skip
+score there is a threshold that any answer must reach, and the threshold over
+|q| is the least length that a vector needs. Queries are put into blocks by
+that length, and a block meets only the chunks whose longest vector has it:
+of all other pairs no row is shuffled. The pairs that are left are one group
+each, and skip
 
 * the rest of a chunk, once |q| |v| is below the threshold (v by descending
   length),
@@ -116,6 +119,29 @@ def best_in_chunk(ids: np.ndarray, v: np.ndarray, query_ids: np.ndarray, q: np.n
     return [(int(query_ids[n]), int(i), int(s)) for n in range(len(q)) for i, s in zip(found_id[n], found[n])]
 
 
+def blocked(queries: DataFrame, blocks: int) -> DataFrame:
+    """Queries (``query_id``, ``q``, ``least``: a score that answers reach,
+    or null) with ``need``, the squared length that an answer has at least,
+    and ``block``: ranges of ascending ``need``."""
+    square = F.aggregate("q", F.lit(0.0), lambda a, e: a + e.cast("double") * e)
+    least = F.coalesce("least", F.lit(float("-inf")))
+    # |q| |v| >= least, with room for rounding; a score of 0 or less needs nothing.
+    need = F.when((least > 0) & (square > 0), least * least / square * (1.0 - 1e-9)).when(least > 0, F.lit(float("inf"))).otherwise(0.0)
+    rows = queries.withColumns({"least": least, "need": need})
+    return rows.repartitionByRange(blocks, "need", F.xxhash64("query_id")).withColumn("block", F.spark_partition_id())
+
+
+def surviving_pairs(tops: DataFrame, queries: DataFrame) -> DataFrame:
+    """(``chunk``, ``block``): the chunks whose longest vector (``top``,
+    squared) has the length that some query of the block needs. One row per
+    block reaches the driver (a few thousandths of the queries)."""
+    needs = sorted((r["need"], r["block"]) for r in queries.groupBy("block").agg(F.min("need").alias("need")).collect())
+    listed = F.array(*[F.struct(F.lit(float(n)).alias("need"), F.lit(b).alias("block")) for n, b in needs]) if needs else \
+        F.array().cast("array<struct<need:double,block:int>>")
+    met = F.filter(listed, lambda x: x["need"] <= F.col("top"))
+    return tops.select("chunk", F.explode(met).alias("x")).select("chunk", F.col("x.block").alias("block"))
+
+
 def top_k(table: DataFrame, is_query: Column, k: int = 5, vector: str = "embedding", scale: int = SCALE, chunk: int = CHUNK, block: int = BLOCK, head: int = HEAD) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id``, ``score``: for every row of
     ``is_query`` the k rows with the largest inner product."""
@@ -125,11 +151,9 @@ def top_k(table: DataFrame, is_query: Column, k: int = 5, vector: str = "embeddi
     turn = rotation(rows, width)
     # Longest first; equal vectors are spread by a hash of their id.
     laid = rows.repartitionByRange(chunks, F.desc("length"), F.xxhash64("vec_id")).withColumn("chunk", F.spark_partition_id())
-    laid = cut_lineage(laid.select("chunk", "vec_id", "v"), "topk-chunks")
+    laid = cut_lineage(laid.select("chunk", "vec_id", "v", "length"), "topk-chunks")
     blocks = -(-max(size["queries"], 1) // block)
-    asked = (rows.filter(is_query).groupBy(F.col("vec_id").alias("query_id")).agg(F.min("v").alias("q"))
-                 .withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int")))
-    asked = cut_lineage(asked, "topk-queries")
+    asked = cut_lineage(rows.filter(is_query).groupBy(F.col("vec_id").alias("query_id")).agg(F.min("v").alias("q")), "topk-queries")
     turned = table.sparkSession.sparkContext.broadcast(turn)
 
     def meet(vectors: pa.Table, queries: pa.Table) -> pa.Table:
@@ -139,22 +163,22 @@ def top_k(table: DataFrame, is_query: Column, k: int = 5, vector: str = "embeddi
                                 matrix(queries.column("q"), width), queries.column("least").to_numpy(), turned.value, k, head)
         return pa.table({n: pa.array([r[i] for r in out], pa.int64()) for i, n in enumerate(("query_id", "vec_id", "score"))})
 
-    def search(some: DataFrame, queries: DataFrame, chunk_ids: list[int]) -> DataFrame:
-        each = some.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-        every = queries.withColumn("chunk", F.explode(F.lit(chunk_ids)))
+    def search(some: DataFrame, queries: DataFrame, pairs: DataFrame) -> DataFrame:
+        each = some.select("chunk", "vec_id", "v").join(pairs, "chunk")
+        every = queries.join(pairs, "block")
         return (each.groupBy("chunk", "block").cogroup(every.groupBy("chunk", "block"))
                     .applyInArrow(meet, "query_id long, vec_id long, score long"))
 
-    # The chunks by descending length; a chunk of the range may be empty.
-    ids = sorted(r["chunk"] for r in laid.select("chunk").distinct().collect())
-    if not ids:
+    tops = cut_lineage(laid.groupBy("chunk").agg(F.max("length").alias("top")), "topk-tops")
+    longest = tops.agg(F.max_by("chunk", F.struct("top", -F.col("chunk")))).first()[0]
+    if longest is None:
         return table.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    first = search(laid.filter(F.col("chunk") == ids[0]), asked.withColumn("least", F.lit(float("-inf"))), ids[:1])
-    first = cut_lineage(first, "topk-first")
+    everywhere = asked.withColumns({"block": F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int"), "least": F.lit(float("-inf"))})
+    head_pairs = tops.filter(F.col("chunk") == longest).select("chunk", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+    first = cut_lineage(search(laid.filter(F.col("chunk") == longest), everywhere, head_pairs), "topk-first")
     reached = first.groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= k, F.min("score").cast("double")).alias("least"))
-    armed = asked.join(reached, "query_id", "left").withColumn("least", F.coalesce("least", F.lit(float("-inf"))))
-    found = first
-    if ids[1:]:
-        found = first.unionByName(search(laid.filter(F.col("chunk") != ids[0]), armed, ids[1:]))
+    armed = cut_lineage(blocked(asked.join(reached, "query_id", "left"), blocks), "topk-blocks")
+    pairs = cut_lineage(surviving_pairs(tops.filter(F.col("chunk") != longest), armed), "topk-pairs")
+    found = first.unionByName(search(laid, armed.drop("need"), pairs))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

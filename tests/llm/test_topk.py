@@ -59,3 +59,27 @@ def test_pruning_skips_short_vectors():
     topk.best_in_chunk(np.arange(4096), v, np.array([-1]), q, least, np.eye(8), 1, head=4)
     got = topk.best_in_chunk(np.arange(4096), v.view(Counted), np.array([-1]), q, least, np.eye(8), 1, head=4)
     assert got == [(-1, 0, int(least[0]))]
+
+
+def test_short_chunks_get_no_rows(spark):
+    """A few long vectors answer all queries; chunks of short ones meet no
+    block, and the answer is that of brute force."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    rows = [(i, (rng.normal(size=8) * (50.0 if i % 40 == 0 else 0.01)).tolist()) for i in range(1600)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    vectors = topk.integer_vectors(table)
+    asked = vectors.filter("vec_id % 40 = 0").selectExpr("vec_id AS query_id", "v AS q", "1e6D AS least")
+    armed = topk.blocked(asked, 3)
+    tops = spark.createDataFrame([(0, 1e12), (1, 4.0), (2, 0.0)], "chunk int, top double")
+    assert {r.chunk for r in topk.surviving_pairs(tops, armed).collect()} == {0}
+    # Thresholds that say nothing let every pair through.
+    loose = topk.blocked(asked.selectExpr("query_id", "q", "CAST(NULL AS DOUBLE) AS least"), 3)
+    assert topk.surviving_pairs(tops, loose).count() == 3 * loose.select("block").distinct().count()
+    got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in topk.top_k(table, F.col("vec_id") % 40 == 0, chunk=100, block=16).collect()}
+    ids, v = np.array([r[0] for r in rows]), np.floor(256 * np.array([r[1] for r in rows])).astype(np.int64)
+    for i in range(0, 1600, 40):
+        score = v @ v[i]
+        best = sorted((-int(s), int(j)) for s, j in zip(score, ids) if j != i)[:5]
+        assert [got[i, r] for r in range(1, 6)] == [(j, -s) for s, j in best]
