@@ -14,7 +14,8 @@ neither the driver nor a worker ever holds more than a chunk. Scanning is
 map-only.
 
 Defined cases: null texts have no words; an item without words has no
-window; windows that several items share count for each; repeated documents
+window; items without an id count as one item, null in ``items``, last;
+windows that several items share count for each; repeated documents
 are separate rows; an empty benchmark leaves every document clean.
 """
 
@@ -88,13 +89,14 @@ def pattern_chunks(benchmark: DataFrame, size: int, chunk_mb: int):
             rows = [(w, i) for i, t in zip(b.column("item_id").to_pylist(), b.column("text").to_pylist()) for w in sorted(windows(normal(t), size))]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string())], names=["window", "item"])
 
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").filter("item_id IS NOT NULL")
-    pairs = (items.mapInArrow(cut, "window string, item string")
-                  .groupBy("window").agg(F.array_sort(F.collect_set("item")).alias("items")))
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
+    # As structs, since a set of plain values would leave the null id out.
+    pairs = (items.mapInArrow(cut, "window string, item string").groupBy("window")
+                  .agg(F.array_sort(F.transform(F.collect_set(F.struct("item")), lambda s: s["item"])).alias("items")))
     chunk, held, first = [], 0, True
     for r in pairs.toLocalIterator():
         chunk.append((r["window"], r["items"]))
-        held += len(r["window"]) + sum(map(len, r["items"]))
+        held += len(r["window"]) + sum(len(i or "") for i in r["items"])
         if held >= chunk_mb << 20:
             yield chunk
             chunk, held, first = [], 0, False
@@ -126,7 +128,7 @@ def _row(automaton, text: str | None, runs: list, items: list) -> tuple:
     n_hit = int(hit.sum())
     edges = np.flatnonzero(np.diff(np.concatenate([[False], hit, [False]]).astype(np.int8))).reshape(-1, 2).tolist()
     at = original_offsets(text)
-    return (n, n_hit, sorted(names), [{"first": a, "last": b} for a, b in edges],
+    return (n, n_hit, sorted(names, key=lambda i: (i is None, i or "")), [{"first": a, "last": b} for a, b in edges],
             [{"start": at[a][0], "end": at[b - 1][1]} for a, b in edges], SHARE * n_hit >= n)
 
 
