@@ -6,8 +6,8 @@ excess shared again by weight (water filling, one pass over the sources).
 
 Blocks of ``block`` words are seats. Sources get seats by the highest
 quotients ``target / (2 k - 1)``; each source is split into shards of about
-``shard_words`` words by a seeded hash of the document, so a source with a
-third of all rows is many shards, and its seats go to the shards by the same
+``shard_words`` words by a seeded hash of the document (its id and text), so
+a source with a third of all rows, or an id, is many shards, and its seats go to the shards by the same
 rule with the shard's words as weight. Within a shard the documents lie on a
 ring in seeded order, and the shard's quota of blocks is laid on the ring
 from a seeded block on: whole turns repeat every document, the rest is an
@@ -19,7 +19,9 @@ per source or per shard; only windows within one shard sort documents.
 
 Defined cases: a null text has no words; null sources are one source, last
 in order; documents without words take nothing; repeated rows are separate
-rows; an empty table gives an empty result.
+rows (equal in all columns they are interchangeable, and lie in one shard;
+equal in id and text only, a hash of the carried columns orders them); an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -95,9 +97,11 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = 3
     from: ``copies`` whole copies, then words ``[head_from, head_to)`` and
     ``[tail_from, tail_to)`` of the document. ``keep`` names columns to carry.
     """
-    sized = cut_lineage(docs.select("doc_id", "source", count_words().alias("size")), "mix-sizes")
+    digest = seeded(seed, F.col("doc_id"), F.md5(whole().cast("binary")))
+    columns = ["doc_id", "source", count_words().alias("size"), digest.alias("_digest")]
+    sized = cut_lineage(docs.select(*columns), "mix-sizes")
     # Carried columns may be wide: they are read again instead of staged.
-    rows = docs.select("doc_id", "source", count_words().alias("size"), *keep) if keep else sized
+    rows = docs.select(*columns, *keep) if keep else sized
     block = F.greatest(F.lit(1), F.floor(F.col("total") / blocks)).cast("long")
     sources = source_targets(sized, weights, max_epochs).withColumn("block", block)
     sources = sources.withColumn("seats", F.floor(F.col("total") / F.col("block")).cast("long"))
@@ -107,8 +111,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = 3
     sources = cut_lineage(sources.select("source", "rank", "source_size", "target", "block", fits.alias("seats"), shards.alias("shards")), "mix-sources")
 
     def placed(df: DataFrame) -> DataFrame:
-        return (df.withColumn("_digest", seeded(seed, F.col("doc_id")))
-                  .join(sources.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")))
+        return (df.join(sources.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")))
                   .withColumn("shard", bucket(F.col("_digest"), F.col("shards"))))
 
     quotas = placed(sized).groupBy("rank", "shard", "seats", "block").agg(F.sum("size").alias("shard_size"))
@@ -118,7 +121,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = 3
     size = F.greatest(F.col("shard_size"), F.lit(1))
     quotas = quotas.select("rank", "shard", size.alias("_ring"), words.alias("_words"), (first * F.col("block")).alias("_first"))
 
-    ring = Window.partitionBy("rank", "shard").orderBy("_digest", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    ties = [F.xxhash64(*keep)] if keep else []
+    ring = Window.partitionBy("rank", "shard").orderBy("_digest", *ties).rowsBetween(Window.unboundedPreceding, -1)
     laid = placed(rows).withColumn("_a", F.coalesce(F.sum("size").over(ring), F.lit(0).cast("long"))).join(quotas, ["rank", "shard"])
     laid = laid.withColumns({"_end": F.col("_first") + F.col("_words") % F.col("_ring"),
                              "copies": F.floor(F.col("_words") / F.col("_ring")).cast("long")})
@@ -138,16 +142,19 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     is taken; a part of a document keeps the white space between its words,
     and its ``n_chars`` (if there is such a column) is its own."""
     cols = docs.columns
-    row = docs.select("doc_id", "text", "source", F.struct(*cols).alias("_row"))
-    parts = mix(row, keep=("_row",), **options)
-    words = F.regexp_extract_all(F.coalesce(F.col("_row.text"), F.lit("")), F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
+    # Carried under names of their own, so no column of ``docs`` clashes.
+    names = {c: f"_in{i}" for i, c in enumerate(cols)}
+    row = docs.select("doc_id", "text", "source", *[F.col(f"`{c}`").alias(n) for c, n in names.items()])
+    parts = mix(row, keep=tuple(names.values()), **options)
+    text = names["text"]
+    words = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
 
     def piece(a: str, b: str) -> Column:
         cut = F.array_join(F.slice(words, (F.col(a) + 1).cast("int"), (F.col(b) - F.col(a)).cast("int")), "")
         return F.when(F.col(b) > F.col(a), F.regexp_replace(cut, r"^[\x20\x09-\x0D]+", ""))
 
     pieces = F.array_compact(F.array(piece("head_from", "head_to"), piece("tail_from", "tail_to")))
-    whole_copies = F.array_repeat(F.col("_row.text"), F.col("copies").cast("int"))
+    whole_copies = F.array_repeat(F.col(text), F.col("copies").cast("int"))
     texts = parts.withColumn("_text", F.explode(F.concat(F.when(F.col("size") > 0, whole_copies).otherwise(F.array().cast("array<string>")), pieces)))
-    out = [F.col("_text").alias(c) if c == "text" else F.length("_text").cast("long").alias(c) if c == "n_chars" else F.col(f"_row.{c}").alias(c) for c in cols]
+    out = [F.col("_text").alias(c) if c == "text" else F.length("_text").cast("long").alias(c) if c == "n_chars" else F.col(n).alias(c) for c, n in names.items()]
     return texts.select(*out)

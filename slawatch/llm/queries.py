@@ -33,7 +33,7 @@ def register(name: str, sql: str | None = None):
 MIXING_SQL = """
 WITH sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size,
-         md5('42:' || coalesce(doc_id::VARCHAR, '')) AS digest FROM documents),
+         md5('42:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))) AS digest FROM documents),
 src AS (
   SELECT source, sum(size)::BIGINT AS source_size,
          row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank FROM sized GROUP BY source),
@@ -87,7 +87,7 @@ quota AS (
   FROM hl LEFT JOIN hw USING (rank, shard)),
 laid AS (
   SELECT p.*, ring, words // ring AS copies, first, first + words % ring AS last,
-         coalesce((sum(size) OVER (PARTITION BY p.rank, p.shard ORDER BY digest, doc_id, size
+         coalesce((sum(size) OVER (PARTITION BY p.rank, p.shard ORDER BY digest
                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))::BIGINT, 0) AS a
   FROM placed p JOIN quota USING (rank, shard))
 SELECT doc_id, size, source_size, target,

@@ -97,3 +97,35 @@ def test_edges(edges, none):
 def test_no_python_on_the_main_path(edges):
     plan = mixing.mixed_documents(edges)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def mixed_rows(docs):
+    return sorted(map(str, mixing.mixed_documents(docs, shard_words=700).collect()))
+
+
+def test_tables_of_any_columns(spark, tmp_dir):
+    """Three columns only, from memory and from files; and columns whose
+    names clash with internal ones."""
+    docs = corpus(spark, {"a": 400, "b": 3000, None: 90}).select("doc_id", "text", "source")
+    docs.write.parquet(tmp_dir + "/three")
+    both = [mixed_rows(d) for d in (docs, spark.read.parquet(tmp_dir + "/three"))]
+    assert both[0] == both[1] and len(both[0]) > 0
+    odd = docs.withColumns({"_row": F.lit(1), "_text": F.lit("t"), "size": F.lit("s"), "_digest": F.lit(2), "_in0": F.lit(3)})
+    got = mixing.mixed_documents(odd, shard_words=700)
+    assert got.columns == odd.columns and sorted(map(str, got.select("doc_id", "text", "source").collect())) == both[0]
+
+
+def test_null_and_repeated_ids_in_any_input_order(spark):
+    docs = corpus(spark, {"a": 4000, "b": 3000}, 5).withColumn("doc_id", F.when(F.col("doc_id") % 3 == 0, F.lit(None)).otherwise(F.col("doc_id") % 20))
+    rows = docs.collect()
+    orders = [spark.createDataFrame(some, docs.schema).repartition(n) for some, n in ((rows, 2), (rows[::-1], 5))]
+    assert mixed_rows(orders[0]) == mixed_rows(orders[1])
+
+
+def test_rows_without_an_id_fall_into_many_shards(spark):
+    """A third of all rows without an id is dealt by its texts."""
+    docs = corpus(spark, {"a": 60_000}, 6).withColumn("doc_id", F.when(F.col("doc_id") % 3 == 0, F.lit(None)).otherwise(F.col("doc_id")))
+    digest = mixing.seeded(42, F.col("doc_id"), F.md5(mixing.whole().cast("binary")))
+    held = docs.filter("text IS NOT NULL").groupBy(mixing.bucket(digest, F.lit(16)).alias("shard")).count().collect()
+    sizes = [r["count"] for r in held]
+    assert len(sizes) == 16 and max(sizes) < 1.5 * sum(sizes) / 16
