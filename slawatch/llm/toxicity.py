@@ -42,7 +42,6 @@ an empty result.
 from __future__ import annotations
 
 import math
-import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -54,9 +53,6 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 from .base import BROADCAST_ROWS, plain_words, small
 
-#: Slots of the dense model (``slots``, ``log_ratios``): a reference for small
-#: vocabularies, which ``classify`` does not use.
-SLOTS = 1 << 21
 DISCOUNT = 3.0
 #: A word speaks clearly for the toxic class above this log ratio.
 CLEAR = 2.5
@@ -64,18 +60,15 @@ THRESHOLD = 0.7
 FIGURES = ("mean_ratio", "clear", "clear_share")
 #: Count rows: marks 0 to 3 are fold * 2 + class, this one is the base.
 BASE = 4
+#: Bits of a predecessor's hash. A word with a million predecessors has two
+#: equal ones with a probability of 3 %.
+PREDECESSOR = (1 << 44) - 1
 #: Words, or pairs, that a task holds before it reduces them.
 HELD = 1 << 21
 #: A word with more than one in so many of all occurrences is joined by broadcast.
 HOT = 1024
 
 
-def slots(text: str | None) -> np.ndarray:
-    """The slot of every word, in order."""
-    words = plain_words(text)
-    return np.fromiter(map(zlib.crc32, words), dtype=np.int64, count=len(words)) & (SLOTS - 1)
-
-
 def hashes(text: str | None) -> np.ndarray:
     """The 64-bit hash of every word, in order."""
     from xxhash import xxh64_intdigest
@@ -101,10 +94,12 @@ def _reduced(words: np.ndarray, tags: np.ndarray, n: np.ndarray) -> tuple[np.nda
     return words[first], tags[first], np.add.reduceat(n, first) if len(first) else n
 
 
-def counts(rows: DataFrame, keys=slots) -> DataFrame:
-    """(``mark``, ``slot``, ``n``): occurrences of each word in all texts
-    (mark ``BASE``), distinct predecessors by fold and class. ``keys``: what
-    stands for a text's words, ``slots`` or ``hashes``."""
+def pair_rows(rows: DataFrame, keys=None) -> DataFrame:
+    """The rows that ``counts`` adds up: distinct (word, predecessor, mark)
+    with n = 1, and words with their occurrences (mark ``BASE``). ``keys``:
+    what stands for a text's words (default: ``hashes``)."""
+    keys = keys or hashes
+
     def run(batches):
         names = ["slot", "tag", "n"]
         none = np.zeros(0, dtype=np.int64)
@@ -127,7 +122,7 @@ def counts(rows: DataFrame, keys=slots) -> DataFrame:
                 n_held += len(w)
                 if fold is not None and label is not None and len(w):
                     # The first word follows 0, the start.
-                    pairs.append((w, np.concatenate([[0], w[:-1]]) << 3 | (fold * 2 + label)))
+                    pairs.append((w, (np.concatenate([[0], w[:-1]]) & PREDECESSOR) << 3 | (fold * 2 + label)))
                     n_pairs += len(w)
                 if n_held >= HELD:
                     base, n_held = counted(base), 0
@@ -145,11 +140,17 @@ def counts(rows: DataFrame, keys=slots) -> DataFrame:
         base = counted(base)
         yield told(base[0], np.full(len(base[0]), BASE), base[1])
 
-    # A tag is a predecessor (61 bits) and a mark.
+    # A tag is a predecessor and a mark.
     keyed = rows.mapInArrow(run, "slot long, tag long, n long").groupBy("slot", "tag").agg(F.sum("n").alias("n"))
     mark = F.col("tag").bitwiseAND(7).cast("int")
     one = F.when(mark == BASE, F.col("n")).otherwise(F.lit(1).cast("long"))
-    return keyed.select(mark.alias("mark"), "slot", one.alias("n")).groupBy("mark", "slot").agg(F.sum("n").alias("n"))
+    return keyed.select(mark.alias("mark"), "slot", one.alias("n"))
+
+
+def counts(rows: DataFrame, keys=None) -> DataFrame:
+    """(``mark``, ``slot``, ``n``): occurrences of each word in all texts
+    (mark ``BASE``), distinct predecessors by fold and class."""
+    return pair_rows(rows, keys).groupBy("mark", "slot").agg(F.sum("n").alias("n"))
 
 
 #: Folds of the models of a row's figures by fold 0, fold 1 and both.
@@ -161,6 +162,7 @@ def word_ratios(counted: DataFrame, discount: float = DISCOUNT) -> tuple[DataFra
     : ordinary by the models of fold 0, fold 1 and both, of the words that a
     class has more than ``discount`` times, and the ratio by each model of all
     others. A few sums reach the driver."""
+    # ``counted`` may still have several rows of a (mark, slot).
     wide = counted.groupBy("slot").agg(*[F.sum(F.when(F.col("mark") == m, F.col("n")).otherwise(0)).alias(f"n{m}") for m in range(5)])
     wide = cut_lineage(wide, "toxicity-words")
     have = {(k, c): sum((F.col(f"n{f * 2 + c}") for f in folds), F.lit(0)) for k, folds in enumerate(MODELS) for c in (0, 1)}
@@ -184,30 +186,6 @@ def word_ratios(counted: DataFrame, discount: float = DISCOUNT) -> tuple[DataFra
     return own.select("slot", F.col(f"n{BASE}").alias("base"), hot.alias("hot"), *[r.alias(f"r{k}") for k, r in enumerate(ratios)]), rest
 
 
-def log_ratios(counted: DataFrame, discount: float = DISCOUNT) -> list[np.ndarray]:
-    """Log ratio toxic : ordinary by slot, of the models of fold 0, fold 1
-    and both (the dense reference; see ``SLOTS``)."""
-    got = counted.toArrow()
-    mark, slot, n = (got.column(c).to_numpy() for c in ("mark", "slot", "n"))
-    of = {m: np.bincount(slot[mark == m], n[mark == m], minlength=SLOTS).astype(np.float32) for m in range(5)}
-    base = (of[BASE] + 0.5) / (of[BASE].sum(dtype=np.float64) + 0.5 * SLOTS)
-
-    def model(c: int, folds: tuple[int, ...]) -> np.ndarray | None:
-        have = sum(of[f * 2 + c] for f in folds)
-        total = have.sum(dtype=np.float64)
-        if not total:
-            return None
-        cut = np.minimum(have, discount)
-        return (have - cut + cut.sum(dtype=np.float64) * base) / total
-
-    out = []
-    for folds in ((0,), (1,), (0, 1)):
-        ordinary, toxic = model(0, folds), model(1, folds)
-        known = ordinary is not None and toxic is not None
-        out.append((np.log(toxic) - np.log(ordinary)).astype(np.float32) if known else np.zeros(SLOTS, dtype=np.float32))
-    return out
-
-
 def figures(r: np.ndarray) -> tuple[float, float, float]:
     """Mean log ratio; log1p of the sum of the clear ones; that relative to
     the log of the length."""
@@ -313,6 +291,6 @@ def classify(docs: DataFrame, labels: DataFrame, fold: Column, label: str = "tox
     ``predicted``. ``fold`` (0, 1, or null for held-out rows) is a column of
     ``doc_id``; labels are learned from rows in a fold only."""
     rows = marked(docs, labels, fold.cast("int"), label)
-    compared = cut_lineage(compare(rows, *word_ratios(counts(rows, hashes))), "toxicity-figures")
+    compared = cut_lineage(compare(rows, *word_ratios(pair_rows(rows))), "toxicity-figures")
     scored = compared.withColumn("score", calibrate(compared))
     return scored.select("doc_id", "fold", *FIGURES, "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

@@ -40,23 +40,83 @@ def test_planted_words_are_found(spark):
     assert np.mean(hit) > 0.95 and np.mean(false) < 0.01
 
 
+def key(word):
+    return int(toxicity.hashes(word)[0])
+
+
+def slow_model(rows, discount):
+    """Log ratios by word of the models of fold 0, fold 1 and both, from
+    counts by hand; rows: (words, fold, label)."""
+    have, base = {}, {}
+    for words, f, label in rows:
+        for a, b in zip(["", *words], words):
+            base[b] = base.get(b, 0) + 1
+            if f is not None and label is not None:
+                have.setdefault((f, label), {}).setdefault(b, set()).add(a)
+    n = sum(base.values()) + 0.5 * len(base)
+
+    def ratio(folds):
+        def p(label):
+            count = {w: sum(len(have.get((f, label), {}).get(w, ())) for f in folds) for w in base}
+            total, mass = sum(count.values()), sum(min(c, discount) for c in count.values())
+            return {w: (max(c - discount, 0) + mass * (base[w] + 0.5) / n) / total for w, c in count.items()} if total else None
+
+        ordinary, toxic = p(0), p(1)
+        return {w: np.log(toxic[w] / ordinary[w]) if ordinary and toxic else 0.0 for w in base}
+
+    return [ratio(folds) for folds in ((0,), (1,), (0, 1))]
+
+
+def slow_figures(words, ratio):
+    if not words:
+        return 0.0, 0.0, 0.0
+    r = [ratio[w] for w in words]
+    clear = np.log1p(sum(x for x in r if x > toxicity.CLEAR))
+    return np.mean(r), clear, clear / np.log(2 + len(r))
+
+
+def slow_logistic(x, y, penalty):
+    """Newton's method; the penalty is on standardised weights, not on the
+    constant."""
+    x, y = np.array(x, dtype=float), np.array(y, dtype=float)
+    spread = x.std(axis=0, ddof=1)
+    z = np.hstack([np.ones((len(x), 1)), x / np.where(spread > 0, spread, 1)])
+    w, reg = np.zeros(z.shape[1]), np.diag([0.0] + [penalty] * x.shape[1])
+    for _ in range(200):
+        p = 1 / (1 + np.exp(-z @ w))
+        step = np.linalg.solve(z.T @ (z * (p * (1 - p))[:, None]) / len(y) + reg + 1e-12 * np.eye(len(w)), z.T @ (p - y) / len(y) + reg @ w)
+        w -= step * min(1.0, 5.0 / max(np.abs(step).max(), 1e-12))
+    return lambda v: 1 / (1 + np.exp(-(np.hstack([[1.0], np.array(v) / np.where(spread > 0, spread, 1)]) @ w)))
+
+
 def test_model_is_kneser_ney(spark):
     """Against counts by hand: predecessors, not occurrences."""
     docs = spark.createDataFrame([(0, "a b a b a b"), (1, "c b"), (2, "d b d e")], "doc_id long, text string")
     rows = docs.withColumns({"fold": F.lit(0), "label": (F.col("doc_id") == 2).cast("int")})
     got = {(r.mark, r.slot): r.n for r in toxicity.counts(rows).collect()}
-    slot = {w: int(toxicity.slots(w)[0]) for w in "abcde"}
-    assert got[toxicity.BASE, slot["b"]] == 5 and got[0, slot["b"]] == 2 and got[1, slot["b"]] == 1
-    assert got[0, slot["a"]] == 2 and got[1, slot["d"]] == 2 and (0, slot["d"]) not in got
-    ratio = toxicity.log_ratios(toxicity.counts(rows), discount=0.5)[0]
-    base = np.full(toxicity.SLOTS, 0.5)
-    for w, n in zip("abcde", (3, 5, 1, 2, 1)):
-        base[slot[w]] += n
-    base /= base.sum()
-    p = lambda n, total, kinds, w: (max(n - 0.5, 0) + 0.5 * kinds * base[slot[w]]) / total
-    # Ordinary: a after start and b, b after a and c, c after start; toxic: d after start and b, b after d, e after d.
-    assert np.isclose(ratio[slot["b"]], np.log(p(1, 4, 3, "b") / p(2, 5, 3, "b")), atol=1e-5)
-    assert np.isclose(ratio[slot["d"]], np.log(p(2, 4, 3, "d") / p(0, 5, 3, "d")), atol=1e-5)
+    assert got[toxicity.BASE, key("b")] == 5 and got[0, key("b")] == 2 and got[1, key("b")] == 1
+    assert got[0, key("a")] == 2 and got[1, key("d")] == 2 and (0, key("d")) not in got
+    own, rest = toxicity.word_ratios(toxicity.pair_rows(rows), discount=0.5)
+    told = {r.slot: (r.r0, r.r1, r.r2) for r in own.collect()}
+    want = slow_model([(r.text.split(), 0, int(r.doc_id == 2)) for r in rows.collect()], 0.5)
+    assert set(told) == {key(w) for w in "abcde"}
+    for w in "abcde":
+        assert np.allclose(told[key(w)], [m[w] for m in want])
+
+
+def test_figures_and_scores_against_brute_force(spark):
+    """The whole classifier: counts, ratios, figures of both kinds, scores."""
+    docs, labels, _ = planted(spark, 500, 8)
+    rows = [(r.doc_id, r.text.split(), r.fold, r.label) for r in toxicity.marked(docs, labels, fold(), "toxic").collect()]
+    models = slow_model([r[1:] for r in rows], toxicity.DISCOUNT)
+    train = [(slow_figures(w, models[1 - f]), label) for _, w, f, label in rows if f is not None and label is not None]
+    score = slow_logistic([x for x, _ in train], [y for _, y in train], 1e-4)
+    got = {r.doc_id: r for r in toxicity.classify(docs, labels, fold()).collect()}
+    assert len(got) == len(rows)
+    for i, words, f, _ in rows:
+        figures = slow_figures(words, models[2])
+        assert np.allclose([got[i][name] for name in toxicity.FIGURES], figures, atol=1e-6)
+        assert abs(got[i].score - score(figures)) < 0.02, (i, got[i].score, score(figures))
 
 
 def test_labels_edges(spark, edges, none):
@@ -78,7 +138,7 @@ def test_words_are_not_merged(spark, monkeypatch):
     texts = [[f"x{i * 200 + j}" + "%x" % rng.getrandbits(48) for j in range(200)] + ["the"] * rng.randint(1, 9) for i in range(400)]
     rows = spark.createDataFrame([(i, " ".join(t), i % 2, i % 3 % 2) for i, t in enumerate(texts)], "doc_id long, text string, fold int, label int")
     got = toxicity.counts(rows, toxicity.hashes).filter(F.col("mark") == toxicity.BASE)
-    assert got.count() == 80_001 > len({int(toxicity.slots(w)[0]) for t in texts for w in t})
+    assert got.count() == 80_001
     assert got.agg(F.sum("n")).first()[0] == sum(map(len, texts))
 
 
