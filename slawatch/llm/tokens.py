@@ -15,11 +15,14 @@ columns only: nothing is numbered in one task.
 
 The default tokenizer's pieces (letter runs, digits, symbol runs, lower-cased)
 never span a blank, so a text's ids are the ids of its pieces in order. Each
-worker cuts words into pieces, lets the tokenizer's model encode each
-piece once and keeps the ids (up to ``MEMO_WORDS`` words and ``MEMO_PIECES``
-pieces, then it starts afresh). Words beyond printable ASCII and Latin
-letters, or with ``<|``, go through the whole tokenizer, and so does every
-text if the tokenizer has other rules than these.
+worker cuts words into pieces and lets the tokenizer's model encode each
+piece once. The ids of words and pieces are kept in two generations each, of
+``MEMO_WORDS`` and ``MEMO_PIECES``: when the young one is full it becomes the
+old one, and what is met again moves back, so frequent ones stay and memory
+is bounded in bytes (long ones are not kept). Words beyond printable ASCII
+and Latin letters, or with ``<|``, go through the whole tokenizer, and so
+does every text if the tokenizer has other rules than these. Texts reach a
+worker a few hundred at a time.
 
 Defined cases: a null or empty text has only the end id; repeated ids are
 separate rows, in the order of a hash of their texts; null ids come first;
@@ -41,9 +44,13 @@ from ..session import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
-#: Ids that a worker keeps.
-MEMO_WORDS, MEMO_PIECES = 500_000, 700_000
+#: Words and pieces of a generation that a worker keeps.
+MEMO_WORDS, MEMO_PIECES = 400_000, 200_000
+#: Letters of a piece or word that is kept, at most.
+MEMO_LETTERS = 64
 ROW_GROUP_MB = 16
+#: Rows of a batch that is sent to a worker.
+BATCH_CONF, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 512
 #: The pre-tokenizer for which words can be cut into pieces here.
 SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 #: Printable ASCII and Latin letters: lower-casing is by character, NFC
@@ -60,11 +67,30 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
+class _Memo(dict):
+    """Ids by string, made by ``make`` when missing, in two generations of
+    ``limit`` strings."""
+
+    def __init__(self, make, limit: int):
+        super().__init__()
+        self.make, self.limit, self.old = make, limit, {}
+
+    def __missing__(self, string: str) -> bytes:
+        ids = self.old.get(string)
+        if ids is None:
+            ids = self.make(string)
+        if len(string) <= MEMO_LETTERS:
+            if len(self) >= self.limit:
+                self.old = dict(self)
+                self.clear()
+            self[string] = ids
+        return ids
+
+
 class _Encoder:
     """One tokenizer in one worker process."""
 
     def __init__(self, path: str):
-        import json
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -72,45 +98,39 @@ class _Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        rules = json.loads(self.tokenizer.to_str())
-        kinds = [n.get("type") for n in (rules["normalizer"] or {}).get("normalizers", [])]
-        cut = (rules["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+        kinds = [n.get("type") for n in _rules(self.tokenizer.normalizer).get("normalizers", [])]
+        cut = _rules(self.tokenizer.pre_tokenizer).get("pretokenizers", [{}])
         self.by_word = kinds == ["NFC", "Replace", "Lowercase"] and cut[0].get("pattern") == {"Regex": SPLIT} and len(cut) == 2
         self.letters = _byte_letters()
-        self.words: dict[str, bytes] = {"": b""}
-        self.pieces: dict[str, bytes] = {}
+        self.words = _Memo(self.word, MEMO_WORDS)
+        self.pieces = _Memo(self.piece, MEMO_PIECES)
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
     def piece(self, piece: str) -> bytes:
-        ids = self.pieces.get(piece)
-        if ids is None:
-            spelt = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
-            ids = self.pieces[piece] = b"".join(t.id.to_bytes(4, "little") for t in self.model.tokenize(spelt))
-        return ids
+        spelt = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+        return b"".join(t.id.to_bytes(4, "little") for t in self.model.tokenize(spelt))
 
     def word(self, word: str) -> bytes:
+        if not word:
+            return b""
         if not _PLAIN_WORD.fullmatch(word) or "<|" in word:
             return self.whole([word])[0]
-        low = word.lower() if word.isascii() else "".join(c.lower() for c in word)
-        return b"".join(map(self.piece, _PIECE.findall(low)))
+        # Lower-casing that depends on neighbours is of other scripts.
+        return b"".join(map(self.pieces.__getitem__, _PIECE.findall(word.lower())))
 
     def text(self, text: str) -> bytes:
         if not self.by_word:
             return self.whole([text])[0]
-        words, known = text.replace("\n", " ").split(" "), self.words
-        try:
-            return b"".join(map(known.__getitem__, words))
-        except KeyError:
-            if len(known) > MEMO_WORDS:
-                known.clear()
-            if len(self.pieces) > MEMO_PIECES:
-                self.pieces.clear()
-            for w in words:
-                if w not in known:
-                    known[w] = self.word(w)
-            return b"".join(map(known.__getitem__, words))
+        return b"".join(map(self.words.__getitem__, text.replace("\n", " ").split(" ")))
+
+
+def _rules(part) -> dict:
+    """The rules of a normalizer or pre-tokenizer, without the vocabulary."""
+    import json
+
+    return json.loads(part.__getstate__()) if part is not None else {}
 
 
 #: Per worker process, by path.
@@ -164,7 +184,14 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
                      .option("parquet.writer.version", "v2").option("parquet.enable.dictionary", "true"))
     if encoding == "delta":
         writer = writer.option("parquet.enable.dictionary#tokens.list.element", "false")
-    writer.parquet(path)
+    # Texts reach the workers a few megabytes at a time.
+    spark = docs.sparkSession
+    before = spark.conf.get(BATCH_CONF)
+    spark.conf.set(BATCH_CONF, str(BATCH_ROWS))
+    try:
+        writer.parquet(path)
+    finally:
+        spark.conf.set(BATCH_CONF, before)
 
 
 def files(spark: SparkSession, path: str) -> DataFrame:

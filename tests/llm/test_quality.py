@@ -70,3 +70,63 @@ def test_edges(spark, edges, none):
     assert len(got) == edges.count() and all(0 <= r.score <= 1 for r in got)
     assert quality.keep_good(edges, both, held()).columns == edges.columns
     assert quality.classify(none, both, held()).count() == 0
+
+
+def slow_statistics(text):
+    """The statistics of a text by plain Python."""
+    import regex
+
+    n = max(len(text), 1)
+    words = regex.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = text.split("\n")
+    k = max(len(words), 1)
+    letters = len(regex.findall(r"\p{L}", text))
+    return {
+        "words": len(words), "word_length": (n - len(regex.sub(r"[^\x20\x09-\x0D]+", "", text))) / k,
+        "letters": letters / n, "capitals": len(regex.findall(r"\p{Lu}", text)) / max(letters, 1),
+        "digits": len(regex.findall("[0-9]", text)) / n,
+        "symbols": len(regex.sub(r"[\p{L}\p{N}\x20\x09-\x0D.,;:'\"()-]+", "", text)) / n,
+        "stops": len(regex.findall("[.,]", text)) / k, "distinct_words": len(set(words)) / k,
+        "distinct_lines": len(set(lines)) / len(lines), "line_words": k / len(lines),
+    }
+
+
+def slow_lasso(x, y, penalty, rounds=20_000):
+    """Logistic regression with an L1 penalty on standardised weights, by
+    accelerated proximal gradient steps."""
+    x, y = np.array(x, dtype=float), np.array(y, dtype=float)
+    spread = x.std(axis=0, ddof=1)
+    z = np.hstack([np.ones((len(x), 1)), np.where(spread > 0, x / np.where(spread > 0, spread, 1), 0)])
+    step = 4 * len(y) / np.linalg.norm(z, 2) ** 2
+    w = v = np.zeros(z.shape[1])
+    t = 1.0
+    for _ in range(rounds):
+        new = v - step * z.T @ (1 / (1 + np.exp(-z @ v)) - y) / len(y)
+        new[1:] = np.sign(new[1:]) * np.maximum(np.abs(new[1:]) - step * penalty, 0)
+        u = (1 + np.sqrt(1 + 4 * t * t)) / 2
+        v, w, t = new + (t - 1) / u * (new - w), new, u
+    return 1 / (1 + np.exp(-z @ w))
+
+
+def test_statistics_rules_and_scores_against_brute_force(spark, monkeypatch):
+    """Statistics, truth of each rule, lasso weights and the final score of
+    every row, from the rules that the forest gave."""
+    docs, labels = planted(spark, 500, 4)
+    odd = spark.createDataFrame([(9001, None, 1, 0.5), (9002, "", 1, 0.5), (9003, "É \n\n 12,5 中文!", 1, 0.5)], docs.schema)
+    docs = docs.unionByName(odd)
+    kept = {}
+    fit, paths = quality.fit_rules, quality.tree_rules
+    monkeypatch.setattr(quality, "fit_rules", lambda *a, **k: kept.setdefault("rules", fit(*a, **k)))
+    monkeypatch.setattr(quality, "tree_rules", lambda *a: kept.setdefault("paths", paths(*a)))
+    got = {r.doc_id: r for r in quality.classify(docs, labels, held()).collect()}
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    stats = {i: slow_statistics(t) for i, t in texts.items()}
+    true = lambda rule, s: all(s[n] > t if above else s[n] <= t for n, above, t in rule)
+    for i, s in stats.items():
+        assert all(np.isclose(got[i][k], v) for k, v in s.items()), (i, s, got[i])
+        total = kept["rules"].intercept + sum(w for rule, w in kept["rules"].rules if true(rule, s))
+        assert np.isclose(got[i].score, 1 / (1 + np.exp(-total))) and got[i].predicted == int(got[i].score >= quality.THRESHOLD)
+    known = {r.doc_id: r.quality for r in labels.collect()}
+    train = [i for i in sorted(texts) if i in known and not got[i].held_out]
+    want = slow_lasso([[float(true(rule, stats[i])) for rule in kept["paths"]] for i in train], [known[i] for i in train], quality.LASSO)
+    assert np.abs(want - [got[i].score for i in train]).max() < 0.05
