@@ -45,7 +45,7 @@ from ..session import scratch_path
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 #: Words and pieces of a generation that a worker keeps.
-MEMO_WORDS, MEMO_PIECES = 400_000, 200_000
+MEMO_WORDS, MEMO_PIECES = 250_000, 125_000
 #: Letters of a piece or word that is kept, at most.
 MEMO_LETTERS = 64
 ROW_GROUP_MB = 16
