@@ -54,8 +54,9 @@ GRAM = 32
 SPAN = LENGTH - GRAM + 1
 #: Different slices of one anchor that are indexed together.
 LIMIT = 4096
-#: Bytes of slices per index, and of texts hashed at a time.
-INDEX_BYTES, HASH_BYTES = 1 << 21, 1 << 21
+#: Bytes of slices per index (its arrays stay in the processor's cache), and
+#: of texts hashed at a time.
+INDEX_BYTES, HASH_BYTES = 1 << 17, 1 << 21
 #: Buckets of the staged documents for each GB of text, and at least.
 BUCKETS_PER_GB, BUCKETS = 64, 32
 #: Rows of one repeated document that a task gives back together.
@@ -203,26 +204,29 @@ def _cut(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "key long, hash long, anchor long, lo long, bytes binary")
 
 
-def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
-    """(first, length) of the runs of set flags."""
-    edges = np.flatnonzero(np.diff(np.concatenate([[False], flags, [False]]).astype(np.int8)))
-    return [(int(a), int(b - a)) for a, b in edges.reshape(-1, 2)]
+def _runs(flags: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(string, first, length) of the runs of set flags of each string."""
+    size = np.array([len(f) for f in flags], dtype=np.int64)
+    # An unset flag before and after each string keeps runs apart.
+    begin = np.cumsum(size + 1) - size
+    flat = np.zeros(int(size.sum()) + len(flags) + 1, dtype=np.int8)
+    flat[np.repeat(begin - np.cumsum(size) + size, size) + np.arange(size.sum())] = np.concatenate([*flags, np.zeros(0, dtype=bool)])
+    first, end = np.flatnonzero(np.diff(flat)).reshape(-1, 2).T + 1
+    string = np.searchsorted(begin, first, side="right") - 1
+    return string, first - begin[string], end - first
 
 
 def _indexed(cut: DataFrame) -> DataFrame:
     """Marked windows (``key``, ``hash``, ``lo``, ``n``) among slices that
     share anchors, by run-length indexes."""
-    def mark(rows: list[tuple]):
-        flags = RunLengthIndex([r[3] for r in rows]).earlier_matches()
-        return [(key, row, lo + a, n) for (key, row, lo, _), f in zip(rows, flags) for a, n in _runs(f)]
-
     def run(batches):
         names = ["key", "hash", "lo", "n"]
         types = [pa.int64(), pa.int64(), pa.int64(), pa.int32()]
 
         def out(rows):
-            found = mark(rows)
-            return pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], t) for i, t in enumerate(types)], names=names)
+            string, first, n = _runs(RunLengthIndex([r[3] for r in rows]).earlier_matches())
+            key, row, lo = (np.array([r[i] for r in rows], dtype=np.int64)[string] for i in range(3))
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((key, row, lo + first, n), types)], names=names)
 
         rows, held, last = [], 0, (None,)
         for b in batches:
