@@ -50,6 +50,8 @@ from .base import small
 from .runindex import LENGTH, RunLengthIndex
 
 GRAM = 32
+#: Key of the rows without an id: they come first.
+NO_ID = -(1 << 63)
 #: Grams per window.
 SPAN = LENGTH - GRAM + 1
 #: Different slices of one anchor that are indexed together.
@@ -297,23 +299,32 @@ def marked_windows(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
 
 def staged_documents(docs: DataFrame) -> DataFrame:
     """Distinct documents as bytes with the number of their rows (``copies``),
-    bucketed by ``key`` (the id; null first) and ``hash``, so that later joins
-    with their places move no text."""
+    bucketed by ``key`` (the id; null first) and ``hash`` (of the text, where
+    an id has several texts or is null, else 0), so that later joins with
+    their places move no text."""
     spark = docs.sparkSession
     text = F.coalesce("text", F.lit(""))
-    rows = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("key"), F.xxhash64(text).alias("hash"), text.cast("binary").alias("text"))
+    rows = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("key"), F.xxhash64(text).alias("hash"), text.cast("binary").alias("text"))
     seen = rows.groupBy("key", "hash").agg(F.count(F.lit(1)).alias("many"), F.sum(F.octet_length("text")).alias("size"))
     seen = cut_lineage(seen, "dedup-rows")
     size = seen.agg(F.sum("size")).first()[0] or 0
     repeated = seen.filter("many > 1").select("key", "hash")
+    # Only ids with several texts need the hash; 0 elsewhere takes no room in the exchanges.
+    several = seen.filter(F.col("key") != NO_ID).groupBy("key").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1")
+    tied = seen.join(several, "key", "left_semi").select("key", "hash", F.lit(True).alias("tied"))
+    if several.isEmpty():
+        rows = rows.withColumn("tied", F.lit(False))
+    else:
+        rows = rows.join(small(tied), ["key", "hash"], "left")
+    short = F.when((F.col("key") == NO_ID) | F.coalesce("tied", F.lit(False)), F.col("hash")).otherwise(0).alias("hash")
     if repeated.isEmpty():
-        rows = rows.withColumn("copies", F.lit(1).cast("long"))
+        rows = rows.select("doc_id", "key", short, "text", F.lit(1).cast("long").alias("copies"))
     else:
         repeated = small(repeated)
-        once = rows.join(repeated, ["key", "hash"], "left_anti").select("doc_id", "key", "hash", "text", F.lit(1).cast("long").alias("copies"))
+        once = rows.join(repeated, ["key", "hash"], "left_anti").select("doc_id", "key", short, "text", F.lit(1).cast("long").alias("copies"))
         # By the text itself: equal hashes alone do not make one document.
-        again = rows.join(repeated, ["key", "hash"], "left_semi").groupBy("doc_id", "key", "hash", "text").agg(F.count(F.lit(1)).alias("copies"))
-        rows = once.unionByName(again)
+        again = rows.join(repeated, ["key", "hash"], "left_semi").select("doc_id", "key", short, "text")
+        rows = once.unionByName(again.groupBy("doc_id", "key", "hash", "text").agg(F.count(F.lit(1)).alias("copies")))
     buckets = max(BUCKETS, round(size / 1e9 * BUCKETS_PER_GB))
     name = f"dedup_{uuid.uuid4().hex[:12]}"
     (rows.write.bucketBy(buckets, "key", "hash").option("path", scratch_path(spark, "dedup-documents"))

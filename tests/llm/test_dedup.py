@@ -107,3 +107,10 @@ def test_repeated_rows_are_marked_once(spark, monkeypatch):
     many = one[:1] * 40 + one[1:2] * 3 + one[2:] + [(None, None)] * 9
     assert marks(many) == (4, marks(one)[1])
     check(spark.createDataFrame(many, "doc_id long, text string").repartition(4))
+
+
+def test_only_ids_with_several_texts_carry_a_hash(spark):
+    rows = [(1, "a"), (1, "b"), (2, "a"), (2, "a"), (3, "c"), (None, "a"), (4, None)]
+    staged = dedup.staged_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    got = {(r.doc_id, bytes(r.text)): (r.hash != 0, r.copies) for r in staged.collect()}
+    assert got == {(1, b"a"): (True, 1), (1, b"b"): (True, 1), (2, b"a"): (False, 2), (3, b"c"): (False, 1), (None, b"a"): (True, 1), (4, b""): (False, 1)}
