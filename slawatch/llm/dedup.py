@@ -162,20 +162,22 @@ def _bytes(column) -> list[bytes]:
 
 def _slices(docs: DataFrame) -> DataFrame:
     """(``key``, ``hash``, ``lo``, ``n``, ``anchor``, ``digest``); a slice
-    that repeats one of its own document has a null anchor: it goes."""
+    that repeats an earlier one of the same batch of documents has a null
+    anchor: it goes. So a slice that very many documents share leaves a batch
+    once, before any exchange."""
     def run(batches):
         for whole in batches:
             for i in range(0, len(whole), 512):
                 b = whole.slice(i, 512)
                 got = slice_table(_bytes(b.column("text")))
-                order = np.lexsort((got["lo"], got["digest"], got["anchor"], got["doc"]))
+                key, row = (b.column(c).to_numpy()[got["doc"]] for c in ("key", "hash"))
+                order = np.lexsort((got["lo"], row, key, got["digest"], got["anchor"]))
                 again = np.zeros(len(order), dtype=bool)
-                same = [got[k][order[1:]] == got[k][order[:-1]] for k in ("doc", "anchor", "digest")]
+                same = [got[k][order[1:]] == got[k][order[:-1]] for k in ("anchor", "digest")]
                 again[order[1:]] = np.logical_and.reduce(same)
-                rows = pa.array(got["doc"])
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("key").take(rows), b.column("hash").take(rows), pa.array(got["lo"]), pa.array(got["n"].astype(np.int32)),
-                     pa.array(got["anchor"], mask=again), pa.array(got["digest"])],
+                    [pa.array(key), pa.array(row), pa.array(got["lo"]), pa.array(got["n"].astype(np.int32)),
+                     pa.array(got["anchor"], mask=again), pa.array(got["digest"], mask=again)],
                     names=["key", "hash", "lo", "n", "anchor", "digest"])
 
     return docs.select("key", "hash", "text").mapInArrow(run, "key long, hash long, lo long, n int, anchor long, digest long")
