@@ -1,6 +1,9 @@
 """No step is held to a fixed number of tasks, and none is done twice."""
 
+from slawatch.operators import risk_model
+from slawatch.operators.enrich import enrich
 from slawatch.plans import catalog
+from slawatch.sources import testdata as td
 
 SF = "/root/testdata/sf0.001"
 
@@ -20,3 +23,30 @@ def test_dedupe_stream_sends_in_as_many_tasks_as_there_are(spark, monkeypatch):
     out = catalog.QUERIES["dedupe_stream"](spark, SF)
     assert out.count() == catalog.QUERIES["issues_enriched"](spark, SF).count()
     assert plans and "REPARTITION_BY_NUM" not in plans[0]
+
+
+def _exchanges(df, word):
+    """Lines of the plan with an exchange whose rows hold ``word``."""
+    return [x for x in _plan(df).splitlines() if "Exchange hashpartitioning" in x and word in x]
+
+
+def test_enrich_shuffles_the_issues_once(spark):
+    before = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold",)}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        uni = td.unified_issues(spark, SF)
+        topics = td.topic_assignments(spark, SF)
+        out = enrich(uni, topics, td.topic_terms(topics), terms_bound=td.TOPIC_MOD, keywords=td.keyword_assignments(spark, SF))
+        # The issues, the topics and the keywords.
+        assert len(_exchanges(out, "_k")) == 3
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_training_reads_its_rows_once(spark, monkeypatch):
+    stages, cut = [], risk_model.cut_lineage
+    monkeypatch.setattr(risk_model, "cut_lineage", lambda df, name: stages.append(name) or cut(df, name))
+    got = risk_model.train_models(td.enriched_issues(spark, SF), names=["logistic_regression"])
+    assert stages == ["labelled", "scored-logistic_regression"]
+    assert "events" not in got.metrics.inputFiles()[0]
