@@ -1,5 +1,7 @@
 """No step is held to a fixed number of tasks, and none is done twice."""
 
+import pytest
+
 from slawatch.operators import risk_model
 from slawatch.operators.enrich import enrich
 from slawatch.plans import catalog
@@ -50,3 +52,22 @@ def test_training_reads_its_rows_once(spark, monkeypatch):
     got = risk_model.train_models(td.enriched_issues(spark, SF), names=["logistic_regression"])
     assert stages == ["labelled", "scored-logistic_regression"]
     assert "events" not in got.metrics.inputFiles()[0]
+
+
+def test_dense_training_rows_are_dealt_by_their_dense_size(spark, monkeypatch):
+    """Few bytes as stored, so one task when read; the trees get them in tasks
+    whose dense copies stay under the bound."""
+    class Fitted(Exception):
+        pass
+
+    class Spy:
+        def fit(self, rows):
+            raise Fitted(rows.rdd.getNumPartitions(), rows.rdd.mapPartitions(lambda p: [sum(8 * r[0].size for r in p)]).max())
+
+    bound = 1 << 19
+    monkeypatch.setattr(risk_model, "DENSE_TASK_BYTES", bound, raising=False)
+    monkeypatch.setattr(risk_model, "_classifiers", lambda width, seed: {"boosted_trees": Spy()})
+    with pytest.raises(Fitted) as got:
+        risk_model.train_models(td.enriched_issues(spark, SF), names=["boosted_trees"])
+    tasks, largest = got.value.args
+    assert tasks > spark.sparkContext.defaultParallelism and largest <= 1.1 * bound
