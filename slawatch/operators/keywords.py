@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import MIN_TOKEN_LETTERS, NON_LETTERS, clean_text, stop_words, text_len, word_count
+from ..schemas import FREQUENT_TOKENS
 from ..session import cut_lineage
 from .incremental import keyed, spread_null_key
 
@@ -36,23 +37,44 @@ def issue_keyword(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """Per text: the token with the highest ``tf * ln((n + 1) / (df + 1))``
     (rounded to ``digits``), ties to the alphabetically first token.
 
-    The (id, token, tf) rows are written once under the shared checkpoint
+    The texts are dealt by id before they are split, so the shuffle carries
+    them instead of their words, and the words of an id are counted where
+    they are split. The (id, token, tf) rows are written once under the shared checkpoint
     folder, so the texts are split once, and so are the document
-    frequencies: the join then reads two stored tables, which AQE can
-    broadcast by measured size or, for a very common token, split (it does
-    not split a side that is an aggregate above its own exchange). ``n`` is a
-    scalar subquery, not a cross join. Texts without any token get no row.
+    frequencies: the joins then read stored tables, which the planner can
+    broadcast by measured size or, for a very common token, AQE can split (it
+    does not split a side that is an aggregate above its own exchange). The
+    ``FREQUENT_TOKENS`` most frequent tokens, most of all rows, are stored
+    apart: a table of bounded size that is broadcast, so only the rows of
+    rarer tokens are shuffled by token. ``n`` is a scalar subquery, not a
+    cross join. Texts without any token get no row.
     """
-    tf = cut_lineage(term_frequencies(df, id_col, text_col), "keyword-tf")
+    # A given number of tasks: texts are small beside their words, and AQE
+    # would coalesce them by their own bytes.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    texts = df.select(id_col, text_col).repartition(tasks, id_col)
+    tf = cut_lineage(term_frequencies(texts, id_col, text_col), "keyword-tf")
     dfreq = cut_lineage(tf.groupBy("token").agg(F.count(F.lit(1)).alias("df")), "keyword-df")
-    return best_keywords(tf, dfreq, df.select(F.count(F.lit(1))).scalar(), id_col, digits)
+    n = df.select(F.count(F.lit(1))).scalar()
+    if dfreq.count() <= FREQUENT_TOKENS:
+        return best_keywords(tf, dfreq, n, id_col, digits)
+    frequent = cut_lineage(dfreq.orderBy(F.desc("df"), "token").limit(FREQUENT_TOKENS), "keyword-frequent")
+    rare = tf.join(frequent, "token", "left_anti")
+    return _best(_scored(tf, frequent, n, digits).unionByName(_scored(rare, dfreq, n, digits)), id_col)
 
 
 def best_keywords(tf: DataFrame, dfreq: DataFrame, n: Column, id_col: str = "doc_id", digits: int = 6) -> DataFrame:
     """(id, keyword, score) from (id, token, tf) rows, (token, df) rows and
     the number of texts."""
+    return _best(_scored(tf, dfreq, n, digits), id_col)
+
+
+def _scored(tf: DataFrame, dfreq: DataFrame, n: Column, digits: int) -> DataFrame:
     idf = F.log((n + F.lit(1.0)) / (F.col("df") + F.lit(1.0)))
-    scored = tf.join(dfreq, "token").withColumn("score", F.round(F.col("tf") * idf, digits))
+    return tf.join(dfreq, "token").withColumn("score", F.round(F.col("tf") * idf, digits))
+
+
+def _best(scored: DataFrame, id_col: str) -> DataFrame:
     best = scored.groupBy(id_col).agg(
         F.min(F.struct((-F.col("score")).alias("neg_score"), F.col("token"))).alias("b"))
     return best.select(id_col, F.col("b.token").alias("keyword"), (-F.col("b.neg_score")).alias("score"))

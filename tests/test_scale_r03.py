@@ -2,7 +2,7 @@
 
 import pytest
 
-from slawatch.operators import risk_model
+from slawatch.operators import keywords, risk_model
 from slawatch.operators.enrich import enrich
 from slawatch.plans import catalog
 from slawatch.sources import testdata as td
@@ -71,3 +71,26 @@ def test_dense_training_rows_are_dealt_by_their_dense_size(spark, monkeypatch):
         risk_model.train_models(td.enriched_issues(spark, SF), names=["boosted_trees"])
     tasks, largest = got.value.args
     assert tasks > spark.sparkContext.defaultParallelism and largest <= 1.1 * bound
+
+
+def test_keywords_shuffle_texts_and_rare_tokens_only(spark, monkeypatch):
+    """Words are counted where their text is, and the join by token shuffles
+    the rows of the rarer tokens alone; same keywords as from one join."""
+    docs = td.read(spark, SF, "documents")
+    want = sorted(map(tuple, keywords.issue_keyword(docs).collect()))
+    plans, cut = {}, keywords.cut_lineage
+    monkeypatch.setattr(keywords, "cut_lineage", lambda df, name: plans.update({name: _plan(df)}) or cut(df, name))
+    monkeypatch.setattr(keywords, "FREQUENT_TOKENS", 50, raising=False)
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "20k", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        out = keywords.issue_keyword(docs)
+        assert sorted(map(tuple, out.collect())) == want
+        tf = plans["keyword-tf"].split("Initial Plan")[-1]
+        assert tf.count("Exchange hashpartitioning") == 1 and "token" not in tf.split("Exchange hashpartitioning")[1].splitlines()[0]
+        assert "BroadcastHashJoin [token" in _plan(out) and "LeftAnti" in _plan(out)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
