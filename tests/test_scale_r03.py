@@ -94,3 +94,11 @@ def test_keywords_shuffle_texts_and_rare_tokens_only(spark, monkeypatch):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_score_new_issues_enriches_once(spark, monkeypatch):
+    calls, enriched = [], td.enriched_issues
+    monkeypatch.setattr(td, "enriched_issues", lambda *a: calls.append(a) or enriched(*a))
+    out = catalog.QUERIES["score_new_issues"](spark, SF)
+    assert len(calls) == 1 and not any("events.parquet" in f for f in out.inputFiles())
+    assert out.count() == catalog.QUERIES["new_issues"](spark, SF).count()
