@@ -2,29 +2,19 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import workers_import  # noqa: F401
+
 #: White space between words: space and tab to carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 
-ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def workers_import(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver did."""
-    env = spark.sparkContext.environment
-    paths = [p for p in env.get("PYTHONPATH", "").split(":") if p]
-    if ROOT not in paths:
-        env["PYTHONPATH"] = ":".join([*paths, ROOT])
-
-
 def whole(text: str = "text") -> Column:
     """The text, null as empty."""
     return F.coalesce(F.col(text), F.lit(""))

@@ -102,3 +102,47 @@ def test_score_new_issues_enriches_once(spark, monkeypatch):
     out = catalog.QUERIES["score_new_issues"](spark, SF)
     assert len(calls) == 1 and not any("events.parquet" in f for f in out.inputFiles())
     assert out.count() == catalog.QUERIES["new_issues"](spark, SF).count()
+
+
+def test_topics_do_not_depend_on_partitions_and_texts_are_split_once(spark, monkeypatch):
+    from slawatch.operators import topics
+
+    docs = td.read(spark, SF, "documents")
+    stages, cut = [], topics.cut_lineage if hasattr(topics, "cut_lineage") else None
+    monkeypatch.setattr(topics, "cut_lineage", lambda df, name: stages.append(name) or cut(df, name), raising=False)
+    fitted = [topics.fit_topics(docs.repartition(n), k=5, text_col="text", key="doc_id", max_iter=3, min_df=2) for n in (2, 5)]
+    assert stages == ["topic-terms"] * 2
+    a, b = (dict(map(tuple, topics.assign_topics(m, docs, "doc_id", "text").collect())) for m in fitted)
+    assert a == b and len(a) == docs.filter("text is not null").count()
+
+
+def test_stacked_texts_equal_one_after_the_other():
+    import numpy as np
+
+    from slawatch.operators import variational as V
+
+    # Texts of 0 to 40 words, every ninth over the bound of single precision.
+    rnd, k, n_words = np.random.default_rng(5), 4, 60
+    lengths = np.arange(400) % 41
+    offsets = np.concatenate([[0], np.cumsum(lengths)])
+    words = np.concatenate([np.sort(rnd.choice(n_words, n, replace=False)) for n in lengths]).astype(np.int32)
+    counts = rnd.integers(1, 4, offsets[-1]) * np.repeat(np.where(np.arange(400) % 9 == 0, 400.0, 1.0), lengths)
+    beta = np.exp(V.expectation(rnd.gamma(0.3, 50.0, (k, n_words)) + 0.1)).T.copy()
+    alpha = np.array([0.2, 0.3, 0.1, 0.4])
+    got, sums = V.infer(offsets, words, counts, beta, alpha, totals=True)
+    want = np.zeros_like(beta)
+    for i, (x, y) in enumerate(zip(offsets[:-1], offsets[1:])):
+        b, c, now, change = beta[words[x:y]], counts[x:y], np.ones(k), 1.0
+        if x == y:
+            assert (got[i] == alpha).all()
+            continue
+        while change > V.TOLERANCE:
+            exp = np.exp(V.expectation(now[None, :])[0])
+            new = exp * (b.T @ (c / (b @ exp + 1e-100))) + alpha
+            change, now = np.abs(new - now).mean(), new
+        exp = np.exp(V.expectation(now[None, :])[0])
+        want[words[x:y]] += np.outer(c / (b @ exp + 1e-100), exp)
+        # One step more or less, where rounding meets the tolerance.
+        assert np.abs(got[i] - now).mean() <= 2 * V.TOLERANCE
+        assert abs(got[i].sum() - c.sum() - alpha.sum()) < 1e-3
+    assert np.abs((sums - want) * beta).sum() < 1e-3 * counts.sum()
