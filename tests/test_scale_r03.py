@@ -104,6 +104,19 @@ def test_score_new_issues_enriches_once(spark, monkeypatch):
     assert out.count() == catalog.QUERIES["new_issues"](spark, SF).count()
 
 
+def test_score_new_issues_moves_the_columns_it_reads_only(spark, monkeypatch):
+    """The fact is stored, and the new issues are joined, without the columns
+    that neither the features nor the label are made of."""
+    stored, cut = {}, catalog.cut_lineage
+    monkeypatch.setattr(catalog, "cut_lineage", lambda df, name: stored.update({name: df}) or cut(df, name))
+    seen, new = [], catalog.new_issues
+    monkeypatch.setattr(catalog, "new_issues", lambda rows, fact: seen.append(rows.columns) or new(rows, fact))
+    out = catalog.QUERIES["score_new_issues"](spark, SF)
+    read = {"issue_id", *risk_model.SOURCES}
+    assert set(stored["fact"].columns) == read | {risk_model.LABEL} and set(seen[0]) == read
+    assert stored["fact"].count() + out.count() == stored["enriched"].count()
+
+
 def test_topics_do_not_depend_on_partitions_and_texts_are_split_once(spark, monkeypatch):
     from slawatch.operators import topics
 
