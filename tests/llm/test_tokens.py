@@ -76,3 +76,26 @@ def test_empty(spark, none):
     assert tokens.digests(tokens.store(none)).count() == 0
     with pytest.raises(ValueError):
         tokens.write_tokens(none, "x", encoding="other")
+
+
+def test_pieces_met_again_are_not_encoded_again(monkeypatch):
+    calls, piece = [], tokens._Encoder.piece
+    monkeypatch.setattr(tokens._Encoder, "piece", lambda self, p: calls.append(p) or piece(self, p))
+    monkeypatch.setattr(tokens, "_loaded", {})
+    letters = "abcdefghijklmnop"
+    names = ["".join(letters[i >> s & 15] for s in (16, 12, 8, 4, 0)) for i in range(200_000)]
+    for blank in (" ", ". "):
+        for i in range(0, len(names), 5000):
+            tokens.encode_texts(PATH, [blank.join(names[i:i + 5000])])
+    assert len([p for p in calls if p not in " ."]) == 200_000
+
+
+def test_rows_go_together_by_bytes(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(tokens, "TOGETHER", 100)
+    texts = ["a" * n for n in (10, 20, 30, 0, 250, 5, 60, 40, 1)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[i:i + 2], pa.string())], names=["text"]) for i in range(0, 9, 2)]
+    groups = [b.column("text").to_pylist() for b in tokens._together(batches)]
+    assert [t for g in groups for t in g] == texts and len(groups) < len(texts)
+    assert all(len(g) == 1 or sum(map(len, g)) <= 100 for g in groups)
