@@ -54,3 +54,10 @@ BROADCAST_ROWS = 2_000_000
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` with a broadcast hint if it was counted to be small enough."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def by_shuffle(df: DataFrame) -> DataFrame:
+    """``df``, to be joined by shuffle whatever its size is taken for: a plan
+    takes the rows that Python code yields for as many as it reads, and a
+    stored table for its compressed bytes, and would broadcast millions."""
+    return df.hint("merge")

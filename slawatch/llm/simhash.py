@@ -19,7 +19,8 @@ no bucket is capped.
 
 Equal fingerprints are one class before the join, so copies are never
 expanded; what the join returns are links between different fingerprints
-only, and AQE may split a hot key. Links become groups by distributed
+only, and AQE may split a hot key. A fingerprint has about 40 keys, which the
+plan's estimate knows nothing of, so nothing here is joined by broadcast. Links become groups by distributed
 connected components.
 
 Defined cases: a null or empty text has fingerprint zero, linked like any
@@ -38,6 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from ..session import cut_lineage
+from .base import by_shuffle
 from .graph import components
 
 SHINGLE = 3
@@ -163,7 +165,7 @@ def links(classes: DataFrame, distance: int = DISTANCE) -> DataFrame:
     home = fps.mapInArrow(run(False), "key long, fp long").withColumnRenamed("fp", "u")
     near = fps.mapInArrow(run(True), "key long, fp long").withColumnRenamed("fp", "v")
     close = (F.col("u") < F.col("v")) & (F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= distance)
-    pairs = home.join(near, (home["key"] == near["key"]) & close)
+    pairs = home.join(by_shuffle(near), (home["key"] == near["key"]) & close)
     return pairs.select("u", "v").distinct()
 
 
@@ -174,10 +176,10 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
     rows = cut_lineage(fingerprints(docs, shingle, seed, keep), "simhash")
     classes = cut_lineage(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-classes")
     roots = components(links(classes, distance)).select(F.col("node").alias("fp"), "root")
-    joined = classes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    joined = classes.join(by_shuffle(roots), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     first = joined.groupBy("root").agg(F.min("first").alias("component_id"))
-    of_class = cut_lineage(joined.join(first, "root").select("fp", "root", "component_id"), "simhash-groups")
-    return rows.join(of_class, "fp")
+    of_class = cut_lineage(joined.join(by_shuffle(first), "root").select("fp", "root", "component_id"), "simhash-groups")
+    return rows.join(by_shuffle(of_class), "fp")
 
 
 def hex_fingerprint(fp: str = "fp") -> Column:
@@ -193,7 +195,7 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     groups = near_duplicates(hashed, keep=("_hash",), **options)
     lead = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_hash")).alias("lead")
     leads = groups.groupBy("root").agg(lead).select(F.col("lead.doc_id").alias("_lead"), F.col("lead._hash").alias("_lead_hash")).distinct()
-    rows = hashed.join(leads, F.col("doc_id").eqNullSafe(F.col("_lead")) & (F.col("_hash") == F.col("_lead_hash")), "left_semi")
+    rows = hashed.join(by_shuffle(leads), F.col("doc_id").eqNullSafe(F.col("_lead")) & (F.col("_hash") == F.col("_lead_hash")), "left_semi")
     # Repeated rows of the lead: one stays.
     order = Window.partitionBy("doc_id", "_hash").orderBy(F.xxhash64("_row"), *[F.col(f"_row.{c}").asc_nulls_last() for c in rest])
     one = rows.withColumn("_n", F.row_number().over(order)).filter("_n = 1")

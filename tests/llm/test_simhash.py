@@ -86,3 +86,25 @@ def test_edge_rows_against_brute_force(edges):
 def test_empty(none):
     assert simhash.near_duplicates(none).count() == 0
     assert simhash.keep_one(none).count() == 0
+
+
+def test_components_joined_by_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(graph, "BROADCAST_EDGES", 0, raising=False)
+    test_components(spark)
+
+
+def test_keys_and_groups_are_not_broadcast(spark, edges, monkeypatch):
+    """A plan takes the keys of a fingerprint for one row: at a few hundred
+    thousand fingerprints it would send ten million to the driver."""
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    plans = {"links": plan(simhash.links(spark.createDataFrame([(1,), (3,)], "fp long")))}
+    for module in (simhash, graph):
+        cut = module.cut_lineage
+        monkeypatch.setattr(module, "cut_lineage", lambda df, name, cut=cut: plans.update({name: plan(df)}) or cut(df, name))
+    monkeypatch.setattr(graph, "BROADCAST_EDGES", 0, raising=False)
+    plans["rows"] = plan(simhash.near_duplicates(edges))
+    plans["one"] = plan(simhash.keep_one(edges))
+    assert "Join" in plans["links"] and "Join" in plans["components"] and "Join" in plans["simhash-groups"]
+    assert not [name for name, p in plans.items() if "Broadcast" in p]
