@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .base import WORD
+from .base import WORD, by_shuffle
 
 MAX_TRAIN = 50_000
 TREES, DEPTH = 12, 4
@@ -132,7 +132,7 @@ def fit_rules(train: DataFrame, names: list[str], trees: int = TREES, depth: int
 def labelled(stats: DataFrame, labels: DataFrame, label: str, held_out: Column, max_train: int = MAX_TRAIN) -> DataFrame:
     """Training rows: labelled, not held out, at most about ``max_train``."""
     marks = labels.select("doc_id", F.col(label).cast("int").alias("label")).filter("label IN (0, 1)").distinct()
-    rows = cut_lineage(stats.filter(~held_out).join(marks, "doc_id"), "labelled")
+    rows = cut_lineage(stats.filter(~held_out).join(by_shuffle(marks), "doc_id"), "labelled")
     n = rows.count()
     if n <= max_train:
         return rows

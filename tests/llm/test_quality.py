@@ -130,3 +130,15 @@ def test_statistics_rules_and_scores_against_brute_force(spark, monkeypatch):
     train = [i for i in sorted(texts) if i in known and not got[i].held_out]
     want = slow_lasso([[float(true(rule, stats[i])) for rule in kept["paths"]] for i in train], [known[i] for i in train], quality.LASSO)
     assert np.abs(want - [got[i].score for i in train]).max() < 0.05
+
+
+def test_labels_are_not_broadcast_by_their_stored_size(spark, monkeypatch):
+    """Stored, a label takes two or three bytes: a plan that goes by them
+    would send millions of rows to the driver."""
+    plans, cut = [], quality.cut_lineage
+    monkeypatch.setattr(quality, "cut_lineage", lambda df, name: plans.append(df._jdf.queryExecution().executedPlan().toString()) or cut(df, name))
+    stats = spark.range(20).select(F.col("id").alias("doc_id"), F.rand(1).alias("words"))
+    marks = spark.range(0, 20, 2).select(F.col("id").alias("doc_id"), (F.col("id") % 4 / 2).cast("int").alias("quality"))
+    got = quality.labelled(stats, marks, "quality", F.col("doc_id") >= 10)
+    assert sorted((r.doc_id, r.label) for r in got.collect()) == [(0, 0), (2, 1), (4, 0), (6, 1), (8, 0)]
+    assert "SortMergeJoin" in plans[0] and "Broadcast" not in plans[0]
